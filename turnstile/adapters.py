@@ -134,3 +134,36 @@ def full_star(spark: SparkSession, sf_dir: str) -> Star:
 
 def increment_star(spark: SparkSession, sf_dir: str, year: int = INCREMENT_YEAR) -> Star:
     return test_star(spark, sf_dir, first_year=year, last_year=year)
+
+
+def arrival_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One topic record per ``events`` row, in the envelope a topic source delivers.
+
+      value      JSON arrival: id = "<user_id>-<event_type>" (a prediction id that
+                 repeats as it is refreshed), vehicleId = user_id,
+                 stationName = "Stop <props.k>", lineName = event_type,
+                 expectedArrival = ts (ISO, UTC), timeToStation = floor(value),
+                 timestamp = ts; absent fields are omitted.
+                 Rows of type 'error' carry their raw ``props`` text instead:
+                 a message without id or vehicleId, which the parser quarantines.
+      partition  user_id mod 4 (records of one vehicle share a partition)
+      offset     event_id (increasing with ts)
+      timestamp  ts
+    """
+    ev = table(spark, sf_dir, "events")
+    arrival = F.to_json(F.struct(
+        F.concat_ws("-", F.col("user_id").cast("string"), F.col("event_type")).alias("id"),
+        F.col("user_id").cast("string").alias("vehicleId"),
+        F.concat(F.lit("Stop "), F.get_json_object("props", "$.k")).alias("stationName"),
+        F.col("event_type").alias("lineName"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("expectedArrival"),
+        F.floor("value").cast("int").alias("timeToStation"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+    ))
+    value = F.when(F.col("event_type") == "error", F.col("props")).otherwise(arrival)
+    return ev.select(
+        value.cast("binary").alias("value"),
+        F.pmod(F.col("user_id"), F.lit(4)).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )

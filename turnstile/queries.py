@@ -78,3 +78,133 @@ def mart_row_counts(spark, sf_dir):
                .select(F.lit(name).alias("gold_table"), "row_count")
                for name, df in built.items()]
     return reduce(DataFrame.unionByName, counted)
+
+
+# ---------------------------------------------------------------- arrival feed
+from .operators import events as ev  # noqa: E402
+from .operators.dedup import latest_rows  # noqa: E402
+
+
+def _parsed(spark, sf_dir):
+    return ev.parse_arrivals(adapters.arrival_messages(spark, sf_dir))
+
+
+def _valid(spark, sf_dir):
+    return ev.valid_rows(_parsed(spark, sf_dir))
+
+
+def _deduped(spark, sf_dir):
+    return ev.dedup_arrivals(_valid(spark, sf_dir))
+
+
+_PARSED_OUT = [*ev.PARSED_FIELDS, *ev.META, "arrival_date"]
+
+
+@register("json_parse_events", oracle.messages_sql(f"SELECT {oracle.PARSED_COLS} FROM parsed"))
+def json_parse_events(spark, sf_dir):
+    """Binary value -> text -> JSON with the declared schema; envelope kept."""
+    return _parsed(spark, sf_dir).select(*_PARSED_OUT)
+
+
+@register("json_valid_rows", oracle.messages_sql(f"SELECT {oracle.PARSED_COLS} FROM valid"))
+def json_valid_rows(spark, sf_dir):
+    return _valid(spark, sf_dir).select(*_PARSED_OUT)
+
+
+@register("json_quarantine", oracle.messages_sql(
+    "SELECT kafka_partition, kafka_offset, kafka_ingest_time, 'missing_id' AS reason, "
+    "props AS raw_value FROM parsed WHERE bad"))
+def json_quarantine(spark, sf_dir):
+    return ev.quarantine_rows(_parsed(spark, sf_dir))
+
+
+@register("dedup_events_by_id", oracle.messages_sql(f"SELECT {oracle.PARSED_COLS} FROM dedup"))
+def dedup_events_by_id(spark, sf_dir):
+    """Latest message per id by (ingest time, partition, offset)."""
+    return _deduped(spark, sf_dir).select(*_PARSED_OUT)
+
+
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_LI_ORDER = ["l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity",
+             "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+
+
+@register("dedup_lineitem_latest", f"""
+SELECT {', '.join(_LI_COLS)} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY {', '.join(c + ' DESC' for c in _LI_ORDER)}) AS rn
+  FROM lineitem) WHERE rn = 1""")
+def dedup_lineitem_latest(spark, sf_dir):
+    """Natural duplicates of (l_orderkey, l_linenumber): keep the latest version."""
+    li = adapters.table(spark, sf_dir, "lineitem")
+    return latest_rows(li, ["l_orderkey", "l_linenumber"], _LI_ORDER).select(*_LI_COLS)
+
+
+@register("events_per_line", oracle.messages_sql(
+    "SELECT lineName, COUNT(*) AS record_count FROM dedup GROUP BY lineName"))
+def events_per_line(spark, sf_dir):
+    return (_deduped(spark, sf_dir).groupBy("lineName")
+            .agg(F.count(F.lit(1)).alias("record_count"))
+            .orderBy(F.desc("record_count"), F.asc_nulls_first("lineName")))
+
+
+@register("events_per_date", oracle.messages_sql(
+    "SELECT arrival_date, COUNT(*) AS record_count FROM dedup GROUP BY arrival_date"))
+def events_per_date(spark, sf_dir):
+    return (_deduped(spark, sf_dir).groupBy("arrival_date")
+            .agg(F.count(F.lit(1)).alias("record_count"))
+            .orderBy(F.asc_nulls_first("arrival_date")))
+
+
+@register("load_reconciliation", oracle.messages_sql("""
+SELECT COUNT(*) AS raw_records,
+       COUNT(*) FILTER (WHERE NOT bad) AS valid_records,
+       COUNT(*) FILTER (WHERE bad) AS quarantined_records,
+       COUNT(DISTINCT id) AS deduplicated_records,
+       COUNT(*) FILTER (WHERE NOT bad) - COUNT(DISTINCT id) AS duplicate_records
+FROM parsed"""))
+def load_reconciliation(spark, sf_dir):
+    """raw = valid + quarantined; valid = deduplicated + duplicates."""
+    from .operators.quality import reconcile
+    return reconcile(_parsed(spark, sf_dir))
+
+
+@register("enrich_delay_level", oracle.messages_sql(
+    f"SELECT kafka_partition, kafka_offset, timeToStation, {oracle.DELAY_SQL} AS delayLevel FROM valid"))
+def enrich_delay_level(spark, sf_dir):
+    from .functions.arrivals import delay_level
+    return _valid(spark, sf_dir).select("kafka_partition", "kafka_offset", "timeToStation",
+                                        delay_level("timeToStation").alias("delayLevel"))
+
+
+@register("enrich_peak_hours", oracle.messages_sql(
+    f"SELECT kafka_partition, kafka_offset, {oracle.PEAK_SQL} AS peakHours FROM valid"))
+def enrich_peak_hours(spark, sf_dir):
+    from .functions.arrivals import peak_bucket
+    return _valid(spark, sf_dir).select("kafka_partition", "kafka_offset",
+                                        peak_bucket("kafka_ingest_time").alias("peakHours"))
+
+
+@register("enrich_minutes", oracle.messages_sql(
+    f"SELECT kafka_partition, kafka_offset, {oracle.MINUTES_SQL} AS timeToStationMin FROM valid"))
+def enrich_minutes(spark, sf_dir):
+    from .functions.arrivals import minutes
+    return _valid(spark, sf_dir).select("kafka_partition", "kafka_offset",
+                                        minutes("timeToStation").alias("timeToStationMin"))
+
+
+@register("row_key", oracle.messages_sql(f"SELECT {oracle.ENRICHED_SELECT} FROM valid"))
+def keyed_rows(spark, sf_dir):
+    """Cleaned cells, defaults and composite row key for every valid message."""
+    return ev.enrich(_valid(spark, sf_dir))
+
+
+@register("keyed_latest", oracle.messages_sql(f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY row_key ORDER BY ingestionTime DESC,
+                               kafka_partition DESC, kafka_offset DESC) AS rn
+  FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)) WHERE rn = 1"""))
+def keyed_latest(spark, sf_dir):
+    """Keyed store contents after all messages: last write wins per row key (K6, V6)."""
+    return ev.keyed_latest(ev.enrich(_valid(spark, sf_dir)))
