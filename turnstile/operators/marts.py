@@ -33,67 +33,75 @@ from ..star import Star
 MEASURE = "total_entry_exit"
 
 
-def _totals(fact: DataFrame, key: str) -> DataFrame:
-    return fact.groupBy(key).agg(
+def _keys(by, *rest):
+    return [*by, *rest]
+
+
+def _totals(fact: DataFrame, key: str, by=()) -> DataFrame:
+    return fact.groupBy(*_keys(by, key)).agg(
         F.sum(MEASURE).alias("total_passengers"),
         F.count("entry_exit_id").alias("num_records"),
         F.count(MEASURE).alias("num_measured"),
     )
 
 
-def station_totals(fact: DataFrame) -> DataFrame:
-    """(station_id, total_passengers, num_records, num_measured)."""
-    return _totals(fact, "station_id")
+def station_totals(fact: DataFrame, by=()) -> DataFrame:
+    """(by..., station_id, total_passengers, num_records, num_measured)."""
+    return _totals(fact, "station_id", by)
 
 
-def date_totals(fact: DataFrame) -> DataFrame:
-    """(date_id, total_passengers, num_records, num_measured)."""
-    return _totals(fact, "date_id")
+def date_totals(fact: DataFrame, by=()) -> DataFrame:
+    """(by..., date_id, total_passengers, num_records, num_measured)."""
+    return _totals(fact, "date_id", by)
 
 
 def _sum(col: str = "total_passengers", alias: str = "total_passengers"):
     return F.sum(col).alias(alias)
 
 
+# ``by`` carries extra grouping columns through a mart (e.g. the load year of
+# an incremental partial); the plain marts use none.
+
 # --- M1 -------------------------------------------------------------------
-def busiest_stations(st: DataFrame, stations: DataFrame) -> DataFrame:
-    return (st.select("station_id", "total_passengers")
+def busiest_stations(st: DataFrame, stations: DataFrame, by=()) -> DataFrame:
+    return (st.select(*by, "station_id", "total_passengers")
             .join(stations.select("station_id", "station_name"), "station_id")
-            .groupBy("station_name").agg(_sum()))
+            .groupBy(*_keys(by, "station_name")).agg(_sum()))
 
 
 # --- M2 / M6 ------------------------------------------------------------------
-def _period(dt: DataFrame, dates: DataFrame, keys: list[str]) -> DataFrame:
+def _period(dt: DataFrame, dates: DataFrame, keys: list[str], by=()) -> DataFrame:
     d = dates.select("date_id", *[F.col(k).cast("int").alias(k) for k in keys])
-    return (dt.select("date_id", "total_passengers").join(d, "date_id")
-            .groupBy(*keys).agg(_sum()))
+    return (dt.select(*by, "date_id", "total_passengers").join(d, "date_id")
+            .groupBy(*_keys(by, *keys)).agg(_sum()))
 
 
-def passengers_by_year(dt: DataFrame, dates: DataFrame) -> DataFrame:
-    return _period(dt, dates, ["year"])
+def passengers_by_year(dt: DataFrame, dates: DataFrame, by=()) -> DataFrame:
+    return _period(dt, dates, ["year"], by)
 
 
-def quarterly_trend(dt: DataFrame, dates: DataFrame) -> DataFrame:
-    return _period(dt, dates, ["year", "quarter"])
+def quarterly_trend(dt: DataFrame, dates: DataFrame, by=()) -> DataFrame:
+    return _period(dt, dates, ["year", "quarter"], by)
 
 
 # --- M3 -------------------------------------------------------------------
-def passengers_by_line(st: DataFrame, bridge: DataFrame, lines: DataFrame) -> DataFrame:
-    per_line = (st.select("station_id", "total_passengers")
+def passengers_by_line(st: DataFrame, bridge: DataFrame, lines: DataFrame, by=()) -> DataFrame:
+    per_line = (st.select(*by, "station_id", "total_passengers")
                 .join(bridge.select("station_id", "line_id"), "station_id")
-                .groupBy("line_id").agg(_sum()))
+                .groupBy(*_keys(by, "line_id")).agg(_sum()))
     return (per_line.join(lines.select("line_id", "line_name"), "line_id")
-            .groupBy("line_name").agg(_sum()))
+            .groupBy(*_keys(by, "line_name")).agg(_sum()))
 
 
 # --- M4 -------------------------------------------------------------------
-def passengers_by_network(st: DataFrame, stations: DataFrame, networks: DataFrame) -> DataFrame:
-    per_network = (st.select("station_id", "total_passengers")
+def passengers_by_network(st: DataFrame, stations: DataFrame, networks: DataFrame,
+                          by=()) -> DataFrame:
+    per_network = (st.select(*by, "station_id", "total_passengers")
                    .join(stations.select("station_id", "network_id"), "station_id")
-                   .groupBy("network_id").agg(_sum()))
+                   .groupBy(*_keys(by, "network_id")).agg(_sum()))
     return (per_network
             .join(networks.select("network_id", "network_name", "network_type"), "network_id")
-            .groupBy("network_name", "network_type").agg(_sum()))
+            .groupBy(*_keys(by, "network_name", "network_type")).agg(_sum()))
 
 
 # --- M5 -------------------------------------------------------------------
@@ -104,12 +112,13 @@ def interchange_stations(bridge: DataFrame, stations: DataFrame) -> DataFrame:
 
 
 # --- M7 -------------------------------------------------------------------
-def flag_partials(st: DataFrame, stations: DataFrame, flag: str = "has_night_tube") -> DataFrame:
-    """(flag, num_records, total_passengers, num_measured): additive, mergeable."""
+def flag_partials(st: DataFrame, stations: DataFrame, flag: str = "has_night_tube",
+                  by=()) -> DataFrame:
+    """(by..., flag, num_records, total_passengers, num_measured): additive, mergeable."""
     return (st.join(stations.select("station_id", flag), "station_id")
-            .groupBy(flag).agg(F.sum("num_records").alias("num_records"),
-                               _sum(),
-                               F.sum("num_measured").alias("num_measured")))
+            .groupBy(*_keys(by, flag)).agg(F.sum("num_records").alias("num_records"),
+                                           _sum(),
+                                           F.sum("num_measured").alias("num_measured")))
 
 
 def finish_flag_stats(partials: DataFrame, flag: str = "has_night_tube") -> DataFrame:
@@ -127,6 +136,15 @@ def night_tube_analysis(st: DataFrame, stations: DataFrame, flag: str = "has_nig
     return finish_flag_stats(flag_partials(st, stations, flag), flag)
 
 
+def merge_mean_of_means(old: DataFrame, new: DataFrame, flag: str = "has_night_tube") -> DataFrame:
+    """Compatibility merge of two night-service marts: counts and totals add up, the
+    average is the unweighted mean of the two averages (exact only for equal counts)."""
+    cols = [flag, "num_records", "total_passengers", "avg_passengers_per_record"]
+    return (old.select(*cols).unionByName(new.select(*cols)).groupBy(flag)
+            .agg(F.sum("num_records").alias("num_records"), _sum(),
+                 F.avg("avg_passengers_per_record").alias("avg_passengers_per_record")))
+
+
 # --- ordering as the marts are presented (O1 / O2) ------------------------------
 MART_ORDER = {
     "busiest_stations": [("total_passengers", "desc"), ("station_name", "asc")],
