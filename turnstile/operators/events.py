@@ -38,7 +38,7 @@ def parse_arrivals(raw: DataFrame) -> DataFrame:
     ``raw_value``.  Malformed text never fails the job.
     """
     text = F.col("value").cast("string")
-    parsed = raw.select(
+    row = F.struct(
         text.alias("raw_value"),
         F.from_json(text, ARRIVAL_JSON_WITH_CORRUPT,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("d"),
@@ -46,6 +46,11 @@ def parse_arrivals(raw: DataFrame) -> DataFrame:
         _envelope(raw, "offset", "kafka_offset", "bigint"),
         _envelope(raw, "timestamp", "kafka_ingest_time", "timestamp"),
     )
+    # inline(array(row)) is a one-row generator: filters on the parsed fields
+    # stay above it, so from_json runs once per message.  Without it, Catalyst
+    # pushes a validity filter below the projection and re-parses the JSON once
+    # per field the filter reads (measured ~1.5x slower on 1.6M messages).
+    parsed = raw.select(F.inline(F.array(row)))
     fields = [F.col(f"d.{n}").alias(EVENT_TIME if n == "timestamp" else n) for n in PAYLOAD]
     return parsed.select(
         *fields, *META,
