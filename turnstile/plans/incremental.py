@@ -3,25 +3,27 @@
 Store layout under ``root`` (all Parquet):
 
   ledger/                          source_table, processed_year, processed_at (append only)
-  partials/station/load_year=Y/    station_id, total_passengers, num_records, num_measured
-  partials/<mart>/load_year=Y/     the additive marts at their own keys, per loaded year
+  partials/base/load_year=Y/       grain ('station' | 'quarter'), station_id, quarter,
+                                   total_passengers, num_records, num_measured, load_seq
+  partials/<mart>/load_year=Y/     the station-derived marts at their own keys, per year
   interchange/load_seq=N/          station_name, num_lines of one load (replace-by-key)
 
-How a load runs:
-
-1. fact JOIN dates gives each fact row its year; the incoming years are the
-   distinct years, the years to process are incoming minus the ledger (or all
-   incoming with ``reload=True``).  The gate is checkpointed so every later
-   action sees the same set.
-2. Facts of those years are aggregated once per (year, station) and once per
-   (year, date); the additive marts (busiest stations, by line, by network,
-   night service, by quarter) are derived from those small partials with the
-   dimensions of this load ("as loaded").  Each is written with dynamic
-   partition overwrite: a re-run replaces its years, never adds them twice.
-3. The interchange mart of this load is appended as a new ``load_seq``; the
+How a load runs (the fact is scanned once):
+
+1. fact JOIN dates gives each fact row its year.  Rows of years already in
+   the ledger are dropped by an anti join against the ledger's year set (a
+   handful of rows, so AQE broadcasts it); ``reload=True`` keeps them.
+2. One grouping-sets aggregate computes both partials of the remaining rows:
+   per (year, station) and per (year, quarter).  It is written with dynamic
+   partition overwrite by year, tagged with this load's ``load_seq``: a re-run
+   replaces its years, never adds them twice.
+3. The station-derived marts (busiest stations, by line, by network, night
+   service) are computed from this load's station partial with the
+   dimensions of this load ("as loaded") and written the same way.
+4. The interchange mart of this load is appended as a new ``load_seq``; the
    mart keeps, per station name, the rows of its newest load.
-4. The processed years are appended to the ledger last.  A crash before that
-   step re-runs the same years and overwrites the same partitions.
+5. The years of this load are appended to the ledger last.  A crash before
+   that step re-runs the same years and overwrites the same partitions.
 
 A mart is read by summing its partials over all years (sum, counts and the
 measured count are additive, so the average stays exact).  Nothing ever
@@ -32,6 +34,7 @@ cannot be assigned a year; they are counted in the result and not loaded.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,7 +44,6 @@ from pyspark.sql import types as T
 
 from ..operators import keysets, marts
 from ..schemas import LEDGER
-from ..session import checkpoint_root
 from ..sources.files import read_parquet_or_none
 from ..star import Star
 
@@ -53,17 +55,20 @@ ADDITIVE = {
     "busiest_stations": ["station_name"],
     "passengers_by_line": ["line_name"],
     "passengers_by_network": ["network_name", "network_type"],
-    "quarterly_trend": ["year", "quarter"],
     "night_tube_analysis": ["has_night_tube"],
 }
 
 
 @dataclass
 class LoadResult:
-    years: DataFrame          # years loaded by this run (checkpointed, tiny)
-    loaded: bool              # False when every incoming year was already processed
+    years: DataFrame          # years loaded by this run (from its own partial rows)
     load_seq: int
 
+    @property
+    def loaded(self) -> bool:
+        """False when every incoming year was already processed."""
+        return not self.years.isEmpty()
+
 
 def dated_facts(star: Star) -> DataFrame:
     """Fact rows with the year and quarter of their date (inner join on date_id)."""
@@ -121,36 +126,52 @@ class MartStore:
          .partitionBy(LOAD_KEY).parquet(self.path("partials", name)))
 
     def load(self, star: Star, reload: bool = False, flag: str = "has_night_tube") -> LoadResult:
-        checkpoint_root(self.spark)  # make sure a reliable checkpoint folder is set
-        incoming = incoming_years(star)
-        todo = incoming if reload else years_to_process(incoming, self.ledger(), self.source)
-        todo = todo.checkpoint()  # freeze the gate (tiny: one row per year)
-        loaded = not todo.isEmpty()
-        if loaded:
-            gated = keysets.only_keys_in(dated_facts(star), todo, "year") \
-                .withColumn(LOAD_KEY, F.col("year"))
-            st = marts.station_totals(gated, by=(LOAD_KEY,))
-            self._write_partial(st, "station")
-            st = self.spark.read.parquet(self.path("partials", "station"))
-            st = keysets.only_keys_in(st, todo.withColumnRenamed("year", LOAD_KEY), LOAD_KEY)
-            by = (LOAD_KEY,)
-            self._write_partial(marts.busiest_stations(st, star.stations, by), "busiest_stations")
-            self._write_partial(marts.passengers_by_line(st, star.bridge, star.lines, by),
-                                "passengers_by_line")
-            self._write_partial(marts.passengers_by_network(st, star.stations, star.networks, by),
-                                "passengers_by_network")
-            self._write_partial(marts.flag_partials(st, star.stations, flag, by),
-                                "night_tube_analysis")
-            quarters = gated.groupBy(LOAD_KEY, "year", "quarter").agg(
-                F.sum(marts.MEASURE).alias("total_passengers"))
-            self._write_partial(quarters, "quarterly_trend")
         load_seq = time.time_ns() // 1_000_000
-        (marts.interchange_stations(star.bridge, star.stations)
-         .withColumn("load_seq", F.lit(load_seq))
-         .write.mode("append").partitionBy("load_seq").parquet(self.path("interchange")))
-        if loaded:
-            ledger_rows(todo, self.source).write.mode("append").parquet(self.path("ledger"))
-        return LoadResult(years=todo, loaded=loaded, load_seq=load_seq)
+        dated = dated_facts(star).withColumn(LOAD_KEY, F.col("year"))
+        if not reload:
+            done = self.processed_years().withColumnRenamed("year", LOAD_KEY)
+            dated = keysets.drop_keys_in(dated, done, LOAD_KEY)
+        base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter"]],
+                                   LOAD_KEY, "station_id", "quarter")
+                .agg(F.sum(marts.MEASURE).alias("total_passengers"),
+                     F.count("entry_exit_id").alias("num_records"),
+                     F.count(marts.MEASURE).alias("num_measured"),
+                     F.grouping_id().alias("_gid"))
+                .select(F.when(F.col("_gid") == 1, F.lit("station")).otherwise(F.lit("quarter"))
+                        .alias("grain"),
+                        "station_id", "quarter", "total_passengers", "num_records",
+                        "num_measured", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
+        self._write_partial(base, "base")
+        this = self.partial("base")
+        writes = []
+        if this is not None:
+            this = this.filter(F.col("load_seq") == load_seq)
+            st = this.filter(F.col("grain") == "station").select(
+                LOAD_KEY, "station_id", "total_passengers", "num_records", "num_measured")
+            by = (LOAD_KEY,)
+            writes += [
+                (marts.busiest_stations(st, star.stations, by), "busiest_stations"),
+                (marts.passengers_by_line(st, star.bridge, star.lines, by), "passengers_by_line"),
+                (marts.passengers_by_network(st, star.stations, star.networks, by),
+                 "passengers_by_network"),
+                (marts.flag_partials(st, star.stations, flag, by), "night_tube_analysis"),
+            ]
+        interchange = (marts.interchange_stations(star.bridge, star.stations)
+                       .withColumn("load_seq", F.lit(load_seq)))
+        # independent small jobs: submitted together, Spark schedules them side by side
+        with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
+            futures = [pool.submit(self._write_partial, df, name) for df, name in writes]
+            futures.append(pool.submit(
+                lambda: interchange.write.mode("append").partitionBy("load_seq")
+                .parquet(self.path("interchange"))))
+            for f in futures:
+                f.result()
+        if this is None:
+            years = self.spark.createDataFrame([], "year int")
+        else:
+            years = this.select(F.col(LOAD_KEY).cast("int").alias("year")).distinct()
+            ledger_rows(years, self.source).write.mode("append").parquet(self.path("ledger"))
+        return LoadResult(years=years, load_seq=load_seq)
 
     # -- read ----------------------------------------------------------------
     def partial(self, name: str) -> DataFrame | None:
@@ -164,12 +185,16 @@ class MartStore:
                 return self.spark.createDataFrame([], "station_name string, num_lines bigint")
             return keysets.latest_version(log, ["station_name"], "load_seq") \
                 .select("station_name", "num_lines")
-        if name == "passengers_by_year":
-            q = self.partial("quarterly_trend")
-            if q is None:
-                return self.spark.createDataFrame([], "year int, total_passengers bigint")
-            return q.groupBy(F.col("year").cast("int").alias("year")).agg(
-                F.sum("total_passengers").alias("total_passengers"))
+        if name in ("passengers_by_year", "quarterly_trend"):
+            keys = ["year"] if name == "passengers_by_year" else ["year", "quarter"]
+            base = self.partial("base")
+            if base is None:
+                return self.spark.createDataFrame(
+                    [], ", ".join(f"{k} int" for k in keys) + ", total_passengers bigint")
+            q = base.filter(F.col("grain") == "quarter").select(
+                F.col(LOAD_KEY).cast("int").alias("year"), F.col("quarter").cast("int").alias("quarter"),
+                "total_passengers")
+            return q.groupBy(*keys).agg(F.sum("total_passengers").alias("total_passengers"))
         p = self.partial(name)
         if name == "night_tube_analysis":
             if p is None:
