@@ -31,8 +31,19 @@ from .star import Star
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table.  The frame (file listing + footer schema) is made once per
+    session and reused: the tables are read-only, and every query plans its own
+    scan from it, so pruning and pushdown are unaffected."""
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _TABLES[key] = df
+    return df
 
 
 def date_id_of(day: Column) -> Column:
