@@ -59,9 +59,10 @@ for _q, _m in _MART_QUERY.items():
           + "\nORDER BY total_passengers DESC, station_name LIMIT 10")
 def top10_entities(spark, sf_dir):
     """Top-n preview of the busiest-stations mart (limit is the feature)."""
+    from .operators.topn import top_n
     star = adapters.test_star(spark, sf_dir)
     m = marts.busiest_stations(marts.station_totals(star.fact), star.stations)
-    return m.orderBy(F.desc("total_passengers"), F.asc("station_name")).limit(10)
+    return top_n(m, 10, F.desc("total_passengers"), F.asc("station_name"))
 
 
 def _row_counts_sql() -> str:
@@ -460,3 +461,28 @@ def stream_keyed_upsert(spark, sf_dir):
                                   trigger={"availableNow": True})
     stream.run_for(q, None)
     return stream.current_rows(spark, f"{root}/store")
+
+
+@register("topic_message_count", "SELECT COUNT(*) AS total_records FROM events")
+def topic_message_count(spark, sf_dir):
+    """Messages on the topic (V5): a count over the bounded envelope scan."""
+    return adapters.arrival_messages(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_records"))
+
+
+@register("keyed_store_count", oracle.messages_sql(f"""
+SELECT COUNT(DISTINCT row_key) AS total_records FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)"""))
+def keyed_store_count(spark, sf_dir):
+    """Rows in the keyed store after all messages (V6)."""
+    return ev.keyed_latest(ev.enrich(_valid(spark, sf_dir))).agg(F.count(F.lit(1)).alias("total_records"))
+
+
+@register("keyed_store_preview", oracle.messages_sql(f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY row_key ORDER BY ingestionTime DESC,
+                               kafka_partition DESC, kafka_offset DESC) AS rn
+  FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)) WHERE rn = 1
+ORDER BY row_key LIMIT 5"""))
+def keyed_store_preview(spark, sf_dir):
+    """First five rows of the keyed store by row key (V7, K8)."""
+    from .operators.topn import preview
+    return preview(ev.keyed_latest(ev.enrich(_valid(spark, sf_dir))), 5, "row_key")
