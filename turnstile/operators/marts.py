@@ -55,6 +55,29 @@ def date_totals(fact: DataFrame, by=()) -> DataFrame:
     return _totals(fact, "date_id", by)
 
 
+def station_and_date_totals(fact: DataFrame) -> DataFrame:
+    """Both pre-aggregates from one scan of the fact (GROUPING SETS (station_id), (date_id)).
+
+    Rows carry ``grain`` = 'station' or 'date'; split them with ``split_totals``.
+    The fact is read once, expanded to two rows per fact row inside the
+    task, and partially aggregated before the single shuffle.
+    """
+    return (fact.groupingSets([["station_id"], ["date_id"]], "station_id", "date_id")
+            .agg(F.sum(MEASURE).alias("total_passengers"),
+                 F.count("entry_exit_id").alias("num_records"),
+                 F.count(MEASURE).alias("num_measured"),
+                 F.grouping_id().alias("_gid"))
+            .select(F.when(F.col("_gid") == 1, F.lit("station")).otherwise(F.lit("date")).alias("grain"),
+                    "station_id", "date_id", "total_passengers", "num_records", "num_measured"))
+
+
+def split_totals(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    cols = ["total_passengers", "num_records", "num_measured"]
+    st = both.filter(F.col("grain") == "station").select("station_id", *cols)
+    dt = both.filter(F.col("grain") == "date").select("date_id", *cols)
+    return st, dt
+
+
 def _sum(col: str = "total_passengers", alias: str = "total_passengers"):
     return F.sum(col).alias(alias)
 

@@ -4,9 +4,9 @@ Two ways, same numbers:
 
 * ``write_marts`` computes each mart straight from the star and writes it to
   ``out/<mart>`` (a folder nothing in the job reads).  All marts come from a
-  single station aggregate and a single date aggregate of the fact when the
-  shared aggregates are written first (``share_aggregates=True``): the fact
-  is then scanned twice in total instead of once per mart.
+  single grouping-sets aggregate of the fact when the shared aggregates are
+  written first (``share_aggregates=True``): the fact is then scanned once in
+  total instead of once per mart.
 * ``incremental.MartStore.load`` on the full star: the same marts, plus the
   ledger rows that let later increments skip what is already loaded.
 """
@@ -27,20 +27,17 @@ from ..star import Star
 def shared_aggregates(star: Star, share: bool = True) -> tuple[DataFrame, DataFrame]:
     """Station and date aggregates of the fact.
 
-    With ``share`` they are written once as Parquet under the shared
-    checkpoint folder and read back: one fact scan each, lineage cut, and the
-    files survive executor loss.  (A reliable ``checkpoint()`` would compute
-    them twice: once for its count and once more to write the checkpoint.)
+    With ``share`` both come from one grouping-sets aggregate (one fact scan),
+    written once as Parquet under the shared checkpoint folder and read back:
+    lineage cut, and the files survive executor loss.  (A reliable
+    ``checkpoint()`` would compute them twice: once for its count and once
+    more to write the checkpoint.)
     """
-    st = marts.station_totals(star.fact)
-    dt = marts.date_totals(star.fact)
-    if share:
-        root = scratch_dir(star.spark, "shared-aggregates")
-        st.write.parquet(f"{root}/station")
-        dt.write.parquet(f"{root}/date")
-        st = star.spark.read.parquet(f"{root}/station")
-        dt = star.spark.read.parquet(f"{root}/date")
-    return st, dt
+    if not share:
+        return marts.station_totals(star.fact), marts.date_totals(star.fact)
+    path = scratch_dir(star.spark, "shared-aggregates")
+    marts.station_and_date_totals(star.fact).write.parquet(path)
+    return marts.split_totals(star.spark.read.parquet(path))
 
 
 def build_marts(star: Star, share_aggregates: bool = True,
