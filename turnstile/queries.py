@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import adapters, oracle
+from .operators import events as ev
 from .operators import marts
+from .operators.dedup import latest_rows
+from .plans import backlog, catalog, full_load
+from .plans import incremental as inc
+from .session import scratch_dir
+from .sources import delimited, files, messages
+from .streaming import arrivals as stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -82,8 +89,6 @@ def mart_row_counts(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- arrival feed
-from .operators import events as ev  # noqa: E402
-from .operators.dedup import latest_rows  # noqa: E402
 
 
 def _parsed(spark, sf_dir):
@@ -212,8 +217,6 @@ def keyed_latest(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- incremental load
-from .plans import incremental as inc  # noqa: E402
-from .session import scratch_dir  # noqa: E402
 
 _STORES: dict[tuple, inc.MartStore] = {}
 
@@ -325,9 +328,6 @@ def extract_year_slice(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sources, sinks, catalog
-from .plans import backlog, catalog, full_load  # noqa: E402
-from .sources import delimited, files, messages  # noqa: E402
-from .streaming import arrivals as stream  # noqa: E402
 
 _STATIONS_SQL = ("SELECT s_suppkey AS station_id, s_name AS station_name, "
                  "s_nationkey AS network_id, s_acctbal > 0 AS has_night_tube FROM supplier")

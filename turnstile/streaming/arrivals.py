@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -69,11 +70,16 @@ def keyed_batch_writer(root: str, run_id: str):
     root = root.rstrip("/")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = ev.parse_arrivals(batch)
-        rows = ev.keyed_latest(ev.enrich(ev.valid_rows(parsed)))
-        rows.write.mode("overwrite").parquet(f"{root}/log/run={run_id}/batch_id={batch_id}")
-        (ev.quarantine_rows(parsed).write.mode("overwrite")
-         .parquet(f"{root}/quarantine/run={run_id}/batch_id={batch_id}"))
+        # two writes read the same micro-batch: keep it (bounded by the trigger's
+        # max offsets/files) so the source is fetched once per batch
+        parsed = ev.parse_arrivals(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = ev.keyed_latest(ev.enrich(ev.valid_rows(parsed)))
+            rows.write.mode("overwrite").parquet(f"{root}/log/run={run_id}/batch_id={batch_id}")
+            (ev.quarantine_rows(parsed).write.mode("overwrite")
+             .parquet(f"{root}/quarantine/run={run_id}/batch_id={batch_id}"))
+        finally:
+            parsed.unpersist()
 
     return write
 
