@@ -74,3 +74,33 @@ def test_no_forced_broadcast_of_dimensions(spark):
     for name in marts.MART_NAMES:
         analyzed = marts.mart(star, name)._jdf.queryExecution().analyzed().toString()
         assert "ResolvedHint" not in analyzed and "strategy=broadcast" not in analyzed, name
+
+
+def test_granularity_filter(spark):
+    star = small_star(spark)
+    dates = star.dates.withColumn("is_annual", F.col("quarter").isNull())
+    dt = marts.date_totals(star.fact)
+    assert as_set(marts.passengers_by_year(dt, dates, annual=True)) == {(2021, 20)}
+    assert as_set(marts.passengers_by_year(dt, dates, annual=False)) == {(2020, 125)}
+
+
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_reduced_map_side(spark):
+    """A key holding a third of all rows must be combined before the shuffle."""
+    from turnstile.operators import events as ev
+    fact = spark.range(30000).selectExpr(
+        "id AS entry_exit_id",
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE CAST(id AS INT) END AS station_id",  # skewed fixture
+        "20200101 AS date_id", "CAST(1 AS BIGINT) AS total_entry_exit")
+    plan = _executed(marts.station_totals(fact))
+    assert "partial_sum" in plan and plan.index("partial_sum") > plan.index("Exchange")
+    rows = fact.selectExpr("CAST(station_id AS STRING) AS id", "entry_exit_id AS kafka_offset",
+                           "0 AS kafka_partition", "CAST(NULL AS TIMESTAMP) AS kafka_ingest_time")
+    plan = _executed(ev.latest_by(rows, ["id"], ["kafka_ingest_time", "kafka_partition", "kafka_offset"]))
+    assert "partial_max_by" in plan
+    got = marts.station_totals(fact).filter("station_id = 1").first()
+    # ids divisible by 3, plus id 1 itself
+    assert (got["num_records"], got["total_passengers"]) == (10001, 10001)

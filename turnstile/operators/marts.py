@@ -93,18 +93,23 @@ def busiest_stations(st: DataFrame, stations: DataFrame, by=()) -> DataFrame:
 
 
 # --- M2 / M6 ------------------------------------------------------------------
-def _period(dt: DataFrame, dates: DataFrame, keys: list[str], by=()) -> DataFrame:
+def _period(dt: DataFrame, dates: DataFrame, keys: list[str], by=(),
+            annual: bool | None = None) -> DataFrame:
+    # annual=None keeps annual and sub-annual rows together (the marts' definition);
+    # True / False restricts the dates to one granularity via is_annual
+    if annual is not None:
+        dates = dates.filter(F.col("is_annual") == F.lit(annual))
     d = dates.select("date_id", *[F.col(k).cast("int").alias(k) for k in keys])
     return (dt.select(*by, "date_id", "total_passengers").join(d, "date_id")
             .groupBy(*_keys(by, *keys)).agg(_sum()))
 
 
-def passengers_by_year(dt: DataFrame, dates: DataFrame, by=()) -> DataFrame:
-    return _period(dt, dates, ["year"], by)
+def passengers_by_year(dt: DataFrame, dates: DataFrame, by=(), annual: bool | None = None) -> DataFrame:
+    return _period(dt, dates, ["year"], by, annual)
 
 
-def quarterly_trend(dt: DataFrame, dates: DataFrame, by=()) -> DataFrame:
-    return _period(dt, dates, ["year", "quarter"], by)
+def quarterly_trend(dt: DataFrame, dates: DataFrame, by=(), annual: bool | None = None) -> DataFrame:
+    return _period(dt, dates, ["year", "quarter"], by, annual)
 
 
 # --- M3 -------------------------------------------------------------------
