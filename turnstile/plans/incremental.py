@@ -7,12 +7,15 @@ Store layout under ``root`` (all Parquet):
                                    total_passengers, num_records, num_measured, load_seq
   partials/<mart>/load_year=Y/     the station-derived marts at their own keys, per year
   interchange/load_seq=N/          station_name, num_lines of one load (replace-by-key)
+  runs/load_seq=N/dates/           the dates (and years) a load covered
 
 How a load runs (the fact is scanned once):
 
-1. fact JOIN dates gives each fact row its year.  Rows of years already in
-   the ledger are dropped by an anti join against the ledger's year set (a
-   handful of rows, so AQE broadcasts it); ``reload=True`` keeps them.
+1. The dates of years already in the ledger are removed from the date
+   dimension (``reload=True`` keeps them); the remaining dates are written
+   under ``runs/load_seq=N/dates`` and joined to the facts, broadcast after a
+   row-count check, so only facts of new years go on and the raw fact is
+   never shuffled.
 2. One grouping-sets aggregate computes both partials of the remaining rows:
    per (year, station) and per (year, quarter).  It is written with dynamic
    partition overwrite by year, tagged with this load's ``load_seq``: a re-run
@@ -42,7 +45,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import keysets, marts
+from ..operators import joins, keysets, marts
 from ..schemas import LEDGER
 from ..sources.files import read_parquet_or_none
 from ..star import Star
@@ -70,13 +73,6 @@ class LoadResult:
         return not self.years.isEmpty()
 
 
-def dated_facts(star: Star) -> DataFrame:
-    """Fact rows with the year and quarter of their date (inner join on date_id)."""
-    d = star.dates.select("date_id", F.col("year").cast("int").alias("year"),
-                          F.col("quarter").cast("int").alias("quarter"))
-    return star.fact.join(d, "date_id")
-
-
 def incoming_years(star: Star) -> DataFrame:
     """Distinct years present in the fact batch."""
     dt = marts.date_totals(star.fact)  # one row per date before the join
@@ -125,12 +121,31 @@ class MartStore:
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(LOAD_KEY).parquet(self.path("partials", name)))
 
-    def load(self, star: Star, reload: bool = False, flag: str = "has_night_tube") -> LoadResult:
-        load_seq = time.time_ns() // 1_000_000
-        dated = dated_facts(star).withColumn(LOAD_KEY, F.col("year"))
+    def gated_facts(self, star: Star, load_seq: int, reload: bool = False,
+                    max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+        """Facts of the years this load processes, with load_year and quarter.
+
+        The gate is applied to the date dimension, not to the facts: dates of
+        years already in the ledger are removed (anti join against a handful of
+        years), the remaining dates are written for this run, and the facts meet
+        them in one inner join.  That join is map-side when the written date
+        table is proven small (one row per day), so the raw fact is never
+        shuffled before it is aggregated.
+        """
+        dates = star.dates.select("date_id", F.col("year").cast("int").alias(LOAD_KEY),
+                                  F.col("quarter").cast("int").alias("quarter"))
         if not reload:
             done = self.processed_years().withColumnRenamed("year", LOAD_KEY)
-            dated = keysets.drop_keys_in(dated, done, LOAD_KEY)
+            dates = keysets.drop_keys_in(dates, done, LOAD_KEY)
+        gate_path = self.path("runs", f"load_seq={load_seq}", "dates")
+        dates.write.parquet(gate_path)
+        dates = self.spark.read.parquet(gate_path)
+        return joins.join_bounded(star.fact, dates, "date_id", "inner", max_broadcast_rows)
+
+    def load(self, star: Star, reload: bool = False, flag: str = "has_night_tube",
+             max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS) -> LoadResult:
+        load_seq = time.time_ns() // 1_000_000
+        dated = self.gated_facts(star, load_seq, reload, max_broadcast_rows)
         base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter"]],
                                    LOAD_KEY, "station_id", "quarter")
                 .agg(F.sum(marts.MEASURE).alias("total_passengers"),

@@ -13,11 +13,17 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings every job in this package relies on.  AQE re-plans joins from
-# runtime sizes (a dimension becomes a broadcast only when its measured
-# shuffle output is under the threshold), coalesces small shuffle
-# partitions and splits skewed join partitions.
+# runtime sizes, coalesces small shuffle partitions and splits skewed join
+# partitions.  Broadcasts: the planner's static choice works from file-size
+# estimates (compressed bytes on disk, not a bound on the rows), so it is
+# off; a join side is broadcast only after AQE has measured its shuffle
+# output below the adaptive threshold.  Every fact side reaching a join is
+# already hash-partitioned on the join key by its pre-aggregate, so the
+# sort-merge fallback shuffles only the dimension.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",

@@ -92,6 +92,7 @@ def refresh_tables(spark: SparkSession, conn: Connection, tables: list[str],
 
 def year_slice(star: Star, year: int) -> DataFrame:
     """The same slice on DataFrames: facts of one year, fact columns only."""
-    years = star.dates.filter(F.col("year").cast("int") == year).select("date_id")
-    return star.fact.join(years, "date_id", "left_semi") \
+    from ..operators.joins import join_bounded
+    days = star.dates.filter(F.col("year").cast("int") == year).select("date_id")
+    return join_bounded(star.fact, days, "date_id", "left_semi") \
         .select("entry_exit_id", "station_id", "date_id", "total_entry_exit")
