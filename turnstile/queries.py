@@ -486,3 +486,19 @@ def keyed_store_preview(spark, sf_dir):
     """First five rows of the keyed store by row key (V7, K8)."""
     from .operators.topn import preview
     return preview(ev.keyed_latest(ev.enrich(_valid(spark, sf_dir))), 5, "row_key")
+
+
+@register("stream_dedup_ids", oracle.messages_sql("SELECT DISTINCT id FROM valid"))
+def stream_dedup_ids(spark, sf_dir):
+    """Streaming dedup with bounded state (watermark horizon wider than the feed's
+    time span): every valid id comes out exactly once across micro-batches.  The
+    surviving row within a batch is the first seen, so only the ids are compared."""
+    src = messages.envelope_files(spark, _message_files(spark, sf_dir), streaming=True,
+                                  max_files_per_trigger=4)
+    parsed = ev.parse_arrivals(src).filter(ev.is_valid()).drop("raw_value", ev.CORRUPT_COLUMN)
+    root = scratch_dir(spark, "stream-dedup")
+    q = (stream.dedup_within(parsed, "3650 days").writeStream.format("parquet")
+         .option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+         .trigger(availableNow=True).start())
+    stream.run_for(q, None)
+    return spark.read.parquet(f"{root}/out").select("id")
