@@ -8,6 +8,7 @@ Store layout under ``root`` (all Parquet):
   partials/<mart>/load_year=Y/     the station-derived marts at their own keys, per year
   interchange/load_seq=N/          station_name, num_lines of one load (replace-by-key)
   runs/load_seq=N/dates/           the dates (and years) a load covered
+  runs/load_seq=N/bridge/          the station-line bridge in force for that load
 
 How a load runs (the fact is scanned once):
 
@@ -157,6 +158,11 @@ class MartStore:
                         "station_id", "quarter", "total_passengers", "num_records",
                         "num_measured", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
         self._write_partial(base, "base")
+        # the bridge in force for this load, written once: both the line mart and
+        # the interchange mart read it (and it records the "as loaded" mapping)
+        bridge_path = self.path("runs", f"load_seq={load_seq}", "bridge")
+        star.bridge.select("station_id", "line_id").write.parquet(bridge_path)
+        bridge = self.spark.read.parquet(bridge_path)
         this = self.partial("base")
         writes = []
         if this is not None:
@@ -166,12 +172,12 @@ class MartStore:
             by = (LOAD_KEY,)
             writes += [
                 (marts.busiest_stations(st, star.stations, by), "busiest_stations"),
-                (marts.passengers_by_line(st, star.bridge, star.lines, by), "passengers_by_line"),
+                (marts.passengers_by_line(st, bridge, star.lines, by), "passengers_by_line"),
                 (marts.passengers_by_network(st, star.stations, star.networks, by),
                  "passengers_by_network"),
                 (marts.flag_partials(st, star.stations, flag, by), "night_tube_analysis"),
             ]
-        interchange = (marts.interchange_stations(star.bridge, star.stations)
+        interchange = (marts.interchange_stations(bridge, star.stations)
                        .withColumn("load_seq", F.lit(load_seq)))
         # independent small jobs: submitted together, Spark schedules them side by side
         with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
