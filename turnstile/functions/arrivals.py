@@ -52,9 +52,14 @@ def peak_bucket(ingested) -> Column:
     return F.coalesce(out, F.lit(PEAK_OTHER))
 
 
+# Every character Python's str.isspace() accepts (built from that rule, not listed).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
 def clean_text(c) -> Column:
-    """Null -> '', single quotes removed, outer blanks trimmed."""
-    return F.trim(F.replace(F.coalesce(_col(c).cast("string"), F.lit("")), F.lit("'"), F.lit("")))
+    """Null -> '', single quotes removed, surrounding whitespace stripped."""
+    text = F.replace(F.coalesce(_col(c).cast("string"), F.lit("")), F.lit("'"), F.lit(""))
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def _key_part(c) -> Column:
