@@ -146,22 +146,26 @@ class MartStore:
     def load(self, star: Star, reload: bool = False, flag: str = "has_night_tube",
              max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS) -> LoadResult:
         load_seq = time.time_ns() // 1_000_000
-        dated = self.gated_facts(star, load_seq, reload, max_broadcast_rows)
-        base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter"]],
-                                   LOAD_KEY, "station_id", "quarter")
-                .agg(F.sum(marts.MEASURE).alias("total_passengers"),
-                     F.count("entry_exit_id").alias("num_records"),
-                     F.count(marts.MEASURE).alias("num_measured"),
-                     F.grouping_id().alias("_gid"))
-                .select(F.when(F.col("_gid") == 1, F.lit("station")).otherwise(F.lit("quarter"))
-                        .alias("grain"),
-                        "station_id", "quarter", "total_passengers", "num_records",
-                        "num_measured", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
-        self._write_partial(base, "base")
         # the bridge in force for this load, written once: both the line mart and
-        # the interchange mart read it (and it records the "as loaded" mapping)
+        # the interchange mart read it (and it records the "as loaded" mapping);
+        # it does not depend on the facts, so it is written alongside them
         bridge_path = self.path("runs", f"load_seq={load_seq}", "bridge")
-        star.bridge.select("station_id", "line_id").write.parquet(bridge_path)
+        with ThreadPoolExecutor(max_workers=1) as side:
+            bridge_written = side.submit(
+                star.bridge.select("station_id", "line_id").write.parquet, bridge_path)
+            dated = self.gated_facts(star, load_seq, reload, max_broadcast_rows)
+            base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter"]],
+                                       LOAD_KEY, "station_id", "quarter")
+                    .agg(F.sum(marts.MEASURE).alias("total_passengers"),
+                         F.count("entry_exit_id").alias("num_records"),
+                         F.count(marts.MEASURE).alias("num_measured"),
+                         F.grouping_id().alias("_gid"))
+                    .select(F.when(F.col("_gid") == 1, F.lit("station")).otherwise(F.lit("quarter"))
+                            .alias("grain"),
+                            "station_id", "quarter", "total_passengers", "num_records",
+                            "num_measured", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
+            self._write_partial(base, "base")
+            bridge_written.result()
         bridge = self.spark.read.parquet(bridge_path)
         this = self.partial("base")
         writes = []
