@@ -120,3 +120,19 @@ def test_years_to_process_is_a_dataframe_difference(spark):
     todo = inc.years_to_process(inc.incoming_years(whole), ledger)
     assert [r[0] for r in todo.collect()] == [2001]
     assert F is not None
+
+
+def test_restate_with_current_dimensions(spark, tmp_root):
+    whole, full, incr = split_star(spark)
+    store = inc.MartStore(spark, tmp_root)
+    store.load(full)
+    store.load(incr)
+    # same dimensions: restated == as loaded
+    assert as_set(store.restated("busiest_stations", whole)) == as_set(store.mart("busiest_stations"))
+    # a renamed station: restated marts use the new name for every year
+    renamed = whole.stations.withColumn(
+        "station_name", F.when(F.col("station_id") == 1, F.lit("Renamed")).otherwise(F.col("station_name")))
+    new = Star(fact=whole.fact, dates=whole.dates, stations=renamed, networks=whole.networks,
+               lines=whole.lines, bridge=whole.bridge)
+    names = {r[0] for r in store.restated("busiest_stations", new).collect()}
+    assert "Renamed" in names and "Renamed" not in {r[0] for r in store.mart("busiest_stations").collect()}

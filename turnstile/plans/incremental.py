@@ -235,6 +235,26 @@ class MartStore:
         cast = [F.col(k).cast("int").alias(k) if k in ("year", "quarter") else F.col(k) for k in keys]
         return p.groupBy(*cast).agg(F.sum("total_passengers").alias("total_passengers"))
 
+    def restated(self, name: str, star: Star, flag: str = "has_night_tube") -> DataFrame:
+        """A station-derived mart recomputed from the stored per-station partials
+        with the dimensions and bridge of ``star`` (e.g. after a station was
+        renamed), instead of the dimensions in force when each year was loaded."""
+        base = self.partial("base")
+        if base is None:
+            return self.mart(name, flag)
+        st = base.filter(F.col("grain") == "station").groupBy("station_id").agg(
+            F.sum("total_passengers").alias("total_passengers"),
+            F.sum("num_records").alias("num_records"),
+            F.sum("num_measured").alias("num_measured"))
+        build = {
+            "busiest_stations": lambda: marts.busiest_stations(st, star.stations),
+            "passengers_by_line": lambda: marts.passengers_by_line(st, star.bridge, star.lines),
+            "passengers_by_network": lambda: marts.passengers_by_network(st, star.stations,
+                                                                         star.networks),
+            "night_tube_analysis": lambda: marts.night_tube_analysis(st, star.stations, flag),
+        }
+        return build[name]() if name in build else self.mart(name, flag)
+
     def marts(self) -> dict[str, DataFrame]:
         return {m: self.mart(m) for m in marts.MART_NAMES}
 
