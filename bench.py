@@ -4,8 +4,9 @@
 
 Each query's result is fully computed with the ``noop`` sink (no driver
 collect).  Queries that load a store or stream a topic include that work;
-their per-process caches are cleared before every run.  Each query runs
-``BENCH_RUNS`` times (default 2) after one warm-up; the best time counts.
+their per-process caches are cleared before every run.  Each query runs once
+after one warm-up; queries under 3 s run up to ``BENCH_RUNS`` times (default 2)
+and the best time counts (cheap to repeat, most exposed to noise).
 """
 
 from __future__ import annotations
@@ -37,10 +38,18 @@ def main() -> None:
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    run(names[0])  # warm-up: JIT, file listing caches
+    # warm-up: JIT-compile the common operators and fill file-listing caches
+    for name in ("mart_row_counts", "dedup_events_by_id", "keyed_latest"):
+        if name in registry.QUERIES:
+            run(name)
     timings = {}
     for name in names:
-        timings[name] = round(min(run(name) for _ in range(runs)), 3)
+        best = run(name)
+        for _ in range(runs - 1):
+            if best >= 3.0:
+                break
+            best = min(best, run(name))
+        timings[name] = round(best, 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "sum_of_best_query_seconds",
