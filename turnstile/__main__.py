@@ -54,7 +54,8 @@ def _parser() -> argparse.ArgumentParser:
         g.add_argument("--envelope", help="Parquet files in the topic envelope")
         g.add_argument("--servers", help="topic bootstrap servers (needs --topic)")
         sp.add_argument("--topic")
-        sp.add_argument("--fail-on-data-loss", action="store_true")
+        sp.add_argument("--tolerate-data-loss", action="store_true",
+                        help="continue when topic offsets were aged out (default: fail)")
         sp.add_argument("--max-files-per-trigger", type=int)
 
     b = sub.add_parser("backlog")
@@ -95,7 +96,7 @@ def _source(spark: SparkSession, a, streaming: bool):
     if not a.topic:
         raise SystemExit("--topic is required with --servers")
     return messages.topic_reader(spark, a.servers, a.topic, bounded=not streaming,
-                                 fail_on_data_loss=a.fail_on_data_loss)
+                                 fail_on_data_loss=not a.tolerate_data_loss)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
