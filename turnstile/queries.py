@@ -224,7 +224,8 @@ _STORES: dict[tuple, inc.MartStore] = {}
 def loaded_store(spark: SparkSession, sf_dir: str, rerun: bool = False) -> inc.MartStore:
     """A fresh store with the full load (years <= 2000) then the 2001 increment applied."""
     key = (id(spark), sf_dir, rerun)
-    if key not in _STORES:
+    cached = _STORES.get(key)
+    if cached is None or cached.spark is not spark:
         store = inc.MartStore(spark, scratch_dir(spark, "store"))
         store.load(adapters.full_star(spark, sf_dir))
         store.load(adapters.increment_star(spark, sf_dir))
