@@ -63,3 +63,15 @@ def test_load_aggregates_fact_before_shuffle(spark, tmp_root):
 def test_checker_sees_a_raw_shuffle(spark):
     li = adapters.table(spark, SF, "lineitem")
     assert raw_fact_shuffles(li.repartition(4, "l_suppkey"))
+
+
+def test_bounded_join_falls_back_above_the_bound(spark):
+    from turnstile.operators import joins
+    star = adapters.test_star(spark, SF)
+    days = star.dates.select("date_id", "year")
+    small = joins.join_bounded(star.fact, days, "date_id", max_rows=10_000)
+    big = joins.join_bounded(star.fact, days, "date_id", max_rows=10)   # bound fails: no broadcast
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    assert joins.row_bound_holds(days, 10_000) and not joins.row_bound_holds(days, 10)
