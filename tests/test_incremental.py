@@ -136,3 +136,18 @@ def test_restate_with_current_dimensions(spark, tmp_root):
                lines=whole.lines, bridge=whole.bridge)
     names = {r[0] for r in store.restated("busiest_stations", new).collect()}
     assert "Renamed" in names and "Renamed" not in {r[0] for r in store.mart("busiest_stations").collect()}
+
+
+def test_reload_of_an_emptied_year_removes_it(spark, tmp_root):
+    whole, full, incr = split_star(spark)
+    store = inc.MartStore(spark, tmp_root)
+    store.load(full)
+    store.load(incr)
+    # corrected 2001 feed: the dates are there, the facts are gone
+    emptied = incr.with_fact(incr.fact.limit(0))
+    store.load(emptied, reload=True)          # nothing incoming: 2001 stays as it was
+    assert 2001 in {r["year"] for r in store.mart("passengers_by_year").collect()}
+    store.load(emptied, reload=True, clear_years=[2001])
+    years = {r["year"] for r in store.mart("passengers_by_year").collect()}
+    assert 2001 not in years and years == set(range(1995, 2001))
+    assert as_set(store.mart("busiest_stations")) == as_set(marts.mart(full, "busiest_stations"))

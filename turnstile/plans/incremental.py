@@ -20,7 +20,9 @@ How a load runs (the fact is scanned once):
 2. One grouping-sets aggregate computes both partials of the remaining rows:
    per (year, station) and per (year, quarter).  It is written with dynamic
    partition overwrite by year, tagged with this load's ``load_seq``: a re-run
-   replaces its years, never adds them twice.
+   replaces its years, never adds them twice.  A year whose corrected facts
+   are empty is not in the batch, so its old partitions stay unless the
+   caller names it in ``clear_years``.
 3. The station-derived marts (busiest stations, by line, by network, night
    service) are computed from this load's station partial with the
    dimensions of this load ("as loaded") and written the same way.
@@ -48,7 +50,7 @@ from pyspark.sql import types as T
 
 from ..operators import joins, keysets, marts
 from ..schemas import LEDGER
-from ..sources.files import read_parquet_or_none
+from ..sources.files import delete_path, read_parquet_or_none
 from ..star import Star
 
 SOURCE = "fact_passenger_entry_exit"
@@ -143,9 +145,26 @@ class MartStore:
         dates = self.spark.read.parquet(gate_path)
         return joins.join_bounded(star.fact, dates, "date_id", "inner", max_broadcast_rows)
 
+    PARTIAL_TABLES = ("base", "busiest_stations", "passengers_by_line", "passengers_by_network",
+                      "night_tube_analysis")
+
+    def clear_years(self, years) -> None:
+        """Remove every partial of the given years (an explicit, caller-given list).
+
+        Dynamic overwrite replaces only the year partitions a load writes, so a
+        year whose corrected facts are empty would keep its old rows; clear it
+        first (``load(..., reload=True, clear_years=[y])``).
+        """
+        for name in self.PARTIAL_TABLES:
+            for year in years:
+                delete_path(self.spark, self.path("partials", name, f"{LOAD_KEY}={int(year)}"))
+
     def load(self, star: Star, reload: bool = False, flag: str = "has_night_tube",
-             max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS) -> LoadResult:
+             max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS,
+             clear_years=()) -> LoadResult:
         load_seq = time.time_ns() // 1_000_000
+        if clear_years:
+            self.clear_years(clear_years)
         # the bridge in force for this load, written once: both the line mart and
         # the interchange mart read it (and it records the "as loaded" mapping);
         # it does not depend on the facts, so it is written alongside them

@@ -67,3 +67,9 @@ def read_parquet_or_none(spark: SparkSession, path: str,
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     df = read_parquet_or_none(spark, path, schema)
     return df if df is not None else spark.createDataFrame([], schema)
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder (recursively) through its Hadoop FileSystem; False if absent."""
+    fs, p = _fs_path(spark, path)
+    return bool(fs.delete(p, True)) if fs.exists(p) else False
