@@ -55,3 +55,15 @@ def test_stream_dedup_within_horizon(spark, tmp_root):
     out = spark.read.parquet(tmp_root + "/dedup")
     n_ids = ev.valid_rows(ev.parse_arrivals(messages.envelope_files(spark, topic))).select("id").distinct().count()
     assert out.count() == n_ids == out.select("id").distinct().count()
+
+
+def test_stream_reports_counts_per_batch(spark, tmp_root):
+    topic = _topic(spark, tmp_root)
+    src = messages.envelope_files(spark, topic, streaming=True, max_files_per_trigger=2)
+    q = stream.start_append(src, tmp_root + "/out", tmp_root + "/ckpt", {"availableNow": True})
+    q.awaitTermination()
+    counts = stream.batch_counts(q)
+    q.stop()
+    assert len(counts) == 2
+    assert sum(c["raw"] for c in counts) == messages.envelope_files(spark, topic).count()
+    assert all(c["raw"] == c["valid"] + c["quarantined"] for c in counts)

@@ -35,8 +35,15 @@ def _trigger(writer, trigger: dict | None):
     return writer.trigger(**(trigger or {"processingTime": "60 seconds"}))
 
 
+METRICS = "arrival_counts"
+
+
 def stamped(raw_stream: DataFrame, valid_only: bool = False) -> DataFrame:
-    parsed = ev.parse_arrivals(raw_stream)
+    # per micro-batch raw / valid / quarantined counts, reported in the query's
+    # progress (``lastProgress["observedMetrics"]["arrival_counts"]``), no extra pass
+    parsed = ev.parse_arrivals(raw_stream).observe(
+        METRICS, F.count(F.lit(1)).alias("raw"), F.count_if(ev.is_valid()).alias("valid"),
+        F.count_if(~ev.is_valid()).alias("quarantined"))
     if valid_only:
         parsed = parsed.filter(ev.is_valid())
     return parsed.drop("raw_value", ev.CORRUPT_COLUMN).withColumn(INGESTED, F.current_timestamp())
@@ -53,6 +60,17 @@ def start_append(raw_stream: DataFrame, path: str, checkpoint: str,
     return _trigger(writer, trigger).start()
 
 
+def batch_counts(query: StreamingQuery) -> list[dict]:
+    """Observed counts of each micro-batch still in the query's recent progress."""
+    out = []
+    for p in query.recentProgress:
+        metrics = p.get("observedMetrics") if isinstance(p, dict) else getattr(p, "observedMetrics", None)
+        m = (metrics or {}).get(METRICS)
+        if m is not None:
+            out.append({k: m[k] for k in ("raw", "valid", "quarantined")})
+    return out
+
+
 def run_for(query: StreamingQuery, seconds: float | None) -> None:
     """Bounded run: wait up to ``seconds`` (None = until the trigger finishes), then stop."""
     if seconds is None:
