@@ -57,6 +57,8 @@ def _parser() -> argparse.ArgumentParser:
         sp.add_argument("--tolerate-data-loss", action="store_true",
                         help="continue when topic offsets were aged out (default: fail)")
         sp.add_argument("--max-files-per-trigger", type=int)
+        sp.add_argument("--max-offsets-per-trigger", type=int,
+                        help="micro-batch size cap for a topic stream (e.g. 20 messages)")
 
     b = sub.add_parser("backlog")
     source(b)
@@ -95,8 +97,9 @@ def _source(spark: SparkSession, a, streaming: bool):
         return messages.envelope_files(spark, a.envelope, streaming, a.max_files_per_trigger)
     if not a.topic:
         raise SystemExit("--topic is required with --servers")
+    extra = {"max_offsets_per_trigger": a.max_offsets_per_trigger} if streaming else {}
     return messages.topic_reader(spark, a.servers, a.topic, bounded=not streaming,
-                                 fail_on_data_loss=not a.tolerate_data_loss)
+                                 fail_on_data_loss=not a.tolerate_data_loss, **extra)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
