@@ -128,15 +128,15 @@ WITH docs AS (
   SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS name, coalesce(text, '') AS body FROM documents),
 bytes AS (
   SELECT doc_id, name, strlen(body) + {HEADER_BYTES} AS size,
-         list_transform(regexp_extract_all(hex(encode(body)), '..'), h -> CAST('0x' || h AS BIGINT)) AS b FROM docs),
+         list_transform(regexp_extract_all(hex(encode(body)), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b FROM docs),
 crc_table AS (
   SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
-     (c, z) -> CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+     lambda c, z: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
   FROM (SELECT CAST(range AS BIGINT) AS i FROM range(256))),
 rows AS (
   SELECT doc_id, name, size,
          xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b),
-             (c, x) -> xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) AS text_crc32
+             lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS INTEGER) + 1])), 4294967295) AS text_crc32
   FROM bytes, crc_table),
 region_draws AS (
   SELECT d.name, n.node, {draw('region')} AS x
