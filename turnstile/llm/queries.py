@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, quality_rules, sharding, warc
+from . import mixing, packing, quality_rules, sharding, warc
 from .common import table
 
 QUERIES = {
     "op1_hash_tree_sharding": lambda s, d: sharding.op1_hash_tree_sharding(table(s, d, "documents")),
     "op4_warc_revisits": lambda s, d: warc.op4_warc_revisits(table(s, d, "pages")),
     "op5_adaptive_quality_rules": lambda s, d: quality_rules.op5_adaptive_quality_rules(table(s, d, "documents")),
+    "op6_minimum_bin_slack": lambda s, d: packing.op6_minimum_bin_slack(table(s, d, "documents")),
     "op9_mix_to_weights": lambda s, d: mixing.op9_mix_to_weights(table(s, d, "documents")),
 }
 
