@@ -19,7 +19,9 @@ MIX_A, MIX_B = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: bytes hashed at a time, which bounds the arrays a task holds
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: bytes whose word hashes are computed at once (small, to stay in a core's cache)
+HASH_BYTES = 1 << 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -29,10 +31,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, U)
-    out[0] = 1
-    return np.cumprod(out, dtype=U)
+    """base**0 .. base**n at least; tables are kept per process and grow by doubling."""
+    known = _POWERS.get(int(base))
+    if known is None or len(known) <= n:
+        out = np.full(max(1 << 16, 1 << int(n).bit_length()) + 1, base, U)
+        out[0] = 1
+        known = _POWERS[int(base)] = np.cumprod(out, dtype=U)
+    return known
 
 
 def inverse(base: np.uint64) -> np.uint64:
@@ -87,7 +96,7 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndar
     out = np.empty(len(start), U)
     lo = 0
     while lo < len(start):
-        hi = max(lo + 1, int(np.searchsorted(stop, start[lo] + SLICE_BYTES)))
+        hi = max(lo + 1, int(np.searchsorted(stop, start[lo] + HASH_BYTES)))
         base = start[lo]
         part = raw[base:stop[hi - 1]].astype(U) + U(1)
         out[lo:hi] = Prefix(part, BYTE_BASE).hashes(start[lo:hi] - base, stop[lo:hi] - base)
