@@ -117,7 +117,7 @@ def limits(measured: DataFrame, k: int = SKETCH_K) -> DataFrame:
 
 def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The measures with ``base_failed`` and ``kept``."""
-    measured = measures(docs)
+    measured = stored(measures(docs), "quality-measures")  # a few numbers per row; read by both passes
     table = stored(limits(measured), "quality-limits")
     bounds = [c for m in RULES for c in (f"{m}_max", f"{m}_min")]
 
