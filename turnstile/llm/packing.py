@@ -78,7 +78,7 @@ class ChunkTokenizer:
             if chunks is None:
                 out.append(self._encode(text))
                 continue
-            for c in set(chunks).difference(known):
+            for c in [c for c in set(chunks) if c not in known]:
                 known[c] = self._encode(c)
             out.append(b"".join([known[c] for c in chunks]))
         return out
