@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality_rules, sharding, warc
+from . import mixing, packing, quality_rules, sharding, substring, warc
 from .common import table
 
 QUERIES = {
     "op1_hash_tree_sharding": lambda s, d: sharding.op1_hash_tree_sharding(table(s, d, "documents")),
+    "op3_seed_and_extend": lambda s, d: substring.op3_seed_and_extend(table(s, d, "documents")),
     "op4_warc_revisits": lambda s, d: warc.op4_warc_revisits(table(s, d, "pages")),
     "op5_adaptive_quality_rules": lambda s, d: quality_rules.op5_adaptive_quality_rules(table(s, d, "documents")),
     "op6_minimum_bin_slack": lambda s, d: packing.op6_minimum_bin_slack(table(s, d, "documents")),
@@ -15,6 +16,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_hash_tree_sharding": sharding.oracle_sql(),
+    "op3_seed_and_extend": substring.oracle_sql(),
     "op4_warc_revisits": warc.oracle_sql(),
     "op5_adaptive_quality_rules": quality_rules.oracle_sql(),
     "op9_mix_to_weights": mixing.oracle_sql(),
