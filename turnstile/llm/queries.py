@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality_rules, sharding, substring, warc
+from . import jaccard, mixing, packing, quality_rules, sharding, substring, warc
 from .common import table
 
 QUERIES = {
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_warc_revisits": lambda s, d: warc.op4_warc_revisits(table(s, d, "pages")),
     "op5_adaptive_quality_rules": lambda s, d: quality_rules.op5_adaptive_quality_rules(table(s, d, "documents")),
     "op6_minimum_bin_slack": lambda s, d: packing.op6_minimum_bin_slack(table(s, d, "documents")),
+    "op7_chosen_path_join": lambda s, d: jaccard.op7_chosen_path_join(table(s, d, "documents")),
     "op9_mix_to_weights": lambda s, d: mixing.op9_mix_to_weights(table(s, d, "documents")),
 }
 
