@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, quality_rules, sharding, substring, warc
+from . import ann, jaccard, mixing, packing, quality_rules, sharding, substring, warc
 from .common import table
 
 QUERIES = {
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_adaptive_quality_rules": lambda s, d: quality_rules.op5_adaptive_quality_rules(table(s, d, "documents")),
     "op6_minimum_bin_slack": lambda s, d: packing.op6_minimum_bin_slack(table(s, d, "documents")),
     "op7_chosen_path_join": lambda s, d: jaccard.op7_chosen_path_join(table(s, d, "documents")),
+    "op8_inverted_multi_index": lambda s, d: ann.op8_inverted_multi_index(table(s, d, "embeddings")),
     "op9_mix_to_weights": lambda s, d: mixing.op9_mix_to_weights(table(s, d, "documents")),
 }
 
