@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import ann, jaccard, mixing, packing, quality_rules, sharding, substring, warc
+from . import ann, jaccard, mixing, packing, quality_rules, sharding, substring, toxicity, warc
 from .common import table
 
 QUERIES = {
     "op1_hash_tree_sharding": lambda s, d: sharding.op1_hash_tree_sharding(table(s, d, "documents")),
+    "op2_compression_distance": lambda s, d: toxicity.op2_compression_distance(
+        table(s, d, "documents"), table(s, d, "labels")),
     "op3_seed_and_extend": lambda s, d: substring.op3_seed_and_extend(table(s, d, "documents")),
     "op4_warc_revisits": lambda s, d: warc.op4_warc_revisits(table(s, d, "pages")),
     "op5_adaptive_quality_rules": lambda s, d: quality_rules.op5_adaptive_quality_rules(table(s, d, "documents")),
