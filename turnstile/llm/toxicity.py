@@ -35,6 +35,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 WINDOW_WORDS = 1
 DICT_BYTES = 32_768
 FIT_ROWS = 3000
@@ -190,30 +192,34 @@ def fit(rows: list[tuple[str | None, int]], width: int = WINDOW_WORDS) -> Model:
     return Model(*dictionaries(sets[1], sets[0]), weights, _logistic(x, y))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """doc_id, text, label of the rows that may be learnt from: crc32(doc_id as text) mod 3 is not 1."""
-    rows = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).dropna() \
-        .filter(F.crc32(F.col("_id").cast("string")) % 3 != 1).dropDuplicates(["_id"])
-    return docs.select("doc_id", "text").join(rows, F.col("doc_id") == F.col("_id")).drop("_id")
-
-
-def bounded_sample(rows: DataFrame, per_class: int, text_bytes: int) -> list[tuple[str | None, int]]:
-    """At most ``per_class`` rows of each label and ``text_bytes`` in all: those whose ids hash lowest."""
+def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, text_bytes: int
+                   ) -> list[tuple[str | None, int]]:
+    """(text, label) of at most ``per_class`` rows of each label and ``text_bytes`` in all.
+
+    Only rows whose crc32(doc_id as text) mod 3 is not 1 are learnt from; those whose ids hash lowest
+    are taken.  The ids are chosen from the labels alone, so at most twice ``per_class`` ids are broadcast to
+    find their texts and no text is shuffled but theirs.
+    """
+    rows = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).dropna()
+            .filter((F.crc32(F.col("_id").cast("string")) % 3 != 1) & F.col("label").isin(0, 1)))
+    lowest = [rows.filter(F.col("label") == k).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for k in (0, 1)]
+    chosen = F.broadcast(lowest[0].unionByName(lowest[1]).dropDuplicates(["_id"]))
+    found = stored(docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
+                   .select("_id", "text", "label"), "labelled-sample")
     out: list[tuple[str | None, int]] = []
-    for label in (0, 1):
+    for k in (0, 1):
         held = 0
-        part = rows.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        for row in part.select("text").toLocalIterator():
+        for row in found.filter(F.col("label") == k).orderBy(F.xxhash64("_id"), "_id", "text").toLocalIterator():
             held += len(row["text"] or "")
             if held > text_bytes // 2:
                 break
-            out.append((row["text"], label))
+            out.append((row["text"], k))
     return out
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    model = fit(bounded_sample(labelled(docs, labels, "toxic"), fit_rows, fit_bytes))
+    model = fit(bounded_sample(docs, labels, "toxic", fit_rows, fit_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = model.scorer()
