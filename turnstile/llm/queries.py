@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, jaccard, mixing, packing, quality_rules, sharding, substring, toxicity, warc
+from . import ann, jaccard, mixing, packing, quality_classifier, quality_rules, sharding, substring, toxicity, warc
 from .common import table
 
 QUERIES = {
@@ -16,6 +16,8 @@ QUERIES = {
     "op7_chosen_path_join": lambda s, d: jaccard.op7_chosen_path_join(table(s, d, "documents")),
     "op8_inverted_multi_index": lambda s, d: ann.op8_inverted_multi_index(table(s, d, "embeddings")),
     "op9_mix_to_weights": lambda s, d: mixing.op9_mix_to_weights(table(s, d, "documents")),
+    "op10_ftrl_quality": lambda s, d: quality_classifier.op10_ftrl_quality(
+        table(s, d, "documents"), table(s, d, "labels")),
 }
 
 ORACLE = {
