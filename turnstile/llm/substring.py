@@ -26,7 +26,6 @@ repeat each other; an empty table gives no rows; extra columns are kept by ``ded
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -237,7 +236,7 @@ def _spans(covered: np.ndarray, offsets: np.ndarray, i: int) -> list[tuple[int,
     return [(int(s), int(e)) for s, e in zip(edges[::2], edges[1::2])]
 
 
-def _finish(min_words: int, gram: int):
+def _finish(min_words: int, gram: int, carry: list[str], keep_whole: bool):
     names = ["doc_id", "n_words", "n_removed", "kept_text", "spans"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))]
 
@@ -268,15 +267,23 @@ def _finish(min_words: int, gram: int):
                     removed = int(drop.sum())
                     if removed:
                         found = [w for w, d in zip(found, drop.tolist()) if not d]
-                    rows.append((doc, int(hi - lo), removed, b" ".join(found).decode("utf-8"),
+                    kept = data[ends[i]:ends[i + 1]] if keep_whole and not removed else b" ".join(found)
+                    rows.append((doc, int(hi - lo), removed, kept.decode("utf-8"),
                                  [{"start": s, "stop": e} for s, e in _spans(covered, offsets, i)] if removed else []))
                 cols = list(zip(*rows)) if rows else [[]] * len(names)
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+                yield pa.record_batch([*[pa.array(c, t) for c, t in zip(cols, types)],
+                                       *[part.column(f"in_{c}") for c in carry]],
+                                      names=[*names, *[f"in_{c}" for c in carry]])
     return run
 
 
-def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_text and the removed maximal spans of every document."""
+def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM, carry: list[str] = (),
+                   keep_whole: bool = False) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_text and the removed maximal spans of every document.
+
+    ``carry``: other columns, returned as ``in_<name>``; ``keep_whole``: where nothing is removed,
+    ``kept_text`` is the text itself instead of its words joined by one space.
+    """
     if not 1 <= gram <= min_words:
         raise ValueError("an anchor must fit into a window")
     spark = docs.sparkSession
@@ -302,7 +309,24 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, gram: int = GRAM
              .agg(F.collect_list(F.when(F.col("kind") == REPEATS, F.col("hash"))).alias("contexts"),
                   F.collect_list(F.when(F.col("kind") == WINDOW, F.col("hash"))).alias("windows")))
     schema = "doc_id long, n_words long, n_removed long, kept_text string, spans array<struct<start:int,stop:int>>"
-    return of(texts, found, "left").mapInArrow(_finish(min_words, gram), schema)
+    schema += "".join(f", `in_{c}` {kind}" for c, kind in docs.select(*carry).dtypes)
+    carried = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c).alias(f"in_{c}") for c in carry])
+    return of(carried, found, "left").mapInArrow(_finish(min_words, gram, list(carry), keep_whole), schema)
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """The documents with their kept words as text, other columns as they are; ``n_chars`` follows the text.
+
+    Texts that lose nothing stay as they are (null becomes empty); a document all of whose words are removed goes.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = repeated_spans(docs, carry=others, keep_whole=True, **options)
+    found = found.filter((F.col("n_removed") == 0) | (F.col("n_words") > F.col("n_removed")))
+    values = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"),
+              "n_chars": F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast("long"))}
+    if "n_chars" in others:
+        values["n_chars"] = F.coalesce(values["n_chars"], F.col("in_n_chars"))
+    return found.select(*[values.get(c, F.col(f"in_{c}")).alias(c) for c in docs.columns])
 
 
 def op3_seed_and_extend(docs: DataFrame) -> DataFrame:
