@@ -43,21 +43,25 @@ def base32_sha1(payload: Column) -> Column:
 
 
 def resolve_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to."""
+    """page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to.
+
+    Only headers are shuffled by digest; the payloads move once, when they meet the revisits by page.
+    """
     body = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", body.alias("payload"))
     rows = (rows.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
             .withColumn("payload_digest", base32_sha1(F.col("payload").cast("binary"))))
-    originals = (rows.filter((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
-                 .groupBy("payload_digest").agg(F.max("page_id").alias("_original"),
-                                                F.count(F.lit(1)).alias("_pages")))
+    headers = (rows.filter((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
+               .select("page_id", "payload_digest"))
+    originals = headers.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"),
+                                                      F.count(F.lit(1)).alias("_pages"))
     # only digests that repeat need the join
-    originals = originals.filter("_pages > 1").drop("_pages")
-    joined = rows.join(originals, "payload_digest", "left")
-    revisit = (F.col("payload_bytes") >= min_bytes) & (F.col("_original") != F.col("page_id"))
+    revisits = (headers.join(originals.filter("_pages > 1").drop("_pages"), "payload_digest")
+                .filter(F.col("refers_to") != F.col("page_id")).distinct())
+    joined = rows.join(revisits, ["page_id", "payload_digest"], "left")
+    revisit = F.col("refers_to").isNotNull()
     return (joined.withColumn("record_type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")))
-            .withColumn("refers_to", F.when(revisit, F.col("_original")))
-            .withColumn("payload", F.when(revisit, F.lit("")).otherwise(F.col("payload"))).drop("_original"))
+            .withColumn("payload", F.when(revisit, F.lit("")).otherwise(F.col("payload"))))
 
 
 def _one_line(value: Column) -> Column:
@@ -90,17 +94,16 @@ def record_text(date: str) -> Column:
         F.lit(CRLF), F.col("payload"))
 
 
-def write_archives(resolved: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z",
+def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z",
                    archive_bytes: int = ARCHIVE_BYTES) -> None:
     """Write the records as gzip archives of about ``archive_bytes`` of payload each.
 
-    Pages are dealt to archives by hashing a fresh key per page, so equal payloads spread;
-    the total size decides how many archives there are.
+    Every task writes archives of as many records as make up that size on average.
     """
-    total = resolved.agg(F.sum(F.octet_length("payload") + 512)).first()[0] or 0
-    n = max(1, -(-int(total) // archive_bytes))
-    (resolved.repartition(n, "page_id", "url").select(record_text(date).alias("value"))
-     .write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path))
+    sizes = pages.agg(F.avg(F.octet_length(F.coalesce(F.col("html"), F.lit("")))).alias("mean")).first()
+    records = max(1, int(archive_bytes // ((sizes["mean"] or 0) + 512)))
+    (resolve_revisits(pages, min_bytes).select(record_text(date).alias("value"))
+     .write.option("lineSep", CRLF + CRLF).option("compression", "gzip").option("maxRecordsPerFile", records).text(path))
 
 
 _READ = "page_id long, url string, record_type string, payload_digest string, payload_bytes long, refers_to long, payload binary"
@@ -154,7 +157,7 @@ def op4_warc_revisits(pages: DataFrame) -> DataFrame:
     """Write one record per page, then report what the archives hold."""
     spark = pages.sparkSession
     path = scratch_dir(spark, f"warc-{uuid.uuid4().hex[:6]}")
-    write_archives(resolve_revisits(pages), path)
+    write_archives(pages, path)
     return read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
