@@ -30,8 +30,8 @@ CASES = [
     None,                                       # 3 null value
     '{"vehicleId":"v1"}',                       # 4 missing id
     '{"id":"b"}',                               # 5 missing vehicleId
-    msg("c", tts='"45"'),                       # 6 number as text -> wrong type -> malformed
-    msg("d", tts="5.5"),                        # 7 fraction -> malformed
+    msg("c", tts='"x45"'),                      # 6 text for a number -> null, row kept
+    msg("d", tts="5.5"),                        # 7 fraction -> null, row kept
     msg("e", tts="0"),                          # 8 zero
     msg("f", tts="null"),                       # 9 null
     msg("g", arrival="garbage"),                # 10 bad date
@@ -48,17 +48,18 @@ def test_parse_split(spark):
     valid, bad = ev.split(parsed)
     bad_rows = {r["kafka_offset"]: r["reason"] for r in bad.collect()}
     assert bad_rows == {1: "malformed", 2: "malformed", 3: "null_value", 4: "missing_id",
-                        5: "missing_vehicle_id", 6: "malformed", 7: "malformed"}
+                        5: "missing_vehicle_id"}
     v = {r["kafka_offset"]: r for r in valid.collect()}
-    assert set(v) == {0, 8, 9, 10, 11, 12, 13, 14, 15}
+    assert set(v) == {0, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15}
+    assert v[6]["timeToStation"] is None and v[7]["timeToStation"] is None
     assert v[8]["timeToStation"] == 0 and v[9]["timeToStation"] is None
     assert v[10]["arrival_date"] is None and v[11]["arrival_date"] is None
     assert v[0]["arrival_date"] == dt.date(2024, 1, 1)
     assert v[14]["lineName"] is None
     assert v[0]["arr_timestamp"] == "2024-01-01T08:00:00Z"
     counts = reconcile(parsed).first().asDict()
-    assert counts == {"raw_records": 16, "valid_records": 9, "quarantined_records": 7,
-                      "deduplicated_records": 8, "duplicate_records": 1}
+    assert counts == {"raw_records": 16, "valid_records": 11, "quarantined_records": 5,
+                      "deduplicated_records": 10, "duplicate_records": 1}
 
 
 def test_dedup_keeps_latest_and_is_idempotent(spark):

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from star_fixture import as_set
+from star_fixture import as_set, small_star
 from turnstile import adapters
 from turnstile.operators import keysets, marts
 from turnstile.plans import incremental as inc
@@ -151,3 +151,19 @@ def test_reload_of_an_emptied_year_removes_it(spark, tmp_root):
     years = {r["year"] for r in store.mart("passengers_by_year").collect()}
     assert 2001 not in years and years == set(range(1995, 2001))
     assert as_set(store.mart("busiest_stations")) == as_set(marts.mart(full, "busiest_stations"))
+
+
+def test_facts_without_a_year_add_up(spark, tmp_root):
+    star = small_star(spark)
+    fact = "entry_exit_id bigint, station_id int, date_id int, total_entry_exit bigint"
+    first = star.with_fact(spark.createDataFrame([(1, 1, 100, 100), (2, 1, 999, 50), (3, 2, 100, 7), (4, 2, None, 5)], fact))
+    second = star.with_fact(spark.createDataFrame([(5, 1, 200, 1), (6, 1, 999, 30)], fact))
+    store = inc.MartStore(spark, tmp_root)
+    assert store.load(first).undated == 2
+    assert as_set(store.mart("busiest_stations")) == {("Angel", 150), ("Bank", 12)}
+    assert store.load(second).undated == 1
+    assert as_set(store.mart("busiest_stations")) == {("Angel", 181), ("Bank", 12)}
+    assert not store.load(second).loaded
+    assert as_set(store.mart("busiest_stations")) == {("Angel", 181), ("Bank", 12)}
+    assert as_set(store.mart("passengers_by_year")) == {(2020, 107), (2021, 1)}
+    assert None not in {r["processed_year"] for r in store.ledger().collect()}

@@ -77,7 +77,3 @@ def row_key(station, line, vehicle, event_time) -> Column:
 def minutes(seconds) -> Column:
     """Seconds -> minutes rounded to 2 decimals; 0.0 when not a whole number."""
     return F.coalesce(F.round(as_int(seconds) / F.lit(60.0).cast("double"), 2), F.lit(0.0))
-
-
-def first_present(*cols) -> Column:
-    return F.coalesce(*[_col(c) for c in cols])

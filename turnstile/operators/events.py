@@ -42,15 +42,17 @@ def parse_arrivals(raw: DataFrame) -> DataFrame:
         text.alias("raw_value"),
         F.from_json(text, ARRIVAL_JSON_WITH_CORRUPT,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("d"),
-        _envelope(raw, "partition", "kafka_partition", "int"),
-        _envelope(raw, "offset", "kafka_offset", "bigint"),
-        _envelope(raw, "timestamp", "kafka_ingest_time", "timestamp"),
     )
     # inline(array(row)) is a one-row generator: filters on the parsed fields
     # stay above it, so from_json runs once per message.  Without it, Catalyst
     # pushes a validity filter below the projection and re-parses the JSON once
-    # per field the filter reads (measured ~1.5x slower on 1.6M messages).
-    parsed = raw.select(F.inline(F.array(row)))
+    # per field the filter reads (measured ~1.5x slower on 1.6M messages).  The
+    # envelope stays outside, so filters on it and column pruning reach the scan.
+    parsed = raw.select(
+        _envelope(raw, "partition", "kafka_partition", "int"),
+        _envelope(raw, "offset", "kafka_offset", "bigint"),
+        _envelope(raw, "timestamp", "kafka_ingest_time", "timestamp"),
+        F.inline(F.array(row)))
     fields = [F.col(f"d.{n}").alias(EVENT_TIME if n == "timestamp" else n) for n in PAYLOAD]
     return parsed.select(
         *fields, *META,
@@ -61,9 +63,8 @@ def parse_arrivals(raw: DataFrame) -> DataFrame:
 
 
 def is_valid() -> Column:
-    """Parsed cleanly and both identifiers present (a row missing either is dropped)."""
-    return (F.col(CORRUPT_COLUMN).isNull() & F.col("raw_value").isNotNull()
-            & F.col("id").isNotNull() & F.col("vehicleId").isNotNull())
+    """Both identifiers present.  A wrong-typed field is null and its row stays."""
+    return F.col("id").isNotNull() & F.col("vehicleId").isNotNull()
 
 
 def reject_reason() -> Column:
@@ -131,9 +132,3 @@ def keyed_latest(enriched: DataFrame, extra_order: list[str] | None = None) -> D
     """Last write wins per row key: latest by (ingestionTime, [batch], partition, offset)."""
     order = ["ingestionTime", *(extra_order or []), "kafka_partition", "kafka_offset"]
     return latest_by(enriched, ["row_key"], order).select(*enriched.columns)
-
-
-def to_json_messages(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Serialise rows as JSON message values (null fields omitted)."""
-    cols = cols or df.columns
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))

@@ -1,8 +1,8 @@
 """Bounded load of a message backlog: parse, quarantine, dedup, partitioned write.
 
-Counts (raw, valid, quarantined, deduplicated, duplicates) are collected by
-``Observation`` during the write itself, so the source is not re-read for
-them.  Quarantined messages are written next to the table with a reason.
+The source is read once: parsed messages go to the shared scratch folder, and
+the table, the quarantine and the counts come from there, so they agree even
+when the topic grows meanwhile.  Quarantined messages are written with a reason.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import events as ev
 from ..operators.quality import observed
+from ..session import scratch_dir
 from ..sinks import write_partitioned
 
 PARTITION_KEYS = ["lineName", "arrival_date"]
@@ -33,14 +34,16 @@ class BacklogCounts:
 
 def load_backlog(raw: DataFrame, out: str, quarantine_out: str | None = None,
                  keys: list[str] = PARTITION_KEYS) -> BacklogCounts:
-    parsed = ev.parse_arrivals(raw)
-    parsed, seen = observed(parsed, "arrivals_parsed",
+    parsed, seen = observed(ev.parse_arrivals(raw), "arrivals_parsed",
                             raw=F.count(F.lit(1)), valid=F.count_if(ev.is_valid()))
+    staged = scratch_dir(raw.sparkSession, "backlog")
+    parsed.write.parquet(staged)
+    parsed = raw.sparkSession.read.schema(parsed.schema).parquet(staged)
     deduped = ev.dedup_arrivals(ev.valid_rows(parsed)).withColumn("loaded_at", F.current_timestamp())
     deduped, kept = observed(deduped, "arrivals_kept", deduplicated=F.count(F.lit(1)))
     write_partitioned(deduped, out, keys)
     if quarantine_out:
-        ev.quarantine_rows(ev.parse_arrivals(raw)).write.mode("overwrite").parquet(quarantine_out)
+        ev.quarantine_rows(parsed).write.mode("overwrite").parquet(quarantine_out)
     a, b = seen.get, kept.get
     return BacklogCounts(raw=a["raw"], valid=a["valid"], quarantined=a["raw"] - a["valid"],
                          deduplicated=b["deduplicated"])

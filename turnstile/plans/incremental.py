@@ -6,21 +6,25 @@ Store layout under ``root`` (all Parquet):
   partials/base/load_year=Y/       grain ('station' | 'quarter'), station_id, quarter,
                                    total_passengers, num_records, num_measured, load_seq
   partials/<mart>/load_year=Y/     the station-derived marts at their own keys, per year
+  undated/<table>/batch=B/         the same tables for facts without a year, by batch
   interchange/load_seq=N/          station_name, num_lines of one load (replace-by-key)
   runs/load_seq=N/dates/           the dates (and years) a load covered
   runs/load_seq=N/bridge/          the station-line bridge in force for that load
 
 How a load runs (the fact is scanned once):
 
-1. The dates of years already in the ledger are removed from the date
-   dimension (``reload=True`` keeps them); the remaining dates are written
-   under ``runs/load_seq=N/dates`` and joined to the facts, broadcast after a
-   row-count check, so only facts of new years go on and the raw fact is
-   never shuffled.
+1. The date dimension, one row per date id, with a mark for years already in
+   the ledger (``reload=True`` marks none), is written under
+   ``runs/load_seq=N/dates`` and left-joined to the facts, broadcast after a
+   row-count check, so the raw fact is never shuffled.  Facts of marked years
+   stop here; facts without a year (no date row, null date, null year) go on.
 2. One grouping-sets aggregate computes both partials of the remaining rows:
-   per (year, station) and per (year, quarter).  It is written with dynamic
-   partition overwrite by year, tagged with this load's ``load_seq``: a re-run
-   replaces its years, never adds them twice.  A year whose corrected facts
+   per (year, station) and per (year, quarter).  It is written once under
+   ``runs/load_seq=N/base`` and copied from there with dynamic partition
+   overwrite by year: a re-run replaces its years, never adds them twice.
+   Rows without a year go to ``undated`` under the caller's ``batch``, or else
+   under a fingerprint of their totals, so a repeated batch replaces itself
+   and another one adds.  If nothing is left the load ends here.  A year whose corrected facts
    are empty is not in the batch, so its old partitions stay unless the
    caller names it in ``clear_years``.
 3. The station-derived marts (busiest stations, by line, by network, night
@@ -33,13 +37,12 @@ How a load runs (the fact is scanned once):
 
 A mart is read by summing its partials over all years (sum, counts and the
 measured count are additive, so the average stays exact).  Nothing ever
-overwrites a path it reads.  Facts whose date is not in the date dimension
-cannot be assigned a year; they are counted in the result and not loaded.
+overwrites a path it reads.  Facts without a year count in every station mart;
+``LoadResult.undated`` says how many this load had.
 """
 
 from __future__ import annotations
 
-import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -50,7 +53,7 @@ from pyspark.sql import types as T
 
 from ..operators import joins, keysets, marts
 from ..schemas import LEDGER
-from ..sources.files import delete_path, read_parquet_or_none
+from ..sources.files import delete_path, largest_key, path_exists, read_parquet_or_none
 from ..star import Star
 
 SOURCE = "fact_passenger_entry_exit"
@@ -69,11 +72,12 @@ ADDITIVE = {
 class LoadResult:
     years: DataFrame          # years loaded by this run (from its own partial rows)
     load_seq: int
+    undated: int = 0          # facts without a year that this run loaded
 
     @property
     def loaded(self) -> bool:
-        """False when every incoming year was already processed."""
-        return not self.years.isEmpty()
+        """False when every incoming year was already processed and nothing else came."""
+        return self.undated > 0 or not self.years.isEmpty()
 
 
 def incoming_years(star: Star) -> DataFrame:
@@ -126,24 +130,29 @@ class MartStore:
 
     def gated_facts(self, star: Star, load_seq: int, reload: bool = False,
                     max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-        """Facts of the years this load processes, with load_year and quarter.
+        """Facts this load processes, with load_year, quarter and whether a date row exists.
 
         The gate is applied to the date dimension, not to the facts: dates of
-        years already in the ledger are removed (anti join against a handful of
-        years), the remaining dates are written for this run, and the facts meet
-        them in one inner join.  That join is map-side when the written date
-        table is proven small (one row per day), so the raw fact is never
-        shuffled before it is aggregated.
+        years already in the ledger are marked, the dates are written for this
+        run, and the facts meet them in one left join.  That join is map-side
+        when the written date table is proven small (one row per day), so the raw
+        fact is never shuffled before it is aggregated.  A date id listed twice
+        keeps its earliest (year, quarter).
         """
-        dates = star.dates.select("date_id", F.col("year").cast("int").alias(LOAD_KEY),
-                                  F.col("quarter").cast("int").alias("quarter"))
-        if not reload:
-            done = self.processed_years().withColumnRenamed("year", LOAD_KEY)
-            dates = keysets.drop_keys_in(dates, done, LOAD_KEY)
+        dates = star.dates.filter("date_id IS NOT NULL").groupBy("date_id").agg(
+            F.min(F.struct(F.col("year").cast("int").alias(LOAD_KEY),
+                           F.col("quarter").cast("int").alias("quarter"))).alias("d")).select("date_id", "d.*")
+        if reload:
+            dates = dates.withColumn("_done", F.lit(False))
+        else:
+            done = self.processed_years().select(F.col("year").alias("_year"), F.lit(True).alias("_done"))
+            dates = dates.join(done, F.col(LOAD_KEY) == F.col("_year"), "left").drop("_year")
         gate_path = self.path("runs", f"load_seq={load_seq}", "dates")
         dates.write.parquet(gate_path)
         dates = self.spark.read.parquet(gate_path)
-        return joins.join_bounded(star.fact, dates, "date_id", "inner", max_broadcast_rows)
+        dates = dates.withColumn("_dated", F.lit(True))
+        facts = joins.join_bounded(star.fact, dates, "date_id", "left", max_broadcast_rows)
+        return facts.filter(~F.coalesce("_done", F.lit(False)))
 
     PARTIAL_TABLES = ("base", "busiest_stations", "passengers_by_line", "passengers_by_network",
                       "night_tube_analysis")
@@ -161,65 +170,85 @@ class MartStore:
 
     def load(self, star: Star, reload: bool = False, flag: str = "has_night_tube",
              max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS,
-             clear_years=()) -> LoadResult:
-        load_seq = time.time_ns() // 1_000_000
+             clear_years=(), batch: str | None = None) -> LoadResult:
+        load_seq = 1 + max(largest_key(self.spark, self.path(p), "load_seq") for p in ("runs", "interchange"))
         if clear_years:
             self.clear_years(clear_years)
+        dated = self.gated_facts(star, load_seq, reload, max_broadcast_rows)
+        base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter", "_dated"]],
+                                   LOAD_KEY, "station_id", "quarter", "_dated")
+                .agg(F.sum(marts.MEASURE).alias("total_passengers"),
+                     F.count("entry_exit_id").alias("num_records"),
+                     F.count(marts.MEASURE).alias("num_measured"),
+                     F.grouping("station_id").alias("_gid"))
+                # period marts count facts with a date row, station marts all facts
+                .filter((F.col("_gid") == 0) | F.col("_dated"))
+                .select(F.when(F.col("_gid") == 0, F.lit("station")).otherwise(F.lit("quarter")).alias("grain"),
+                        "station_id", "quarter", "total_passengers", "num_records",
+                        "num_measured", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
+        run_base = self.path("runs", f"load_seq={load_seq}", "base")
+        base.write.parquet(run_base)
+        this = self.spark.read.schema(base.schema).parquet(run_base)
+        years = (this.filter(F.col(LOAD_KEY).isNotNull())
+                 .select(F.col(LOAD_KEY).cast("int").alias("year")).distinct())
+        undated = this.filter(F.col(LOAD_KEY).isNull())
+        totals = undated.agg(F.sum(F.when(F.col("grain") == "station", F.col("num_records"))).alias("n"),
+                             F.sum(F.pmod(F.xxhash64("grain", "station_id", "quarter", "total_passengers",
+                                                     "num_records", "num_measured"), F.lit(1 << 40))).alias("mark")).first()
+        n_undated = int(totals["n"] or 0)
+        key = batch or f"{totals['mark']}"
+        repeated = not batch and path_exists(self.spark, self.path("undated", "base", f"batch={key}"))
+        if n_undated and repeated and years.isEmpty():
+            n_undated = 0  # this very batch is in the store
+        # facts of processed years only: nothing to do (a load without facts refreshes the interchange)
+        if not n_undated and years.isEmpty() and not star.fact.isEmpty():
+            return LoadResult(years=self.spark.createDataFrame([], "year int"), load_seq=load_seq)
         # the bridge in force for this load, written once: both the line mart and
-        # the interchange mart read it (and it records the "as loaded" mapping);
-        # it does not depend on the facts, so it is written alongside them
+        # the interchange mart read it (and it records the "as loaded" mapping)
         bridge_path = self.path("runs", f"load_seq={load_seq}", "bridge")
-        with ThreadPoolExecutor(max_workers=1) as side:
-            bridge_written = side.submit(
-                star.bridge.select("station_id", "line_id").write.parquet, bridge_path)
-            dated = self.gated_facts(star, load_seq, reload, max_broadcast_rows)
-            base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter"]],
-                                       LOAD_KEY, "station_id", "quarter")
-                    .agg(F.sum(marts.MEASURE).alias("total_passengers"),
-                         F.count("entry_exit_id").alias("num_records"),
-                         F.count(marts.MEASURE).alias("num_measured"),
-                         F.grouping_id().alias("_gid"))
-                    .select(F.when(F.col("_gid") == 1, F.lit("station")).otherwise(F.lit("quarter"))
-                            .alias("grain"),
-                            "station_id", "quarter", "total_passengers", "num_records",
-                            "num_measured", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
-            self._write_partial(base, "base")
-            bridge_written.result()
+        star.bridge.select("station_id", "line_id").write.parquet(bridge_path)
         bridge = self.spark.read.parquet(bridge_path)
-        this = self.partial("base")
-        writes = []
-        if this is not None:
-            this = this.filter(F.col("load_seq") == load_seq)
-            st = this.filter(F.col("grain") == "station").select(
-                LOAD_KEY, "station_id", "total_passengers", "num_records", "num_measured")
-            by = (LOAD_KEY,)
-            writes += [
-                (marts.busiest_stations(st, star.stations, by), "busiest_stations"),
-                (marts.passengers_by_line(st, bridge, star.lines, by), "passengers_by_line"),
-                (marts.passengers_by_network(st, star.stations, star.networks, by),
-                 "passengers_by_network"),
-                (marts.flag_partials(st, star.stations, flag, by), "night_tube_analysis"),
-            ]
+
+        def station_marts(rows: DataFrame, by: tuple) -> list[tuple[DataFrame, str]]:
+            st = rows.filter(F.col("grain") == "station").select(
+                *by, "station_id", "total_passengers", "num_records", "num_measured")
+            return [(marts.busiest_stations(st, star.stations, by), "busiest_stations"),
+                    (marts.passengers_by_line(st, bridge, star.lines, by), "passengers_by_line"),
+                    (marts.passengers_by_network(st, star.stations, star.networks, by), "passengers_by_network"),
+                    (marts.flag_partials(st, star.stations, flag, by), "night_tube_analysis")]
+
+        has_year = this.filter(F.col(LOAD_KEY).isNotNull())
+        jobs = [lambda df=df, name=name: self._write_partial(df, name)
+                for df, name in [(has_year, "base"), *station_marts(has_year, (LOAD_KEY,))]]
+        if n_undated:
+            plain = undated.drop(LOAD_KEY)
+            jobs += [lambda df=df, name=name: df.write.mode("overwrite").parquet(
+                self.path("undated", name, f"batch={key}"))
+                for df, name in [*station_marts(plain, ()), (plain, "base")]]
         interchange = (marts.interchange_stations(bridge, star.stations)
                        .withColumn("load_seq", F.lit(load_seq)))
+        jobs.append(lambda: interchange.write.mode("append").partitionBy("load_seq").parquet(self.path("interchange")))
         # independent small jobs: submitted together, Spark schedules them side by side
-        with ThreadPoolExecutor(max_workers=len(writes) + 1) as pool:
-            futures = [pool.submit(self._write_partial, df, name) for df, name in writes]
-            futures.append(pool.submit(
-                lambda: interchange.write.mode("append").partitionBy("load_seq")
-                .parquet(self.path("interchange"))))
-            for f in futures:
+        with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+            for f in [pool.submit(job) for job in jobs]:
                 f.result()
-        if this is None:
-            years = self.spark.createDataFrame([], "year int")
-        else:
-            years = this.select(F.col(LOAD_KEY).cast("int").alias("year")).distinct()
-            ledger_rows(years, self.source).write.mode("append").parquet(self.path("ledger"))
-        return LoadResult(years=years, load_seq=load_seq)
+        ledger_rows(years, self.source).write.mode("append").parquet(self.path("ledger"))
+        return LoadResult(years=years, load_seq=load_seq, undated=n_undated)
+
+    def clear(self) -> None:
+        """Empty the store (a full load replaces what was loaded)."""
+        for name in ("ledger", "partials", "undated", "interchange", "runs"):
+            delete_path(self.spark, self.path(name))
 
     # -- read ----------------------------------------------------------------
     def partial(self, name: str) -> DataFrame | None:
-        return read_parquet_or_none(self.spark, self.path("partials", name))
+        """The partial of all years and of the facts without one; None when there is neither."""
+        dated = read_parquet_or_none(self.spark, self.path("partials", name))
+        undated = read_parquet_or_none(self.spark, self.path("undated", name))
+        if undated is None:
+            return dated
+        undated = undated.drop("batch").withColumn(LOAD_KEY, F.lit(None).cast("int"))
+        return undated if dated is None else dated.unionByName(undated)
 
     def mart(self, name: str, flag: str = "has_night_tube") -> DataFrame:
         """The current mart (unordered); None-safe: an empty store gives no rows."""

@@ -3,9 +3,9 @@
 Folder layout (one folder per table, text in the ``extract`` or ``sample``
 dialect): ``<folder>/<table>/part-*``.
 
-* ``run_full``: all six tables from the full-load folder -> marts (the store
-  registers every year it loads, so a following increment cannot add a year
-  twice).
+* ``run_full``: all six tables from the full-load folder -> marts, replacing
+  what the store held (the store registers every year it loads, so a following
+  increment cannot add a year twice).
 * ``run_increment``: facts from the increment folder (required: a missing
   folder raises ``MissingInput``; a folder without data files returns
   ``NO_NEW_DATA``); every dimension and the bridge from the increment folder
@@ -40,7 +40,10 @@ def star_from_folder(spark: SparkSession, folder: str, dialect: str = "extract",
 
 def run_full(spark: SparkSession, folder: str, store_root: str, dialect: str = "extract",
              schemas: dict | None = None) -> LoadResult:
-    return MartStore(spark, store_root).load(star_from_folder(spark, folder, dialect, schemas))
+    store = MartStore(spark, store_root)
+    star = star_from_folder(spark, folder, dialect, schemas)
+    store.clear()
+    return store.load(star)
 
 
 def run_increment(spark: SparkSession, inc_folder: str, full_folder: str, store_root: str,

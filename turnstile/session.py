@@ -2,7 +2,8 @@
 
 Jobs never write to a machine-local temporary folder: scratch output lives
 under the folder the cluster names in ``spark.checkpoint.dir``.  Only when
-that setting is absent (unit tests, a laptop) do we create one.
+that setting is absent and Spark runs in one process (unit tests, a laptop) do
+we create one; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -61,7 +62,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    root = tempfile.mkdtemp(prefix="turnstile-ckpt-")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="turnstile-ckpt-")  # one machine, one process
     sc.setCheckpointDir(root)
     return root
 

@@ -48,10 +48,17 @@ class MissingInput(FileNotFoundError):
 
 def read_first(spark: SparkSession, paths: Sequence[str],
                reader: Callable[[str], DataFrame]) -> tuple[str, DataFrame]:
-    """Read the first existing path (e.g. increment folder, else full-load folder)."""
-    for path in paths:
-        if path_exists(spark, path):
+    """Read the first path that holds data files (e.g. increment folder, else full-load folder).
+
+    An empty folder does not shadow a later one; if no path has data the first existing one
+    is read (no rows).
+    """
+    existing = [path for path in paths if path_exists(spark, path)]
+    for path in existing:
+        if has_data_files(spark, path):
             return path, reader(path)
+    if existing:
+        return existing[0], reader(existing[0])
     raise MissingInput(f"none of {list(paths)} exists")
 
 
@@ -64,9 +71,13 @@ def read_parquet_or_none(spark: SparkSession, path: str,
     return reader.parquet(path)
 
 
-def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    df = read_parquet_or_none(spark, path, schema)
-    return df if df is not None else spark.createDataFrame([], schema)
+def largest_key(spark: SparkSession, path: str, key: str) -> int:
+    """The largest N of the folders ``key=N`` below ``path``; 0 when there is none."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return 0
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return max([int(n.split("=", 1)[1]) for n in names if n.startswith(f"{key}=")], default=0)
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

@@ -7,8 +7,9 @@
 * ``start_keyed_upsert``: each micro-batch is parsed, enriched, reduced to the
   latest row per row key and written to its own folder
   ``log/run=<run>/batch_id=<n>`` with overwrite.  A replayed batch rewrites
-  the same folder, so replays are idempotent; ``run`` is fixed per checkpoint
-  so a fresh checkpoint's batch 0 cannot replace an older run's.  Write
+  the same folder, so replays are idempotent; ``run`` is the query's own id, which
+  a checkpoint keeps and a fresh one renews, so batch 0 of a fresh checkpoint (even on
+  the same path) cannot replace an older run's.  Write
   errors fail the batch (the checkpoint replays it); malformed messages go to
   ``quarantine/`` instead of blocking the stream.
 * ``current_rows``: last write wins per row key over the whole log.
@@ -18,8 +19,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,14 +79,17 @@ def run_for(query: StreamingQuery, seconds: float | None) -> None:
     query.stop()
 
 
-def run_id_for(checkpoint: str) -> str:
-    return hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query a micro-batch belongs to: kept in its checkpoint, new with a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def keyed_batch_writer(root: str, run_id: str):
+def keyed_batch_writer(root: str, run_id: str | None = None):
     root = root.rstrip("/")
+    given = run_id
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run_id = given or query_id(batch)
         # two writes read the same micro-batch: keep it (bounded by the trigger's
         # max offsets/files) so the source is fetched once per batch
         parsed = ev.parse_arrivals(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -105,7 +107,7 @@ def keyed_batch_writer(root: str, run_id: str):
 def start_keyed_upsert(raw_stream: DataFrame, root: str, checkpoint: str,
                        trigger: dict | None = None, run_id: str | None = None) -> StreamingQuery:
     writer = (raw_stream.writeStream
-              .foreachBatch(keyed_batch_writer(root, run_id or run_id_for(checkpoint)))
+              .foreachBatch(keyed_batch_writer(root, run_id))
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
 
