@@ -25,6 +25,7 @@ def test_append_equals_batch_and_restart_adds_nothing(spark, tmp_root):
         q = stream.start_append(src, tmp_root + "/out", tmp_root + "/ckpt", {"availableNow": True})
         stream.run_for(q, None)
     got = spark.read.parquet(tmp_root + "/out").drop("ingested_at")
+    assert _rows(stream.rejected(got)) == _rows(ev.quarantine_rows(ev.parse_arrivals(messages.envelope_files(spark, topic))))
     want = ev.parse_arrivals(messages.envelope_files(spark, topic)).drop("raw_value", ev.CORRUPT_COLUMN)
     assert _rows(got.select(*want.columns)) == _rows(want)
 
@@ -40,8 +41,11 @@ def test_keyed_upsert_replay_is_idempotent(spark, tmp_root):
     assert _rows(cur) == _rows(batch.select(*cur.columns))
     quarantined = spark.read.parquet(tmp_root + "/store/quarantine").count()
     assert quarantined == ev.quarantine_rows(ev.parse_arrivals(messages.envelope_files(spark, topic))).count()
-    stream.compact(spark, tmp_root + "/store", tmp_root + "/compact")
-    assert spark.read.parquet(tmp_root + "/compact").count() == cur.count()
+    want = _rows(cur)
+    for _ in range(2):  # the second time there is nothing left to fold
+        version = stream.compact(spark, tmp_root + "/store")
+        assert version.endswith("v=1") and not stream._written_batches(spark, tmp_root + "/store")
+        assert _rows(stream.current_rows(spark, tmp_root + "/store")) == want
 
 
 def test_stream_dedup_within_horizon(spark, tmp_root):

@@ -9,20 +9,23 @@ Star mapping (all derived by Spark from the given tables, nothing synthesised):
   stations  supplier: s_suppkey, s_name, s_nationkey, has_night_tube = s_acctbal > 0
   networks  nation JOIN region: n_nationkey, n_name, r_name
   lines     part: distinct p_brand (id and name)
-  bridge    distinct (l_suppkey, p_brand) over lineitem JOIN part
+  bridge    distinct (l_suppkey, p_brand) over lineitem JOIN part, lines of 50 or more pieces:
+            a station is on some of the lines, and a period's bridge misses some stations
 
 The fact is a single scan of lineitem: the period lives on the line itself
 (l_shipdate), so no lineitem x orders join is needed at any scale.
 
 Periods: ``first_year`` / ``last_year`` bound the fact (and the dates and
 bridge derived from it) with a range on l_shipdate that Parquet can push
-down; the full load is years <= 2000 and the increment is 2001.
+down; the full load is years <= 2000 and the increment is 2001 and later.
 
 Arrival feed: one topic record per ``events`` row (see ``arrival_messages``).
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,9 +79,8 @@ def fact_from_lineitem(li: DataFrame) -> DataFrame:
     )
 
 
-def dates_from_lineitem(li: DataFrame) -> DataFrame:
-    day = F.to_date(F.col("l_shipdate"))
-    return (li.select(day.alias("day")).distinct()
+def dates_from(df: DataFrame, column: str = "l_shipdate") -> DataFrame:
+    return (df.select(F.to_date(F.col(column)).alias("day")).distinct()
             .select(date_id_of(F.col("day")).alias("date_id"),
                     F.year("day").alias("year"),
                     F.quarter("day").alias("quarter"),
@@ -110,10 +112,14 @@ def lines_from_part(part: DataFrame) -> DataFrame:
             .select("line_id", F.col("line_id").alias("line_name")))
 
 
+# order lines of so many pieces link a station to a line
+BRIDGE_QUANTITY = 50
+
+
 def bridge_from_lineitem(li: DataFrame, part: DataFrame) -> DataFrame:
     # Distinct (supplier, part) first: a hot part key collapses to one row per
     # supplier before the join, and the join input shrinks to the partsupp size.
-    pairs = li.select(F.col("l_suppkey"), F.col("l_partkey")).distinct()
+    pairs = li.filter(F.col("l_quantity") >= BRIDGE_QUANTITY).select("l_suppkey", "l_partkey").distinct()
     brands = part.select(F.col("p_partkey"), F.col("p_brand"))
     return (pairs.join(brands, pairs.l_partkey == brands.p_partkey)
             .select(F.col("l_suppkey").alias("station_id"), F.col("p_brand").alias("line_id"))
@@ -126,7 +132,7 @@ def test_star(spark: SparkSession, sf_dir: str, first_year: int | None = None,
     part = table(spark, sf_dir, "part")
     return Star(
         fact=fact_from_lineitem(li),
-        dates=dates_from_lineitem(li),
+        dates=dates_from(li),
         stations=stations_from_supplier(table(spark, sf_dir, "supplier")),
         networks=networks_from_nation(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")),
         lines=lines_from_part(part),
@@ -143,8 +149,13 @@ def full_star(spark: SparkSession, sf_dir: str) -> Star:
     return test_star(spark, sf_dir, last_year=FULL_LAST_YEAR)
 
 
-def increment_star(spark: SparkSession, sf_dir: str, year: int = INCREMENT_YEAR) -> Star:
-    return test_star(spark, sf_dir, first_year=year, last_year=year)
+def increment_star(spark: SparkSession, sf_dir: str) -> Star:
+    return test_star(spark, sf_dir, first_year=INCREMENT_YEAR)
+
+
+def with_order_dates(star: Star, spark: SparkSession, sf_dir: str) -> Star:
+    """The star with the dates of ``orders``: ship dates after the last order have no date row."""
+    return replace(star, dates=dates_from(table(spark, sf_dir, "orders"), "o_orderdate"))
 
 
 def arrival_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,26 +163,42 @@ def arrival_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
       value      JSON arrival: id = "<user_id>-<event_type>" (a prediction id that
                  repeats as it is refreshed), vehicleId = user_id,
-                 stationName = "Stop <props.k>", lineName = event_type,
-                 expectedArrival = ts (ISO, UTC), timeToStation = floor(value),
-                 timestamp = ts; absent fields are omitted.
-                 Rows of type 'error' carry their raw ``props`` text instead:
-                 a message without id or vehicleId, which the parser quarantines.
+                 stationName = " Stop '<first digit of props.k>' ", lineName = event_type,
+                 expectedArrival = ts (ISO, UTC), timeToStation = floor(10 * value),
+                 event time = the week of ts (so row keys repeat), named arr_timestamp
+                 in purchases and timestamp elsewhere; clicks carry their own
+                 ingested_at (ts and 90 minutes, in seconds); absent fields are omitted.
+                 timeToStation is a fraction in signups and text at stop 7 (wrong types).
+                 Rows of type 'error' carry their raw ``props`` text instead (no id), cut
+                 short for values below 20 (malformed) and null for those above 200.
       partition  user_id mod 4 (records of one vehicle share a partition)
       offset     event_id (increasing with ts)
       timestamp  ts
     """
     ev = table(spark, sf_dir, "events")
-    arrival = F.to_json(F.struct(
-        F.concat_ws("-", F.col("user_id").cast("string"), F.col("event_type")).alias("id"),
-        F.col("user_id").cast("string").alias("vehicleId"),
-        F.concat(F.lit("Stop "), F.get_json_object("props", "$.k")).alias("stationName"),
-        F.col("event_type").alias("lineName"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("expectedArrival"),
-        F.floor("value").cast("int").alias("timeToStation"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
-    ))
-    value = F.when(F.col("event_type") == "error", F.col("props")).otherwise(arrival)
+    kind, stop = F.col("event_type"), F.substring(F.get_json_object("props", "$.k"), 1, 1)
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd HH:mm:ss")
+    tenths = F.floor(F.col("value") * 10).cast("int")
+
+    def arrival(time_to_station: Column) -> Column:
+        return F.to_json(F.struct(
+            F.concat_ws("-", F.col("user_id").cast("string"), kind).alias("id"),
+            F.col("user_id").cast("string").alias("vehicleId"),
+            F.concat(F.lit(" Stop '"), stop, F.lit("' ")).alias("stationName"),
+            kind.alias("lineName"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("expectedArrival"),
+            time_to_station.alias("timeToStation"),
+            F.when(kind != "purchase", week).alias("timestamp"),
+            F.when(kind == "purchase", week).alias("arr_timestamp"),
+            F.when(kind == "click", F.date_format(F.col("ts") + F.expr("INTERVAL 90 MINUTES"), "yyyy-MM-dd HH:mm:ss"))
+            .alias("ingested_at"),
+        ))
+
+    text = F.col("props")
+    broken = (F.when(F.col("value") < 20, F.expr("substring(props, 1, length(props) - 1)"))
+              .when(F.col("value") > 200, F.lit(None)).otherwise(text))
+    value = (F.when(kind == "error", broken).when(kind == "signup", arrival(F.col("value") + 0.5))
+             .when(stop == "7", arrival(tenths.cast("string"))).otherwise(arrival(tenths)))
     return ev.select(
         value.cast("binary").alias("value"),
         F.pmod(F.col("user_id"), F.lit(4)).cast("int").alias("partition"),

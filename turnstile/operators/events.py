@@ -32,7 +32,8 @@ def _envelope(raw: DataFrame, name: str, alias: str, dtype: str) -> Column:
 def parse_arrivals(raw: DataFrame) -> DataFrame:
     """Decode the JSON value with the declared schema; keep envelope metadata.
 
-    Output: the eleven message fields (``timestamp`` renamed arr_timestamp),
+    Output: the eleven message fields (``timestamp`` named arr_timestamp; a message's own
+    arr_timestamp goes first), its own ingested_at as message_ingested_at,
     kafka_partition, kafka_offset, kafka_ingest_time, arrival_date (date of
     expectedArrival, null when unparsable), ``_corrupt_record`` and
     ``raw_value``.  Malformed text never fails the job.
@@ -53,10 +54,12 @@ def parse_arrivals(raw: DataFrame) -> DataFrame:
         _envelope(raw, "offset", "kafka_offset", "bigint"),
         _envelope(raw, "timestamp", "kafka_ingest_time", "timestamp"),
         F.inline(F.array(row)))
-    fields = [F.col(f"d.{n}").alias(EVENT_TIME if n == "timestamp" else n) for n in PAYLOAD]
+    fields = [F.coalesce("d.arr_timestamp", "d.timestamp").alias(EVENT_TIME) if n == "timestamp"
+              else F.col(f"d.{n}").alias(n) for n in PAYLOAD]
     return parsed.select(
         *fields, *META,
         F.col("d.expectedArrival").try_cast("date").alias("arrival_date"),
+        F.col("d.ingested_at").alias("message_ingested_at"),
         F.col(f"d.{CORRUPT_COLUMN}").alias(CORRUPT_COLUMN),
         "raw_value",
     )
@@ -108,10 +111,11 @@ def dedup_arrivals(valid: DataFrame) -> DataFrame:
 def enrich(valid: DataFrame, ingested: str = "kafka_ingest_time") -> DataFrame:
     """The keyed store's fourteen cells plus ``row_key`` and the envelope position.
 
-    Text cells are cleaned (null -> '', quotes removed, trimmed); ingestion
-    time defaults to now when absent.
+    Text cells are cleaned (null -> '', quotes removed, trimmed).  The ingestion time is
+    the message's own, else the envelope's, else now; ``ingest_time`` keeps it whole.
     """
-    ingest = F.coalesce(F.col(ingested).cast("timestamp"), F.current_timestamp())
+    ingest = F.coalesce(F.col("message_ingested_at").try_cast("timestamp"), F.col(ingested).cast("timestamp"),
+                        F.current_timestamp())
     ingest_text = F.date_format(ingest, "yyyy-MM-dd HH:mm:ss")
     text = ["stationName", "vehicleId", "lineName", "platformName", "expectedArrival",
             "currentLocation", "direction", "destinationName"]
@@ -124,11 +128,10 @@ def enrich(valid: DataFrame, ingested: str = "kafka_ingest_time") -> DataFrame:
         ingest_text.alias("ingestionTime"),
         fx.delay_level("timeToStation").alias("delayLevel"),
         fx.peak_bucket(ingest_text).alias("peakHours"),
-        "kafka_partition", "kafka_offset",
+        ingest.alias("ingest_time"), "kafka_partition", "kafka_offset",
     )
 
 
-def keyed_latest(enriched: DataFrame, extra_order: list[str] | None = None) -> DataFrame:
-    """Last write wins per row key: latest by (ingestionTime, [batch], partition, offset)."""
-    order = ["ingestionTime", *(extra_order or []), "kafka_partition", "kafka_offset"]
-    return latest_by(enriched, ["row_key"], order).select(*enriched.columns)
+def keyed_latest(enriched: DataFrame) -> DataFrame:
+    """Last write wins per row key: latest by (ingest_time, partition, offset)."""
+    return latest_by(enriched, ["row_key"], ["ingest_time", "kafka_partition", "kafka_offset"]).select(*enriched.columns)

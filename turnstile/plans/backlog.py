@@ -32,7 +32,7 @@ class BacklogCounts:
         return self.valid - self.deduplicated
 
 
-def load_backlog(raw: DataFrame, out: str, quarantine_out: str | None = None,
+def load_backlog(raw: DataFrame, out: str, quarantine_out: str,
                  keys: list[str] = PARTITION_KEYS) -> BacklogCounts:
     parsed, seen = observed(ev.parse_arrivals(raw), "arrivals_parsed",
                             raw=F.count(F.lit(1)), valid=F.count_if(ev.is_valid()))
@@ -42,8 +42,7 @@ def load_backlog(raw: DataFrame, out: str, quarantine_out: str | None = None,
     deduped = ev.dedup_arrivals(ev.valid_rows(parsed)).withColumn("loaded_at", F.current_timestamp())
     deduped, kept = observed(deduped, "arrivals_kept", deduplicated=F.count(F.lit(1)))
     write_partitioned(deduped, out, keys)
-    if quarantine_out:
-        ev.quarantine_rows(parsed).write.mode("overwrite").parquet(quarantine_out)
+    ev.quarantine_rows(parsed).write.mode("overwrite").parquet(quarantine_out)
     a, b = seen.get, kept.get
     return BacklogCounts(raw=a["raw"], valid=a["valid"], quarantined=a["raw"] - a["valid"],
                          deduplicated=b["deduplicated"])

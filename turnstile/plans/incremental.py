@@ -45,7 +45,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -240,6 +239,11 @@ class MartStore:
         for name in ("ledger", "partials", "undated", "interchange", "runs"):
             delete_path(self.spark, self.path(name))
 
+    def replace(self, star: Star) -> LoadResult:
+        """A full load: the store holds this star and nothing else."""
+        self.clear()
+        return self.load(star)
+
     # -- read ----------------------------------------------------------------
     def partial(self, name: str) -> DataFrame | None:
         """The partial of all years and of the facts without one; None when there is neither."""
@@ -313,11 +317,3 @@ class MartStore:
             paths[name] = f"{out.rstrip('/')}/{name}"
             df.write.mode("overwrite").parquet(paths[name])
         return paths
-
-
-def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
-    """(gold_table, row_count) for each frame, unioned (V4)."""
-    counted = [df.agg(F.count(F.lit(1)).alias("row_count"))
-               .select(F.lit(name).alias("gold_table"), "row_count")
-               for name, df in frames.items()]
-    return reduce(DataFrame.unionByName, counted)

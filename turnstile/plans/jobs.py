@@ -42,8 +42,7 @@ def run_full(spark: SparkSession, folder: str, store_root: str, dialect: str = "
              schemas: dict | None = None) -> LoadResult:
     store = MartStore(spark, store_root)
     star = star_from_folder(spark, folder, dialect, schemas)
-    store.clear()
-    return store.load(star)
+    return store.replace(star)
 
 
 def run_increment(spark: SparkSession, inc_folder: str, full_folder: str, store_root: str,

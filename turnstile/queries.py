@@ -118,8 +118,7 @@ def json_valid_rows(spark, sf_dir):
 
 
 @register("json_quarantine", oracle.messages_sql(
-    "SELECT kafka_partition, kafka_offset, kafka_ingest_time, 'missing_id' AS reason, "
-    "props AS raw_value FROM parsed WHERE bad"))
+    "SELECT kafka_partition, kafka_offset, kafka_ingest_time, reason, raw AS raw_value FROM parsed WHERE bad"))
 def json_quarantine(spark, sf_dir):
     return ev.quarantine_rows(_parsed(spark, sf_dir))
 
@@ -185,7 +184,7 @@ def enrich_delay_level(spark, sf_dir):
 
 
 @register("enrich_peak_hours", oracle.messages_sql(
-    f"SELECT kafka_partition, kafka_offset, {oracle.PEAK_SQL} AS peakHours FROM valid"))
+    f"SELECT kafka_partition, kafka_offset, {oracle.peak_sql('kafka_ingest_time')} AS peakHours FROM valid"))
 def enrich_peak_hours(spark, sf_dir):
     from .functions.arrivals import peak_bucket
     return _valid(spark, sf_dir).select("kafka_partition", "kafka_offset",
@@ -206,11 +205,21 @@ def keyed_rows(spark, sf_dir):
     return ev.enrich(_valid(spark, sf_dir))
 
 
-@register("keyed_latest", oracle.messages_sql(f"""
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY row_key ORDER BY ingestionTime DESC,
-                               kafka_partition DESC, kafka_offset DESC) AS rn
-  FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)) WHERE rn = 1"""))
+@register("row_key_fallback", oracle.messages_sql(
+    f"SELECT kafka_partition, kafka_offset, row_key, arr_timestamp FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)"))
+def row_key_fallback(spark, sf_dir):
+    """Event time from the message's arr_timestamp, else its timestamp, in cell and key."""
+    return ev.enrich(_valid(spark, sf_dir)).select("kafka_partition", "kafka_offset", "row_key", "arr_timestamp")
+
+
+@register("ingest_default", oracle.messages_sql(
+    f"SELECT kafka_partition, kafka_offset, ingestionTime, peakHours FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)"))
+def ingest_default(spark, sf_dir):
+    """Ingestion time from the message, else from the envelope."""
+    return ev.enrich(_valid(spark, sf_dir)).select("kafka_partition", "kafka_offset", "ingestionTime", "peakHours")
+
+
+@register("keyed_latest", oracle.messages_sql(oracle.LATEST_PER_KEY))
 def keyed_latest(spark, sf_dir):
     """Keyed store contents after all messages: last write wins per row key (K6, V6)."""
     return ev.keyed_latest(ev.enrich(_valid(spark, sf_dir)))
@@ -222,7 +231,7 @@ _STORES: dict[tuple, inc.MartStore] = {}
 
 
 def loaded_store(spark: SparkSession, sf_dir: str, rerun: bool = False) -> inc.MartStore:
-    """A fresh store with the full load (years <= 2000) then the 2001 increment applied."""
+    """A fresh store with the full load (years <= 2000) then the increment applied."""
     key = (id(spark), sf_dir, rerun)
     cached = _STORES.get(key)
     if cached is None or cached.spark is not spark:
@@ -267,6 +276,40 @@ def incr_entity_totals(spark, sf_dir):
     return loaded_store(spark, sf_dir).mart("busiest_stations")
 
 
+_UNDATED: dict[tuple, inc.MartStore] = {}
+
+
+def _undated_store(spark, sf_dir) -> inc.MartStore:
+    """Full load and increment whose dates come from ``orders``: some facts have no date row."""
+    key = (id(spark), sf_dir)
+    if key not in _UNDATED:
+        store = inc.MartStore(spark, scratch_dir(spark, "undated-store"))
+        for star in (adapters.full_star(spark, sf_dir), adapters.increment_star(spark, sf_dir)):
+            store.load(adapters.with_order_dates(star, spark, sf_dir))
+        _UNDATED[key] = store
+    return _UNDATED[key]
+
+
+@register("incr_undated_entity_totals", oracle.mart_sql("busiest_stations"))
+def incr_undated_entity_totals(spark, sf_dir):
+    """Station totals after two loads count every fact, dated or not."""
+    return _undated_store(spark, sf_dir).mart("busiest_stations")
+
+
+@register("incr_undated_flag_stats", oracle.mart_sql("night_tube_analysis"))
+def incr_undated_flag_stats(spark, sf_dir):
+    return _undated_store(spark, sf_dir).mart("night_tube_analysis")
+
+
+@register("full_reload_replaces", oracle.mart_sql("busiest_stations", **oracle.FULL))
+def full_reload_replaces(spark, sf_dir):
+    """A full load over a store that held more years leaves only its own rows (K1)."""
+    store = inc.MartStore(spark, scratch_dir(spark, "reload-store"))
+    store.replace(adapters.test_star(spark, sf_dir))
+    store.replace(adapters.full_star(spark, sf_dir))
+    return store.mart("busiest_stations")
+
+
 @register("incr_by_line", oracle.period_union_sql("passengers_by_line", ["line_name"], ["total_passengers"]))
 def incr_by_line(spark, sf_dir):
     """As loaded: each period's totals go through that period's station-line bridge."""
@@ -280,7 +323,7 @@ def incr_by_network(spark, sf_dir):
 
 
 @register("incr_flag_stats_weighted", oracle.mart_sql(
-    "night_tube_analysis", first_year=None, last_year=adapters.INCREMENT_YEAR))
+    "night_tube_analysis"))
 def incr_flag_stats_weighted(spark, sf_dir):
     """Merged night-service mart with the exact (count-weighted) average."""
     return loaded_store(spark, sf_dir).mart("night_tube_analysis")
@@ -368,6 +411,24 @@ def partitioned_events_pruned(spark, sf_dir):
                      f"FROM {db}.arrivals GROUP BY lineName, arrival_date")
 
 
+@register("backlog_reconciliation", oracle.messages_sql("""
+SELECT COUNT(*) AS raw_records, COUNT(*) FILTER (WHERE NOT bad) AS valid_records,
+       COUNT(*) FILTER (WHERE bad) AS quarantined_records, COUNT(DISTINCT id) AS deduplicated_records,
+       COUNT(DISTINCT id) AS table_rows, COUNT(*) FILTER (WHERE bad) AS quarantine_rows FROM parsed"""))
+def backlog_reconciliation(spark, sf_dir):
+    """The backlog load's own counts beside the rows of its table and of its quarantine (V1, K2)."""
+    root = scratch_dir(spark, "backlog")
+    n = backlog.load_backlog(adapters.arrival_messages(spark, sf_dir), f"{root}/arrivals", f"{root}/quarantine")
+    counted = {"raw_records": n.raw, "valid_records": n.valid, "quarantined_records": n.quarantined,
+               "deduplicated_records": n.deduplicated}
+    table = spark.read.parquet(f"{root}/arrivals").agg(F.count(F.lit(1)).alias("table_rows"))
+    held = spark.read.parquet(f"{root}/quarantine").agg(F.count(F.lit(1)).alias("quarantine_rows"))
+    both = table.select("table_rows", F.lit(0).alias("quarantine_rows")).unionByName(
+        held.select(F.lit(0).alias("table_rows"), "quarantine_rows"))
+    return both.agg(*[F.lit(v).cast("long").alias(k) for k, v in counted.items()],
+                    F.sum("table_rows").alias("table_rows"), F.sum("quarantine_rows").alias("quarantine_rows"))
+
+
 @register("scan_with_fallback", "SELECT DISTINCT p_brand AS line_id, p_brand AS line_name FROM part")
 def scan_with_fallback(spark, sf_dir):
     """Increment folder absent -> the full-load folder is read."""
@@ -425,42 +486,104 @@ _MSG_FILES: dict[tuple, str] = {}
 
 
 def _message_files(spark, sf_dir) -> str:
-    """The arrival topic materialised once as Parquet files in the envelope (8 files)."""
+    """The arrival topic written once as Parquet files in the envelope, by topic partition (no shuffle)."""
     key = (id(spark), sf_dir)
     if key not in _MSG_FILES:
         path = scratch_dir(spark, "topic")
-        adapters.arrival_messages(spark, sf_dir).repartitionByRange(8, "offset") \
-            .write.mode("overwrite").parquet(path)
+        adapters.arrival_messages(spark, sf_dir).write.partitionBy("partition").parquet(path)
         _MSG_FILES[key] = path
     return _MSG_FILES[key]
 
 
+def _topic_stream(spark, path) -> DataFrame:
+    """A topic folder as a stream of a few micro-batches, however many files it has."""
+    n_files = len(messages.envelope_files(spark, path).inputFiles())
+    return messages.envelope_files(spark, path, streaming=True, max_files_per_trigger=max(1, n_files // 2))
+
+
+def _appended(spark, sf_dir) -> str:
+    root = scratch_dir(spark, "stream-append")
+    q = stream.start_append(_topic_stream(spark, _message_files(spark, sf_dir)), f"{root}/out", f"{root}/checkpoint",
+                            trigger={"availableNow": True})
+    stream.run_for(q, None)
+    return f"{root}/out"
+
+
 @register("stream_append_events", oracle.messages_sql(f"SELECT {oracle.PARSED_COLS} FROM parsed"))
 def stream_append_events(spark, sf_dir):
-    """Topic -> parse -> stamped Parquet append with a checkpoint, two files per micro-batch;
+    """Topic -> parse -> stamped Parquet append with a checkpoint, in micro-batches;
     the output read back equals the batch parse (S7, T1-T5, K4, V5)."""
-    src = messages.envelope_files(spark, _message_files(spark, sf_dir), streaming=True,
-                                  max_files_per_trigger=2)
-    root = scratch_dir(spark, "stream-append")
-    q = stream.start_append(src, f"{root}/out", f"{root}/checkpoint", trigger={"availableNow": True})
+    return spark.read.parquet(_appended(spark, sf_dir)).select(*_PARSED_OUT)
+
+
+@register("stream_append_quarantine", oracle.messages_sql(
+    "SELECT kafka_partition, kafka_offset, kafka_ingest_time, reason, raw AS raw_value FROM parsed WHERE bad"))
+def stream_append_quarantine(spark, sf_dir):
+    """Every message the append stream rejected, with its reason and raw text."""
+    return stream.rejected(spark.read.parquet(_appended(spark, sf_dir)))
+
+
+@register("stream_output_table_count", "SELECT COUNT(*) AS total_records FROM events")
+def stream_output_table_count(spark, sf_dir):
+    """An external table over the append stream's output, counted through the catalog."""
+    db = _db_name("appended")
+    catalog.create_database(spark, db, use=False)
+    catalog.register_parquet(spark, f"{db}.arrivals", _appended(spark, sf_dir))
+    return catalog.table_count(spark, f"{db}.arrivals")
+
+
+@register("publish_json_roundtrip", oracle.messages_sql(
+    "SELECT id AS message_key, id, vehicleId, stationName, lineName, expectedArrival, timeToStation, arr_timestamp FROM valid"))
+def publish_json_roundtrip(spark, sf_dir):
+    """Rows published as keyed JSON messages (null fields omitted), read back and parsed."""
+    rows = _valid(spark, sf_dir).select("id", "vehicleId", "stationName", "lineName", "expectedArrival",
+                                        "timeToStation", "arr_timestamp")
+    path = scratch_dir(spark, "published")
+    messages.as_json_messages(rows, key="id").write.parquet(path)
+    return (spark.read.parquet(path)
+            .select(F.col("key").cast("string").alias("message_key"),
+                    F.from_json(F.col("value").cast("string"), rows.schema).alias("d"))
+            .select("message_key", "d.*"))
+
+
+_KEYED: dict[tuple, str] = {}
+
+
+def _upsert(spark, topic: str, root: str) -> None:
+    q = stream.start_keyed_upsert(_topic_stream(spark, topic), f"{root}/store", f"{root}/checkpoint",
+                                  trigger={"availableNow": True})
     stream.run_for(q, None)
-    return spark.read.parquet(f"{root}/out").select(*_PARSED_OUT)
 
 
-@register("stream_keyed_upsert", oracle.messages_sql(f"""
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY row_key ORDER BY ingestionTime DESC,
-                               kafka_partition DESC, kafka_offset DESC) AS rn
-  FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)) WHERE rn = 1"""))
+def _keyed_store(spark, sf_dir) -> str:
+    """The keyed store after the whole topic, built once."""
+    key = (id(spark), sf_dir)
+    if key not in _KEYED:
+        root = scratch_dir(spark, "stream-upsert")
+        _upsert(spark, _message_files(spark, sf_dir), root)
+        _KEYED[key] = f"{root}/store"
+    return _KEYED[key]
+
+
+@register("stream_keyed_upsert", oracle.messages_sql(oracle.LATEST_PER_KEY))
 def stream_keyed_upsert(spark, sf_dir):
     """Topic -> per-batch enrich + latest per key -> own-folder log; current rows read
     back equal the batch keyed store (S12, T6, T7, K6)."""
-    src = messages.envelope_files(spark, _message_files(spark, sf_dir), streaming=True,
-                                  max_files_per_trigger=2)
-    root = scratch_dir(spark, "stream-upsert")
-    q = stream.start_keyed_upsert(src, f"{root}/store", f"{root}/checkpoint",
-                                  trigger={"availableNow": True})
-    stream.run_for(q, None)
+    return stream.current_rows(spark, _keyed_store(spark, sf_dir))
+
+
+@register("stream_keyed_restart", oracle.messages_sql(oracle.LATEST_PER_KEY))
+def stream_keyed_restart(spark, sf_dir):
+    """One store fed by two queries: the first half of the topic, compaction, then the other half
+    by a query whose checkpoint (same path) was lost.  No key of the first is lost (K6, T7)."""
+    root = scratch_dir(spark, "stream-restart")
+    sent = messages.envelope_files(spark, _message_files(spark, sf_dir))
+    for name, part in (("first", sent.filter("partition < 2")), ("second", sent.filter("partition >= 2"))):
+        part.write.partitionBy("partition").parquet(f"{root}/{name}")
+        _upsert(spark, f"{root}/{name}", root)
+        if name == "first":
+            stream.compact(spark, f"{root}/store")
+            files.delete_path(spark, f"{root}/checkpoint")
     return stream.current_rows(spark, f"{root}/store")
 
 
@@ -474,31 +597,24 @@ def topic_message_count(spark, sf_dir):
 SELECT COUNT(DISTINCT row_key) AS total_records FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)"""))
 def keyed_store_count(spark, sf_dir):
     """Rows in the keyed store after all messages (V6)."""
-    return ev.keyed_latest(ev.enrich(_valid(spark, sf_dir))).agg(F.count(F.lit(1)).alias("total_records"))
+    store = stream.current_rows(spark, _keyed_store(spark, sf_dir))
+    return store.agg(F.count(F.lit(1)).alias("total_records"))
 
 
-@register("keyed_store_preview", oracle.messages_sql(f"""
-SELECT * EXCLUDE (rn) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY row_key ORDER BY ingestionTime DESC,
-                               kafka_partition DESC, kafka_offset DESC) AS rn
-  FROM (SELECT {oracle.ENRICHED_SELECT} FROM valid)) WHERE rn = 1
-ORDER BY row_key LIMIT 5"""))
+@register("keyed_store_preview", oracle.messages_sql(oracle.LATEST_PER_KEY + "\nORDER BY row_key LIMIT 5"))
 def keyed_store_preview(spark, sf_dir):
     """First five rows of the keyed store by row key (V7, K8)."""
     from .operators.topn import preview
-    return preview(ev.keyed_latest(ev.enrich(_valid(spark, sf_dir))), 5, "row_key")
+    return preview(stream.current_rows(spark, _keyed_store(spark, sf_dir)), 5, "row_key")
 
 
 @register("stream_dedup_ids", oracle.messages_sql("SELECT DISTINCT id FROM valid"))
 def stream_dedup_ids(spark, sf_dir):
-    """Streaming dedup with bounded state (watermark horizon wider than the feed's
-    time span): every valid id comes out exactly once across micro-batches.  The
+    """Streaming dedup with bounded state (the horizon is the feed's month): every valid id comes out exactly once across micro-batches.  The
     surviving row within a batch is the first seen, so only the ids are compared."""
-    src = messages.envelope_files(spark, _message_files(spark, sf_dir), streaming=True,
-                                  max_files_per_trigger=4)
-    parsed = ev.parse_arrivals(src).filter(ev.is_valid()).drop("raw_value", ev.CORRUPT_COLUMN)
+    parsed = ev.parse_arrivals(_topic_stream(spark, _message_files(spark, sf_dir))).filter(ev.is_valid()).drop("raw_value", ev.CORRUPT_COLUMN)
     root = scratch_dir(spark, "stream-dedup")
-    q = (stream.dedup_within(parsed, "3650 days").writeStream.format("parquet")
+    q = (stream.dedup_within(parsed, "31 days").writeStream.format("parquet")
          .option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
          .trigger(availableNow=True).start())
     stream.run_for(q, None)

@@ -57,15 +57,12 @@ ARRIVAL_FIELDS = [
     ("currentLocation", _S), ("direction", _S), ("destinationName", _S),
     ("timestamp", _S),
 ]
+# Fields that messages to the keyed store may carry besides: their own event and ingestion time.
+KEYED_FIELDS = [("arr_timestamp", _S), ("ingested_at", _S)]
 CORRUPT_COLUMN = "_corrupt_record"
 ARRIVAL_JSON = _struct(*ARRIVAL_FIELDS)
-ARRIVAL_JSON_WITH_CORRUPT = _struct(*ARRIVAL_FIELDS, (CORRUPT_COLUMN, _S))
+ARRIVAL_JSON_WITH_CORRUPT = _struct(*ARRIVAL_FIELDS, *KEYED_FIELDS, (CORRUPT_COLUMN, _S))
 
 # Topic record envelope as the message sources deliver it.
 MESSAGE_ENVELOPE = _struct(("value", T.BinaryType()), ("partition", _I), ("offset", _L),
                            ("timestamp", _TS))
-
-# Cells of the keyed arrival store, in write order.
-KEYED_CELLS = ["stationName", "vehicleId", "lineName", "platformName", "expectedArrival",
-               "timeToStation", "timeToStationMin", "currentLocation", "direction",
-               "destinationName", "arr_timestamp", "ingestionTime", "delayLevel", "peakHours"]

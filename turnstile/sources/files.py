@@ -71,6 +71,14 @@ def read_parquet_or_none(spark: SparkSession, path: str,
     return reader.parquet(path)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below ``path``, sorted; none when it is absent."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(f"{path.rstrip('/')}/{st.getPath().getName()}" for st in fs.listStatus(p) if st.isDirectory())
+
+
 def largest_key(spark: SparkSession, path: str, key: str) -> int:
     """The largest N of the folders ``key=N`` below ``path``; 0 when there is none."""
     fs, p = _fs_path(spark, path)

@@ -1,9 +1,8 @@
 """Structured Streaming jobs over an arrival topic (or files in the same envelope).
 
 * ``start_append``: stateless parse + ingestion stamp, appended as Parquet
-  with a checkpoint (exactly-once files).  Every message is kept, valid or
-  not, like the batch ``json_parse_events``; use ``valid_only=True`` to drop
-  unparsable ones.
+  with a checkpoint (exactly-once files).  Every message is kept; rejected ones carry
+  their ``reject_reason`` and raw text (``rejected`` reads them), valid ones nulls there.
 * ``start_keyed_upsert``: each micro-batch is parsed, enriched, reduced to the
   latest row per row key and written to its own folder
   ``log/run=<run>/batch_id=<n>`` with overwrite.  A replayed batch rewrites
@@ -12,7 +11,8 @@
   the same path) cannot replace an older run's.  Write
   errors fail the batch (the checkpoint replays it); malformed messages go to
   ``quarantine/`` instead of blocking the stream.
-* ``current_rows``: last write wins per row key over the whole log.
+* ``current_rows``: last write wins per row key over the newest compacted version and
+  the batches written since; ``compact`` folds the log into a new version.
 * ``dedup_within``: drops repeated ids inside an event-time horizon (bounded
   state); the batch dedup keeps the latest, the stream keeps the first seen.
 """
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import events as ev
-from ..sources.files import read_parquet_or_none
+from ..sources.files import delete_path, largest_key, path_exists, subfolders
 
 INGESTED = "ingested_at"
 
@@ -37,21 +37,26 @@ def _trigger(writer, trigger: dict | None):
 METRICS = "arrival_counts"
 
 
-def stamped(raw_stream: DataFrame, valid_only: bool = False) -> DataFrame:
+def stamped(raw_stream: DataFrame) -> DataFrame:
     # per micro-batch raw / valid / quarantined counts, reported in the query's
     # progress (``lastProgress["observedMetrics"]["arrival_counts"]``), no extra pass
     parsed = ev.parse_arrivals(raw_stream).observe(
         METRICS, F.count(F.lit(1)).alias("raw"), F.count_if(ev.is_valid()).alias("valid"),
         F.count_if(~ev.is_valid()).alias("quarantined"))
-    if valid_only:
-        parsed = parsed.filter(ev.is_valid())
-    return parsed.drop("raw_value", ev.CORRUPT_COLUMN).withColumn(INGESTED, F.current_timestamp())
+    reason = F.when(~ev.is_valid(), ev.reject_reason())
+    return (parsed.withColumns({"reject_reason": reason, "raw_value": F.when(~ev.is_valid(), F.col("raw_value"))})
+            .drop(ev.CORRUPT_COLUMN).withColumn(INGESTED, F.current_timestamp()))
+
+
+def rejected(out: DataFrame) -> DataFrame:
+    """The rejected messages of an append stream's output, with reason and raw text."""
+    return out.filter(F.col("reject_reason").isNotNull()).select(
+        *ev.META, F.col("reject_reason").alias("reason"), "raw_value")
 
 
 def start_append(raw_stream: DataFrame, path: str, checkpoint: str,
-                 trigger: dict | None = None, valid_only: bool = False,
-                 query_name: str | None = None) -> StreamingQuery:
-    writer = (stamped(raw_stream, valid_only).writeStream.format("parquet")
+                 trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
+    writer = (stamped(raw_stream).writeStream.format("parquet")
               .outputMode("append").option("path", path)
               .option("checkpointLocation", checkpoint))
     if query_name:
@@ -112,19 +117,44 @@ def start_keyed_upsert(raw_stream: DataFrame, root: str, checkpoint: str,
     return _trigger(writer, trigger).start()
 
 
+def _newest_version(spark: SparkSession, root: str) -> str | None:
+    """The newest version that was written whole."""
+    for n in range(largest_key(spark, f"{root}/versions", "v"), 0, -1):
+        if path_exists(spark, f"{root}/versions/v={n}/_SUCCESS"):
+            return f"{root}/versions/v={n}"
+    return None
+
+
+def _written_batches(spark: SparkSession, root: str) -> list[str]:
+    return [batch for run in subfolders(spark, f"{root}/log") for batch in subfolders(spark, run)
+            if path_exists(spark, f"{batch}/_SUCCESS")]
+
+
+def _latest_of(spark: SparkSession, version: str | None, batches: list[str]) -> DataFrame:
+    return ev.keyed_latest(spark.read.parquet(*([version] if version else []), *batches))
+
+
 def current_rows(spark: SparkSession, root: str) -> DataFrame | None:
-    log = read_parquet_or_none(spark, f"{root.rstrip('/')}/log")
-    if log is None:
-        return None
-    cells = [c for c in log.columns if c not in ("run", "batch_id")]
-    return ev.keyed_latest(log, extra_order=["batch_id"]).select(*cells)
-
-
-def compact(spark: SparkSession, root: str, out: str) -> str:
-    """Rewrite the latest row per key to ``out`` (a new version folder)."""
-    cur = current_rows(spark, root)
-    if cur is not None:
-        cur.write.mode("overwrite").parquet(out)
+    root = root.rstrip("/")
+    version, batches = _newest_version(spark, root), _written_batches(spark, root)
+    return _latest_of(spark, version, batches) if version or batches else None
+
+
+def compact(spark: SparkSession, root: str) -> str | None:
+    """Fold the log into a new version ``versions/v=N`` and remove what it folded.
+
+    A crash before the removal leaves rows twice, and a replayed batch writes its folder
+    again; neither changes the latest row of a key.  The version before stays for readers.
+    """
+    root = root.rstrip("/")
+    version, batches = _newest_version(spark, root), _written_batches(spark, root)
+    if not batches:
+        return version
+    n = largest_key(spark, f"{root}/versions", "v") + 1
+    out = f"{root}/versions/v={n}"
+    _latest_of(spark, version, batches).write.mode("overwrite").parquet(out)
+    for old in [*batches, *(v for v in subfolders(spark, f"{root}/versions") if v not in (out, version))]:
+        delete_path(spark, old)
     return out
 
 
