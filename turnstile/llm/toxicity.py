@@ -8,8 +8,9 @@ on all windows of ordinary documents.  Matches inside words count, so inflected
 forms that were never seen still compress with the toxic dictionary.
 
 The evidence of a margin, by window length, is its log-likelihood ratio between the classes, taken where it is a clear
-sign; a document's evidence is the sum over its windows, and a logistic curve turns
-it into the score.  Evidence and curve are fitted on documents that the dictionaries
+sign; a document's evidence is the sum over its windows, and a logistic curve of the
+logarithm of one plus the evidence turns it into the score (of the plain sum, texts with
+much evidence would flatten the curve and texts with a few clear signs stay below the threshold).  Evidence and curve are fitted on documents that the dictionaries
 used for them have not seen (two halves, each judged by the other's dictionaries).
 
 Fitted on the driver on at most ``fit_rows`` labelled documents per class and ``fit_bytes`` of text;
@@ -131,7 +132,7 @@ class Model:
     ordinary: bytes
     toxic: bytes
     weights: np.ndarray  # evidence of each bin
-    curve: tuple[float, float]  # slope and intercept of the logistic curve
+    curve: tuple[float, float]  # slope and intercept of the logistic curve over log(1 + evidence)
 
     def scorer(self):
         margins, weights, (slope, start) = Margins(self.ordinary, self.toxic), self.weights.tolist(), self.curve
@@ -146,7 +147,7 @@ class Model:
                     fresh = list(set(found))
                 known.update(zip(fresh, [weights[k] for k in margins.of(fresh)]))
                 margins.known.clear()
-            evidence = sum([known[w] for w in found])
+            evidence = math.log1p(sum([known[w] for w in found]))
             return 1 / (1 + math.exp(-min(35.0, max(-35.0, slope * evidence + start))))
         return score
 
@@ -187,7 +188,7 @@ def fit(rows: list[tuple[str | None, int]], width: int = WINDOW_WORDS) -> Model:
         judge = Margins(*dictionaries(halves[1 - h][1], halves[1 - h][0]))
         judged.append([_histograms(judge, halves[h][label]) for label in (0, 1)])
     weights = _evidence(np.concatenate([j[1] for j in judged]), np.concatenate([j[0] for j in judged]))
-    x = np.concatenate([j[label] @ weights for j in judged for label in (0, 1)])
+    x = np.log1p(np.concatenate([j[label] @ weights for j in judged for label in (0, 1)]))
     y = np.concatenate([np.full(len(j[label]), float(label)) for j in judged for label in (0, 1)])
     return Model(*dictionaries(sets[1], sets[0]), weights, _logistic(x, y))
 
