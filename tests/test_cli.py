@@ -1,5 +1,6 @@
 """The command line drives the same jobs (run in-process, no new JVM)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from star_fixture import small_star
@@ -31,3 +32,11 @@ def test_cli_backlog_and_streams(spark, tmp_root, capsys):
     assert main(["keyed", "--store", tmp_root + "/ks", "--show", "3"], spark) == 0
     out = capsys.readouterr().out
     assert "raw=1000" in out and "rows:" in out
+
+
+def test_cli_extract_asks_for_whole_ranges(spark):
+    base = ["extract", "--url", "jdbc:x", "--tables", "t", "--out", "/nowhere"]
+    with pytest.raises(SystemExit, match="needs"):
+        main([*base, "--fact-year", "2020"], spark)
+    with pytest.raises(SystemExit, match="together"):
+        main([*base, "--partition-column", "id", "--lower", "1"], spark)

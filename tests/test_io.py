@@ -102,6 +102,16 @@ def test_extract_options_and_query():
         jdbc.year_slice_sql("2020 OR 1=1")
 
 
+def test_extract_reads_the_fact_in_ranges():
+    conn, ranges = jdbc.Connection("jdbc:postgresql://db/x"), jdbc.Bounds("entry_exit_id", 1, 1000, 16)
+    reads = jdbc.extract_reads(conn, ["dim_date", "dim_lines"], 2020, ranges)
+    assert list(reads) == ["dim_date", "dim_lines", "fact_passenger_entry_exit"]
+    assert reads["fact_passenger_entry_exit"]["numPartitions"] == "16" and "numPartitions" not in reads["dim_date"]
+    assert jdbc.extract_reads(conn, ["big"], bounds=ranges)["big"]["partitionColumn"] == "entry_exit_id"
+    with pytest.raises(ValueError):
+        jdbc.extract_reads(conn, [], 2020)
+
+
 def test_topic_options():
     b = messages.topic_options("h:9092", "t", bounded=True)
     assert b["startingOffsets"] == "earliest" and b["endingOffsets"] == "latest"

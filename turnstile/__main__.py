@@ -3,7 +3,7 @@
   python -m turnstile full        --tables DIR --store DIR [--dialect extract|sample] [--snapshot OUT]
   python -m turnstile increment   --inc DIR --full DIR --store DIR [--reload] [--snapshot OUT]
   python -m turnstile marts       --store DIR [--mart NAME] [--show N]
-  python -m turnstile backlog     (--envelope DIR | --servers S --topic T) --out DIR [--quarantine DIR]
+  python -m turnstile backlog     (--envelope DIR | --servers S --topic T) --out DIR --quarantine DIR
   python -m turnstile stream-append (--envelope DIR | --servers S --topic T) --out DIR --checkpoint DIR
                                   [--trigger-seconds 60] [--run-seconds 3600 | --available-now]
   python -m turnstile stream-upsert (--envelope DIR | --servers S --topic T) --store DIR --checkpoint DIR
@@ -11,6 +11,7 @@
   python -m turnstile keyed       --store DIR [--show N]
   python -m turnstile extract     --url URL --tables T1,T2 --out DIR [--user U] [--password-env VAR]
                                   [--fact-year Y]
+                                  [--partition-column C --lower N --upper N --partitions N]
 
 Connection secrets are read from environment variables named on the command
 line, never passed as values.  The master, memory etc. come from spark-submit
@@ -63,7 +64,7 @@ def _parser() -> argparse.ArgumentParser:
     b = sub.add_parser("backlog")
     source(b)
     b.add_argument("--out", required=True)
-    b.add_argument("--quarantine")
+    b.add_argument("--quarantine", required=True)
 
     for name in ("stream-append", "stream-upsert"):
         s = sub.add_parser(name)
@@ -87,10 +88,28 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--out", required=True)
     e.add_argument("--user")
     e.add_argument("--password-env")
-    e.add_argument("--fact-year", type=int)
+    e.add_argument("--fact-year", type=int, help="one year of facts; needs the four range options")
+    g = e.add_argument_group("range", "read the fact year (or, without one, the tables) by parallel range queries")
+    g.add_argument("--partition-column")
+    g.add_argument("--lower", type=int)
+    g.add_argument("--upper", type=int)
+    g.add_argument("--partitions", type=int)
     return p
 
 
+def _bounds(a):
+    """The extract's range options as Bounds; None without them."""
+    from .sources.jdbc import Bounds
+    given = (a.partition_column, a.lower, a.upper, a.partitions)
+    if all(x is None for x in given):
+        if a.fact_year is not None:
+            raise SystemExit("--fact-year needs --partition-column, --lower, --upper and --partitions")
+        return None
+    if any(x is None for x in given):
+        raise SystemExit("--partition-column, --lower, --upper and --partitions go together")
+    return Bounds(*given)
+
+
 def _source(spark: SparkSession, a, streaming: bool):
     from .sources import messages
     if a.envelope:
@@ -161,12 +180,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         def write(name, df):
             path = f"{a.out.rstrip('/')}/{name}"
             delimited.write_delimited(df, path, "extract")
-            return path
 
-        jdbc.refresh_tables(spark, conn, [t for t in a.tables.split(",") if t], write)
-        if a.fact_year is not None:
-            write("fact_passenger_entry_exit",
-                  jdbc.read_query(spark, conn, jdbc.year_slice_sql(a.fact_year)))
+        reads = jdbc.extract_reads(conn, [t for t in a.tables.split(",") if t], a.fact_year, _bounds(a))
+        for name, options in reads.items():
+            write(name, spark.read.format("jdbc").options(**options).load())
     return 0
 
 

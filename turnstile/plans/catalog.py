@@ -36,6 +36,11 @@ def create_database(spark: SparkSession, db: str, use: bool = True) -> None:
         spark.sql(f"USE {_ident(db)}")
 
 
+def drop_database(spark: SparkSession, db: str) -> None:
+    """Remove a database and its table entries; the files of external tables stay."""
+    spark.sql(f"DROP DATABASE IF EXISTS {_ident(db)} CASCADE")
+
+
 def register_delimited(spark: SparkSession, table: str, schema: T.StructType, path: str,
                        dialect: str = "extract", replace: bool = True) -> None:
     from ..sources.delimited import DIALECTS

@@ -14,6 +14,7 @@ Two ways, same numbers:
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -57,7 +58,10 @@ def build_marts(star: Star, share_aggregates: bool = True,
 def write_marts(star: Star, out: str | None = None, share_aggregates: bool = True) -> dict[str, str]:
     """Write the seven marts; the writes are independent jobs and are submitted together."""
     out = (out or scratch_dir(star.spark, "marts")).rstrip("/")
-    built = build_marts(star, share_aggregates)
+    # two marts read the bridge: it is written once
+    bridge = scratch_dir(star.spark, "bridge")
+    star.bridge.select("station_id", "line_id").write.parquet(bridge)
+    built = build_marts(replace(star, bridge=star.spark.read.parquet(bridge)), share_aggregates)
     paths = {name: f"{out}/{name}" for name in built}
     with ThreadPoolExecutor(max_workers=len(built)) as pool:
         for f in [pool.submit(df.write.mode("overwrite").parquet, paths[name])

@@ -392,7 +392,9 @@ def csv_null_token_roundtrip(spark, sf_dir):
     db = _db_name("csvdb")
     catalog.create_database(spark, db, use=False)
     catalog.register_delimited(spark, f"{db}.dim_stations", st.schema, path, "extract")
-    return spark.table(f"{db}.dim_stations")
+    read = spark.table(f"{db}.dim_stations")
+    catalog.drop_database(spark, db)  # the frame is resolved; the files stay
+    return read
 
 
 @register("partitioned_events_pruned", oracle.messages_sql(
@@ -407,8 +409,12 @@ def partitioned_events_pruned(spark, sf_dir):
     catalog.create_database(spark, db, use=False)
     catalog.register_parquet(spark, f"{db}.arrivals", f"{root}/arrivals",
                              partitioned_by=backlog.PARTITION_KEYS)
-    return spark.sql(f"SELECT lineName, arrival_date, COUNT(*) AS record_count "
-                     f"FROM {db}.arrivals GROUP BY lineName, arrival_date")
+    counted = spark.sql(f"SELECT lineName, arrival_date, COUNT(*) AS record_count "
+                        f"FROM {db}.arrivals GROUP BY lineName, arrival_date")
+    # the partitions are listed in the catalog when the query runs: it runs before the database goes
+    counted.write.parquet(f"{root}/counted")
+    catalog.drop_database(spark, db)
+    return spark.read.schema(counted.schema).parquet(f"{root}/counted")
 
 
 @register("backlog_reconciliation", oracle.messages_sql("""
@@ -463,10 +469,12 @@ def catalog_marts_roundtrip(spark, sf_dir):
     catalog.ensure_ledger_table(spark, f"{db}.incremental_watermark", f"{root}/ledger")
     catalog.append_into(inc.ledger_rows(inc.incoming_years(star)), f"{db}.incremental_watermark")
     tables = [*marts.MART_NAMES, "incremental_watermark"]
-    return reduce(DataFrame.unionByName, [
+    counted = reduce(DataFrame.unionByName, [
         catalog.table_count(spark, f"{db}.{t}")
         .select(F.lit(t).alias("gold_table"), F.col("total_records").alias("row_count"))
         for t in tables])
+    catalog.drop_database(spark, db)
+    return counted
 
 
 @register("full_load_totals", f"""WITH {oracle.star_cte()}
@@ -529,7 +537,9 @@ def stream_output_table_count(spark, sf_dir):
     db = _db_name("appended")
     catalog.create_database(spark, db, use=False)
     catalog.register_parquet(spark, f"{db}.arrivals", _appended(spark, sf_dir))
-    return catalog.table_count(spark, f"{db}.arrivals")
+    counted = catalog.table_count(spark, f"{db}.arrivals")
+    catalog.drop_database(spark, db)
+    return counted
 
 
 @register("publish_json_roundtrip", oracle.messages_sql(

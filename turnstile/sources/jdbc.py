@@ -2,8 +2,11 @@
 
 ``read_table`` reads a whole table in parallel ranges of a numeric column;
 ``read_query`` pushes a projection/join/filter to the database as a
-subquery; ``refresh_tables`` re-extracts a list of reference tables.  The
-extract is written as delimited text or Parquet by the caller.
+subquery; ``refresh_tables`` re-extracts a list of reference tables.
+``extract_reads`` lists the reads of one extract: with a fact year, its slice is
+read in the given ranges and the (small) reference tables whole; without one,
+the ranges apply to the tables.  The extract is written as delimited text or
+Parquet by the caller.
 
 Connection settings are arguments (or environment variables the caller
 reads); nothing is hard-coded.  No database driver ships with this
@@ -90,6 +93,18 @@ def refresh_tables(spark: SparkSession, conn: Connection, tables: list[str],
     return {t: writer(t, read_table(spark, conn, t, bounds.get(t))) for t in tables}
 
 
+def extract_reads(conn: Connection, tables: list[str], fact_year: int | None = None,
+                  bounds: Bounds | None = None, fact: str = "fact_passenger_entry_exit") -> dict[str, dict[str, str]]:
+    """Reader options by output name; the fact slice is never one connection's work."""
+    if fact_year is None:
+        return {t: table_options(conn, t, bounds) for t in tables}
+    if bounds is None:
+        raise ValueError("the fact slice needs ranges")
+    reads = {t: table_options(conn, t) for t in tables}
+    reads[fact] = table_options(conn, year_slice_sql(fact_year, fact), bounds)
+    return reads
+
+
 def year_slice(star: Star, year: int) -> DataFrame:
     """The same slice on DataFrames: facts of one year, fact columns only."""
     from ..operators.joins import join_bounded
