@@ -129,6 +129,24 @@ def test_quality_classifier_separates_classes(spark, empty):
     assert toxicity.op2_compression_distance(empty, none).count() == 0
 
 
+def test_a_long_text_costs_the_sample_only_itself(spark):
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    docs, table = _labelled(spark, [f"text number {i}" for i in range(60)], [i % 2 for i in range(60)])
+
+    def sample(frame):
+        return toxicity.bounded_sample(frame, table, "toxic", 100, 2000)
+
+    plain = sample(docs)
+    assert sorted(plain) == sorted((f"text number {i}", i % 2) for i in learnt)
+    # the first text of either class is longer than its class's half
+    first = [next(t for t, k in plain if k == label) for label in (0, 1)]
+    long = docs.withColumn("text", F.when(F.col("text").isin(first), F.repeat("text", 200)).otherwise(F.col("text")))
+    assert sample(long) == [x for x in plain if x[0] not in first]
+    # every text is: the start of one is taken
+    got = sample(docs.withColumn("text", F.repeat("text", 200)))
+    assert [(len(t), k) for t, k in got] == [(1000, 0), (1000, 1)]
+
+
 # ---- 3 substring
 def brute_substring(rows, size=13):
     first = {}

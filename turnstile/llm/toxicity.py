@@ -199,22 +199,32 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: in
 
     Only rows whose crc32(doc_id as text) mod 3 is not 1 are learnt from; those whose ids hash lowest
     are taken.  The ids are chosen from the labels alone, so at most twice ``per_class`` ids are broadcast to
-    find their texts and no text is shuffled but theirs.
+    find their texts and no text is shuffled but theirs.  A text that does not fit into what is left of its
+    class's half is skipped; only the texts that are taken reach the driver.  Where no text with characters
+    fits, the first one's start is taken, so that no class goes without.
     """
     rows = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).dropna()
             .filter((F.crc32(F.col("_id").cast("string")) % 3 != 1) & F.col("label").isin(0, 1)))
     lowest = [rows.filter(F.col("label") == k).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for k in (0, 1)]
     chosen = F.broadcast(lowest[0].unionByName(lowest[1]).dropDuplicates(["_id"]))
     found = stored(docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
-                   .select("_id", "text", "label"), "labelled-sample")
+                   .select("_id", "text", "label", F.monotonically_increasing_id().alias("rid")), "labelled-sample")
+    half, order = text_bytes // 2, (F.xxhash64("_id"), "_id", "text")
     out: list[tuple[str | None, int]] = []
     for k in (0, 1):
-        held = 0
-        for row in found.filter(F.col("label") == k).orderBy(F.xxhash64("_id"), "_id", "text").toLocalIterator():
-            held += len(row["text"] or "")
-            if held > text_bytes // 2:
-                break
-            out.append((row["text"], k))
+        mine, left, taken, long = found.filter(F.col("label") == k), half, [], None
+        sizes = mine.orderBy(*order).select("rid", F.coalesce(F.char_length("text"), F.lit(0)).alias("size"))
+        for row in sizes.toLocalIterator():
+            if row["size"] <= left:
+                left -= row["size"]
+                taken.append(row["rid"])
+            elif long is None:
+                long = row["rid"]
+        if left == half and long is not None:
+            taken.append(long)
+        ids = found.sparkSession.createDataFrame([(i,) for i in taken], "rid long")
+        texts = mine.join(F.broadcast(ids), "rid").withColumn("text", F.substring("text", 1, half))
+        out += [(row["text"], k) for row in texts.orderBy(*order).toLocalIterator()]
     return out
 
 
