@@ -167,3 +167,18 @@ def test_facts_without_a_year_add_up(spark, tmp_root):
     assert as_set(store.mart("busiest_stations")) == {("Angel", 181), ("Bank", 12)}
     assert as_set(store.mart("passengers_by_year")) == {(2020, 107), (2021, 1)}
     assert None not in {r["processed_year"] for r in store.ledger().collect()}
+
+
+def test_undated_batches_of_equal_totals_both_count(spark, tmp_root):
+    star = small_star(spark)
+    fact = "entry_exit_id bigint, station_id int, date_id int, total_entry_exit bigint"
+    monday = star.with_fact(spark.createDataFrame([(1, 1, 999, 50)], fact))
+    tuesday = star.with_fact(spark.createDataFrame([(2, 1, 998, 50)], fact))
+    store = inc.MartStore(spark, tmp_root)
+    assert store.load(monday).undated == store.load(tuesday).undated == 1
+    assert as_set(store.mart("busiest_stations")) == {("Angel", 100)}
+    assert not store.load(monday).loaded and not store.load(tuesday).loaded
+    # with a dated fact beside it the batch is neither dropped nor written over an equal one
+    mixed = star.with_fact(spark.createDataFrame([(3, 1, 997, 50), (4, 2, 100, 7)], fact))
+    assert store.load(mixed).undated == 1
+    assert as_set(store.mart("busiest_stations")) == {("Angel", 150), ("Bank", 7)}

@@ -179,21 +179,26 @@ class MartStore:
                 .agg(F.sum(marts.MEASURE).alias("total_passengers"),
                      F.count("entry_exit_id").alias("num_records"),
                      F.count(marts.MEASURE).alias("num_measured"),
+                     # order-free hash of the undated facts; decimal, as sums of it pass a long
+                     F.sum(F.when(F.col(LOAD_KEY).isNull(), F.xxhash64("entry_exit_id", "station_id", marts.MEASURE)
+                                  .cast("decimal(20,0)"))).alias("fact_hash"),
                      F.grouping("station_id").alias("_gid"))
                 # period marts count facts with a date row, station marts all facts
                 .filter((F.col("_gid") == 0) | F.col("_dated"))
                 .select(F.when(F.col("_gid") == 0, F.lit("station")).otherwise(F.lit("quarter")).alias("grain"),
                         "station_id", "quarter", "total_passengers", "num_records",
-                        "num_measured", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
+                        "num_measured", "fact_hash", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
         run_base = self.path("runs", f"load_seq={load_seq}", "base")
         base.write.parquet(run_base)
-        this = self.spark.read.schema(base.schema).parquet(run_base)
+        hashed = self.spark.read.schema(base.schema).parquet(run_base)
+        this = hashed.drop("fact_hash")
         years = (this.filter(F.col(LOAD_KEY).isNotNull())
                  .select(F.col(LOAD_KEY).cast("int").alias("year")).distinct())
         undated = this.filter(F.col(LOAD_KEY).isNull())
-        totals = undated.agg(F.sum(F.when(F.col("grain") == "station", F.col("num_records"))).alias("n"),
-                             F.sum(F.pmod(F.xxhash64("grain", "station_id", "quarter", "total_passengers",
-                                                     "num_records", "num_measured"), F.lit(1 << 40))).alias("mark")).first()
+        totals = hashed.filter(F.col(LOAD_KEY).isNull()).agg(
+            F.sum(F.when(F.col("grain") == "station", F.col("num_records"))).alias("n"),
+            F.sum(F.pmod(F.xxhash64("grain", "station_id", "quarter", "total_passengers", "num_records", "num_measured",
+                                    "fact_hash"), F.lit(1 << 40))).alias("mark")).first()
         n_undated = int(totals["n"] or 0)
         key = batch or f"{totals['mark']}"
         repeated = not batch and path_exists(self.spark, self.path("undated", "base", f"batch={key}"))
