@@ -349,6 +349,24 @@ def test_ann_recall_and_edge_cases(spark):
     assert ann.op8_inverted_multi_index(few.limit(0)).count() == 0
 
 
+def test_ann_recall_when_cells_are_left_out(spark):
+    rng = np.random.default_rng(13)
+    centres = rng.normal(size=(40, 16))
+    m = centres[rng.integers(0, 40, 6000)] + 0.3 * rng.normal(size=(6000, 16))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, v array<double>")
+    _, share = ann.fit(frame, 16, ann.CENTROIDS, ann.SAMPLE_ROWS, ann.TOP, ann.RECALL)
+    assert 20 < share * len(m) < 0.7 * len(m)  # the floor of 20 does not decide, and the search prunes
+    found = defaultdict(list)
+    for r in ann.nearest(frame, frame.filter("vec_id % 20 = 0"), 16, visit_least=20).collect():
+        found[r["query_id"]].append(r["score"])
+    hit = 0
+    for q, near in found.items():
+        score = m @ m[q]
+        score[q] = -np.inf
+        hit += sum(s >= np.sort(score)[-20] - 1e-9 for s in near)
+    assert len(found) == 300 and hit / (20 * 300) >= 0.9
+
+
 # ---- 9 mixing
 def test_mixing_targets_and_bounds(odd, empty, spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
