@@ -349,6 +349,17 @@ def test_ann_recall_and_edge_cases(spark):
     assert ann.op8_inverted_multi_index(few.limit(0)).count() == 0
 
 
+def test_ann_takes_the_common_length(spark):
+    m = np.random.default_rng(12).normal(size=(60, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(m)]
+    schema = "vec_id long, embedding array<double>"
+    want = ann.op8_inverted_multi_index(spark.createDataFrame(rows, schema)).collect()
+    # more of the unusable length than of the common one, and a usable vector that is longer
+    odd = [(100 + i, [float("nan")] * 9) for i in range(80)] + [(200, [1.0] * 12)]
+    got = ann.op8_inverted_multi_index(spark.createDataFrame(rows + odd, schema)).collect()
+    assert len(want) == 60 and sorted(got) == sorted(want)
+
+
 def test_ann_recall_when_cells_are_left_out(spark):
     rng = np.random.default_rng(13)
     centres = rng.normal(size=(40, 16))

@@ -11,7 +11,8 @@ are.  The table of cell sizes (at most ``centroids`` squared rows) is the only t
 task reads.  A query visits the blocks of its cells and takes its best entries from each;
 these few per block are merged.
 
-Defined results: vectors that are null, of another length, zero, or with null or
+Defined results: the length of the vectors is the most frequent one among those that are
+otherwise fine (the longer one of two that are equally frequent); vectors that are null, of another length, zero, or with null or
 non-finite components take no part, as entries or queries; a null vec_id is never a query and
 no entry; rows sharing a vec_id are separate entries, except for the query's own id; an
 empty table gives no rows; extra columns are ignored.
@@ -42,13 +43,20 @@ PROBE_QUERIES = 200
 VISIT_LEAST = 2000
 
 
-def usable(vectors: DataFrame, vec: str, dim: int) -> DataFrame:
-    """vec_id and the vector as doubles, for rows that take part."""
+def usable(vectors: DataFrame, vec: str, dim: int | None = None) -> DataFrame:
+    """vec_id and the vector as doubles, for rows that take part (of any length if ``dim`` is None)."""
     v = F.transform(vec, lambda x: x.cast("double"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     some = F.exists("v", lambda x: x != 0)
+    length = F.lit(True) if dim is None else F.size("v") == dim
     return (vectors.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
-            .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") == dim) & fine & some))
+            .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & length & fine & some))
+
+
+def common_length(vectors: DataFrame, vec: str) -> int:
+    """The most frequent length among otherwise usable vectors, the longer one of a tie; 0 if there are none."""
+    lengths = usable(vectors, vec).groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+    return lengths.agg(F.max(F.struct("n", "dim"))["dim"]).first()[0] or 0
 
 
 def fit_codebook(points: np.ndarray, k: int, iterations: int, seed: int) -> np.ndarray:
@@ -276,6 +284,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, dim: int, top: int = TOP, ce
 
 def op8_inverted_multi_index(embeddings: DataFrame) -> DataFrame:
     """Queries are the rows whose vec_id is divisible by 20; entries are all others' rows."""
-    dim = embeddings.agg(F.max(F.size("embedding"))).first()[0] or 0
+    dim = common_length(embeddings, "embedding")
     vectors = usable(embeddings, "embedding", dim)
     return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), dim)
