@@ -428,3 +428,43 @@ def test_pipeline_stages_against_brute_force(spark, odd, empty):
     out = corpus_pipeline.run(spark, SF).collect()
     check_packing(out)
     assert out and {r["doc_id"] for r in out} <= {r["doc_id"] for r in third}
+
+
+def test_pipeline_keeps_every_word_from_mixing_to_packing(spark):
+    docs, frames = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    con = duckdb.connect()
+
+    def judged(rows, sql):
+        con.register("documents", pa.table({c: [r[c] for r in rows] for c in ("doc_id", "text", "lang", "source")}))
+        cursor = con.execute(sql)
+        names = [c[0] for c in cursor.description]
+        return [dict(zip(names, r)) for r in cursor.fetchall()]
+
+    frame = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        frame = corpus_pipeline.stored(stage(spark, frame, SF), "test-stage")
+        frames[name] = frame
+    kept = {r["doc_id"] for r in judged(docs.collect(), quality_rules.oracle_sql()) if r["kept"]}
+    assert {r["doc_id"] for r in frames["quality_rules"].collect()} == kept
+    left = frames["substring_dedup"]
+    taken = {r["doc_id"]: r["taken"] for r in judged(left.collect(), mixing.oracle_sql())}
+    assert taken == {r["doc_id"]: r["taken"] for r in mixing.op9_mix_to_weights(left).collect()}
+    source = {r["doc_id"]: Counter(words(r["text"])) for r in left.collect()}
+    mixed = {r["doc_id"]: r["text"] for r in frames["mix_to_weights"].collect()}
+    assert {d: len(words(t)) for d, t in mixed.items()} == {d: n for d, n in taken.items() if n}
+    assert all(set(words(t)) <= set(source[d]) for d, t in mixed.items())
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    pieces = defaultdict(list)
+    for r in corpus_pipeline.run(spark, SF).collect():
+        pieces[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"]))
+    assert set(pieces) == set(mixed)
+    for d, text in mixed.items():
+        ids = plain.encode(text, add_special_tokens=False).ids + [packing.END_ID]
+        at = 0
+        for start, length, crc in sorted(pieces[d]):
+            assert start == at and crc == zlib.crc32(np.array(ids[at:at + length], "<u4").tobytes())
+            at += length
+        assert at == len(ids)
