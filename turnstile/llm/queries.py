@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import ann, jaccard, mixing, packing, quality_classifier, quality_rules, sharding, substring, toxicity, warc
+from . import (ann, jaccard, mixing, packing, quality_classifier, quality_rules, ranked_search, sharding, substring,
+               toxicity, warc, whitening)
 from .common import table
 
 QUERIES = {
@@ -18,6 +19,9 @@ QUERIES = {
     "op9_mix_to_weights": lambda s, d: mixing.op9_mix_to_weights(table(s, d, "documents")),
     "op10_ftrl_quality": lambda s, d: quality_classifier.op10_ftrl_quality(
         table(s, d, "documents"), table(s, d, "labels")),
+    "op11_rmq_ranked_search": lambda s, d: ranked_search.op11_rmq_ranked_search(
+        table(s, d, "documents"), table(s, d, "benchmark")),
+    "op13_cholesky_jacobi_whitening": lambda s, d: whitening.op13_cholesky_jacobi_whitening(table(s, d, "embeddings")),
 }
 
 ORACLE = {
@@ -26,4 +30,5 @@ ORACLE = {
     "op4_warc_revisits": warc.oracle_sql(),
     "op5_adaptive_quality_rules": quality_rules.oracle_sql(),
     "op9_mix_to_weights": mixing.oracle_sql(),
+    "op11_rmq_ranked_search": ranked_search.oracle_sql(),
 }

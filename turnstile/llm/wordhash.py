@@ -18,6 +18,9 @@ SECOND_BASE = U(0xA0761D6478BD642F)
 MIX_A, MIX_B = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: bytes with A-Z lower-cased
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[ord("A"):ord("Z") + 1] += 32
 #: bytes hashed at a time, which bounds the arrays a task holds
 SLICE_BYTES = 4 << 20
 #: bytes whose word hashes are computed at once (small, to stay in a core's cache)
@@ -73,12 +76,13 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, offsets - offsets[0]
 
 
-def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, stop) bytes of every word, and the word offsets of the texts.
+def word_spans(raw: np.ndarray, offsets: np.ndarray,
+               space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, stop) bytes of every word, and the word offsets of the texts; ``space``: which bytes separate.
 
     Texts stand next to each other, so a word also starts where a text does.
     """
-    solid = ~IS_SPACE[raw]
+    solid = ~space[raw]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     at = offsets[:-1][np.diff(offsets) > 0]
@@ -104,10 +108,12 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndar
     return out
 
 
-def hashed_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes, word offsets of the texts) of a string column."""
+def hashed_texts(column: pa.Array, space: np.ndarray = IS_SPACE, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(word hashes, word offsets of the texts) of a string column; ``lower``: A-Z count as a-z."""
     raw, offsets = text_buffers(column)
-    start, stop, at = word_spans(raw, offsets)
+    if lower:
+        raw = LOWER[raw]
+    start, stop, at = word_spans(raw, offsets, space)
     return word_hashes(raw, start, stop), at
 
 
