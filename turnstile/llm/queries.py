@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (ann, jaccard, mixing, packing, quality_classifier, quality_rules, ranked_search, sharding, substring,
-               toxicity, warc, whitening)
+               tensored, toxicity, warc, whitening)
 from .common import table
 
 QUERIES = {
@@ -21,6 +21,7 @@ QUERIES = {
         table(s, d, "documents"), table(s, d, "labels")),
     "op11_rmq_ranked_search": lambda s, d: ranked_search.op11_rmq_ranked_search(
         table(s, d, "documents"), table(s, d, "benchmark")),
+    "op12_tensored_minhash": lambda s, d: tensored.op12_tensored_minhash(table(s, d, "documents")),
     "op13_cholesky_jacobi_whitening": lambda s, d: whitening.op13_cholesky_jacobi_whitening(table(s, d, "embeddings")),
 }
 
