@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from test_near_duplicates import brute
 from turnstile.llm import (ann, jaccard, mixing, packing, quality_classifier, quality_rules, queries, sharding, substring,
                            toxicity, warc, wordhash)
 
@@ -274,48 +275,6 @@ def test_histogram_packing_fills_bins():
 
 
 # ---- 7 Jaccard join
-def brute_jaccard(rows):
-    sets = {}
-    for d, t in rows:
-        w = words(t)
-        sets[d] = frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else None
-    links, parent = Counter(), {d: d for d in sets}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    ids = [d for d in sorted(sets) if sets[d]]
-    for i, a in enumerate(ids):
-        for b in ids[i + 1:]:
-            n = len(sets[a] & sets[b])
-            if 5 * n >= 4 * (len(sets[a]) + len(sets[b]) - n):
-                links[a] += 1
-                links[b] += 1
-                x, y = root(a), root(b)
-                parent[max(x, y)] = min(x, y)
-    return {d: (root(d), links[d]) for d in sets}
-
-
-@pytest.mark.parametrize("small", [1500, 4])
-def test_jaccard_matches_brute_force(spark, empty, small):
-    rng = np.random.default_rng(7)
-    texts = []
-    for g in range(12):
-        base = [f"g{g}t{i}" for i in range(60)]
-        for _ in range(1 + 3 * (g % 5)):
-            copy = list(base)
-            for _ in range(rng.integers(0, 3)):
-                copy[rng.integers(0, 60)] = f"r{rng.integers(0, 10**6)}"
-            texts.append(" ".join(copy))
-    texts += [t + " " + PASSAGE for t in texts[:6]] + [None, "", "one", "one", "one two"]
-    docs = spark.createDataFrame(rows_of(texts), SCHEMA)
-    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard.near_duplicates(docs, small=small).collect()}
-    assert got == brute_jaccard(list(enumerate(texts)))
-    assert jaccard.op7_chosen_path_join(empty).count() == 0
-
-
 def test_one_of_each_group_stays(odd):
     out = jaccard.one_per_group(odd)
     assert out.columns == odd.columns
@@ -415,8 +374,8 @@ def test_pipeline_stages_against_brute_force(spark, odd, empty):
     assert {r["doc_id"] for r in first} == want
     frame = spark.createDataFrame(first, docs.schema)
     second = corpus_pipeline.near_duplicate_stage(spark, frame, SF).collect()
-    groups = brute_jaccard([(r["doc_id"], r["text"]) for r in first])
-    assert {r["doc_id"] for r in second} == {d for d, (g, _) in groups.items() if d == g}
+    groups = brute([(r["doc_id"], r["text"]) for r in first], 5)
+    assert {r["doc_id"] for r in second} == {d for d, g, _ in groups if d == g}
     frame = spark.createDataFrame(second, docs.schema)
     third = corpus_pipeline.substring_stage(spark, frame, SF).collect()
     left = brute_substring([(r["doc_id"], r["text"]) for r in second])

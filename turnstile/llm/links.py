@@ -1,21 +1,22 @@
 """Groups of similar sets from candidate buckets, without comparing all pairs of a bucket.
 
 Two sets are linked when their Jaccard similarity reaches the threshold; only sets that share
-a bucket are looked at.  ``linked`` returns verified links that connect whatever the links
-between bucket mates connect:
-
-1. Pivots.  Every set is compared with one set of its buckets, the one that meets most
-   others; where they are linked it is attached to that pivot, at an exact distance.  A group of
-   near copies thus shrinks to a few hubs by one comparison per member, however large it is.
-2. Hubs.  From here on a member stands behind its hub.  Sets of a bucket that hang on the
-   same hub are connected and never compared.  Jaccard distance is a metric, so members of two hubs can
-   only be linked where the hubs' distance is at most the threshold's distance and both radii;
-   sketches find those pairs, exact similarities confirm them.
-3. Members.  Hub pairs within that reach which are not connected by then have the members of
-   the smaller hub compared with those of the larger one.
-
-Rows grow with the number of (set, bucket) entries.  Only sets that are no near copies of each
-other and yet share a bucket of more than ``small`` hubs are dealt out in pairs of blocks.
+a bucket are looked at.  ``attach`` and ``connect`` return verified links that connect whatever the
+links between bucket mates connect:
+
+1. Pivots.  Every set is compared with a few sets of each of its buckets, by sketches, and with the
+   ``PIVOTS`` most alike exactly; where one is linked, the set is attached to it.  A group of near copies
+   thus shrinks to a few hubs, by as many comparisons per member as its size has digits.
+2. Hubs.  From here on a member stands behind its hub, and sets on the same hub are never
+   compared.  Hubs that share a bucket are linked where they are similar themselves.
+3. Members.  Jaccard distance is a metric, so members of two hubs can only be linked where the hubs'
+   distance is at most the threshold's distance and both radii.  For such hubs that are not
+   connected by then, the members of the smaller one are compared with those of the larger, until one
+   link is found.
+
+Sketches choose the pairs, exact similarities decide.  Rows grow with the number of (set, bucket)
+entries.  Only sets that are no near copies of each other and yet share a bucket of more
+than ``small`` hubs are dealt out in pairs of blocks.
 """
 
 from __future__ import annotations
@@ -31,19 +32,21 @@ from .common import stored
 from .components import connected_components
 from .wordhash import SECOND_BASE, Prefix, U, mixed, owners, slices
 
-BINS = 128
+BINS = 256
 #: rows that one cell compares with each other
 SMALL = 2000
-#: how often sets that no pivot attached try another pivot
-ROUNDS = 2
+#: pivots that each set is compared with exactly, the likeliest by their sketches
+PIVOTS = 2
 #: parts that the partners of one set are dealt to when sets are fetched for them
 SALTS = 256
 #: keys up to this number are broadcast
 BROADCAST_KEYS = 1 << 20
+#: tokens that the hosts of one cell hold
+CELL_TOKENS = 1 << 21
 #: pairs that a task compares at a time
 CHUNK = 1 << 16
 
-_CELLS = "cell long, rep long, n int, sketch binary, radius double, hub long, block int, lone boolean"
+_CELLS = ["cell", "rep", "n", "sketch", "radius", "group", "block", "lone", "place", "marks"]
 
 
 # ---- sets and sketches
@@ -90,7 +93,7 @@ def token_rows(shingles: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
 
 
 def text_fetcher(texts: DataFrame, classes: DataFrame, shingles: Callable) -> Callable[[DataFrame], DataFrame]:
-    """``fetch`` for ``linked``: ``classes`` names a row (doc_id, text_hash) of ``texts`` for each rep."""
+    """``fetch`` for ``attach`` and ``connect``: ``classes`` names a row (doc_id, text_hash) of ``texts`` for each rep."""
     def fetch(ids: DataFrame) -> DataFrame:
         few = ids.count() <= BROADCAST_KEYS
         wanted = (F.broadcast(ids) if few else ids).join(classes.select("rep", "doc_id", "text_hash"), "rep")
@@ -104,7 +107,7 @@ def bin_sketches(token: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarra
 
     ``token`` is sorted within each text.
     """
-    where = (token >> U(57)).astype(np.int64)
+    where = (token >> U(56)).astype(np.int64)
     first = np.ones(len(token), bool)
     first[1:] = (where[1:] != where[:-1]) | (text[1:] != text[:-1])
     out = np.zeros((n_texts, BINS), np.uint8)
@@ -112,12 +115,17 @@ def bin_sketches(token: np.ndarray, text: np.ndarray, n_texts: int) -> np.ndarra
     return out
 
 
-def _near(a: np.ndarray, b: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Whether sketches may belong to sets of that similarity: five deviations below it at most."""
+def _near(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Whether sketches may belong to sets of that similarity: four deviations below it at most.
+
+    The filled bins are a sample without replacement of the union, whose deviation shrinks as it covers it.
+    """
     filled_a, filled_b = a != 0, b != 0
     equal = ((a == b) & filled_a).sum(axis=1)
     either = np.maximum((filled_a | filled_b).sum(axis=1), 1)
-    return equal >= (least - 2.0 / np.sqrt(either)) * either
+    union = np.maximum((n_a + n_b) / (1 + np.clip(least, 0, 1)), 1)
+    left_out = np.clip(1 - either / union, 0.1, 1)
+    return equal >= (least - 2.0 * np.sqrt(left_out / either)) * either
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -132,19 +140,21 @@ def _plausible(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            a, b = _matrix(batch.column("sketch_a")), _matrix(batch.column("sketch_b"))
             least = np.full(len(n_a), threshold)
-            keep = _sizes_allow(n_a, n_b, least) & _near(_matrix(batch.column("sketch_a")),
-                                                         _matrix(batch.column("sketch_b")), least)
-            yield pa.record_batch([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
+            keep = pa.array(_sizes_allow(n_a, n_b, least) & _near(a, b, n_a, n_b, least))
+            alike = ((a == b) & (a != 0)).sum(axis=1) / np.maximum(((a != 0) | (b != 0)).sum(axis=1), 1)
+            yield pa.record_batch([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(alike).filter(keep)],
+                                  names=["a", "b", "alike"])
     return run
 
 
 def plausible(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches allow the threshold."""
+    """a, b, alike: the pairs whose sizes and sketches allow the threshold, and what the sketches have in common."""
     def side(s):
         return reps.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(threshold), "a long, b long")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_plausible(threshold), "a long, b long, alike double")
 
 
 # ---- cells
@@ -168,40 +178,120 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-def _candidates(threshold: float):
-    """(a, b) of a cell's rows that may be linked, or whose hubs' members may."""
+def _marks(column: pa.ChunkedArray) -> np.ndarray:
+    """Lists of marks as the rows of a matrix, filled up with 0."""
+    rows = column.to_pylist()
+    width = max(map(len, rows), default=0)
+    return np.array([r + [0] * (width - len(r)) for r in rows], np.int64).reshape(len(rows), width)
+
+
+def _near_pairs(rows: pa.Table, threshold: float, meeting) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of rows of one cell and of different groups that may be linked, or whose hubs' members may."""
+    cell, n, radius, group, block, lone, place = (
+        rows.column(c).to_numpy() for c in ("cell", "n", "radius", "group", "block", "lone", "place"))
+    sketch, marks = _matrix(rows.column("sketch")), _marks(rows.column("marks"))
+    # partners of a row: those after it in its cell
+    later = np.searchsorted(cell, cell, side="right") - np.arange(len(cell)) - 1
+    ends = np.cumsum(later)
+    lo = 0
+    while lo < len(cell):
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+        i = np.repeat(np.arange(lo, hi), later[lo:hi])
+        j = i + 1 + np.arange(len(i)) - np.repeat(ends[lo:hi] - later[lo:hi] - before, later[lo:hi])
+        lo = hi
+        least = threshold - radius[i] - radius[j]
+        keep = (group[i] != group[j]) & (lone[i] | (block[i] != block[j])) & _sizes_allow(n[i], n[j], least)
+        i, j, least = i[keep], j[keep], least[keep]
+        near = _near(sketch[i], sketch[j], n[i], n[j], least)
+        i, j = i[near], j[near]
+        if meeting is not None and len(i):
+            # a pair that meets in several buckets counts in the first
+            first = meeting(marks[i], marks[j])
+            here = (first == 0) | (first == place[i])
+            i, j = i[here], j[here]
+        if len(i):
+            yield i, j
+
+
+def _candidates(threshold: float, meeting):
+    """(a, b) of the near pairs of cells."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "cell"):
+            rep = rows.column("rep").to_numpy()
+            for i, j in _near_pairs(rows, threshold, meeting):
+                yield pa.record_batch([pa.array(np.minimum(rep[i], rep[j])), pa.array(np.maximum(rep[i], rep[j]))], names=["a", "b"])
+    return run
+
+
+def _promising(threshold: float):
+    """cell, rep, group, block of the rows that have a near partner in their cell."""
+    names = ["cell", "rep", "group", "block"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, "cell"):
-            cell, rep, n, radius, hub, block = (rows.column(c).to_numpy() for c in ("cell", "rep", "n", "radius", "hub", "block"))
-            lone = rows.column("lone").to_numpy()
-            sketch = _matrix(rows.column("sketch"))
-            stop = np.searchsorted(cell, cell, side="right")
-            later = stop - np.arange(len(cell)) - 1  # partners after each row
-            ends = np.cumsum(later)
-            lo = 0
-            while lo < len(cell):
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHUNK, side="right")))
-                i = np.repeat(np.arange(lo, hi), later[lo:hi])
-                j = i + 1 + np.arange(len(i)) - np.repeat(ends[lo:hi] - later[lo:hi] - (ends[lo - 1] if lo else 0), later[lo:hi])
-                lo = hi
-                keep = (hub[i] != hub[j]) & (rep[i] != rep[j]) & (lone[i] | (block[i] != block[j]))
-                i, j = i[keep], j[keep]
-                least = threshold - radius[i] - radius[j]
-                fits = _sizes_allow(n[i], n[j], least)
-                i, j, least = i[fits], j[fits], least[fits]
-                for k in range(0, len(i), CHUNK):
-                    x, y, z = i[k:k + CHUNK], j[k:k + CHUNK], least[k:k + CHUNK]
-                    near = _near(sketch[x], sketch[y], z)
-                    a, b = rep[x[near]], rep[y[near]]
-                    yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            wanted = np.zeros(rows.num_rows, bool)
+            for i, j in _near_pairs(rows, threshold, None):
+                wanted[i] = wanted[j] = True
+            yield from rows.select(names).filter(pa.array(wanted)).combine_chunks().to_batches()
     return run
 
 
-def _compared(cells: DataFrame, threshold: float) -> DataFrame:
+def _first_links(num: int, den: int):
+    """a, b, common, total: for every group of guests of a cell (block 1) one link to a host (block 0), if there is one."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "cell"):
+            cell = rows.column("cell").to_numpy()
+            cuts = [*np.flatnonzero(np.append(True, cell[1:] != cell[:-1])).tolist(), len(cell)]
+            out: list[tuple] = []
+            for lo, hi in zip(cuts, cuts[1:]):
+                part = rows.slice(lo, hi - lo)
+                rep, group, block = (part.column(c).to_numpy() for c in ("rep", "group", "block"))
+                sets = [np.asarray(x, np.int64) for x in part.column("tokens").to_pylist()]
+                n = np.array([len(x) for x in sets])
+                hosts = np.flatnonzero(block == 0)
+                if not len(hosts):
+                    continue
+                # inverted lists of the hosts' tokens
+                names, number = np.unique(np.concatenate([sets[h] for h in hosts]), return_inverse=True)
+                order = np.argsort(number, kind="stable")
+                member = np.repeat(np.arange(len(hosts)), n[hosts])[order]
+                starts = np.searchsorted(number[order], np.arange(len(names) + 1))
+                found = set()
+                for g in np.flatnonzero(block == 1).tolist():
+                    if group[g] in found:
+                        continue
+                    at = np.searchsorted(names, sets[g])
+                    at = at[names[np.minimum(at, len(names) - 1)] == sets[g]]
+                    lists = [member[starts[t]:starts[t + 1]] for t in at.tolist()]
+                    common = np.bincount(np.concatenate(lists), minlength=len(hosts)) if lists else np.zeros(len(hosts), int)
+                    total = n[g] + n[hosts] - common
+                    hit = np.flatnonzero(common * den >= total * num)
+                    if len(hit):
+                        found.add(group[g])
+                        out.append((int(rep[g]), int(rep[hosts[hit[0]]]), int(common[hit[0]]), int(total[hit[0]])))
+            cols = list(zip(*out)) if out else [[]] * 4
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "common", "total"])
+    return run
+
+
+def smallest_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per row the smallest mark that both lists hold, 0 if there is none (lists are filled up with 0)."""
+    best = np.zeros(len(a), np.int64)
+    for column in a.T:
+        hit = (b == column[:, None]).any(axis=1) & (column != 0)
+        best = np.where(hit & ((best == 0) | (column < best)), column, best)
+    return best
+
+
+def _dealt(rows: DataFrame, columns: list[str]) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select(*columns).repartition(parts, "cell").sortWithinPartitions("cell")
+
+
+def _compared(cells: DataFrame, threshold: float, meeting) -> DataFrame:
     """Distinct candidate pairs of cells."""
-    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cells.select(*[c.split()[0] for c in _CELLS.split(", ")]).repartition(parts, "cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(_candidates(threshold), "a long, b long").distinct()
+    return _dealt(cells, _CELLS).mapInArrow(_candidates(threshold, meeting), "a long, b long").distinct()
 
 
 # ---- exact similarities
@@ -234,95 +324,100 @@ def exact(pairs: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -> DataFram
                   .select("a", "b", "common", (F.col("both") - F.col("common")).alias("total")), "similarities")
 
 
-def best_pivots(entries: DataFrame) -> DataFrame:
-    """a, b: per set the pivot of its buckets that meets most sets (b); pivots of all their buckets are left out.
+def pivots_of(entries: DataFrame) -> DataFrame:
+    """a, b: every set (a) with the pivots of its buckets.  ``entries``: rep, bucket.
 
-    ``entries``: rep, bucket.  What a set meets is counted over all its buckets, so the middle of a group
-    is preferred in each of them.
+    A bucket has about half as many pivots as its size has binary digits.  They are the smallest ids of their
+    slots, so groups that share many buckets have the same pivots in all of them.
     """
-    sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    sizes = entries.groupBy("bucket").agg(F.greatest(F.floor(F.log2(F.count(F.lit(1))) / 2), F.lit(1)).alias("slots"),
+                                          F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
     met = stored(entries.join(sizes, "bucket"), "met")
-    scored = met.join(met.groupBy("rep").agg(F.sum("size").alias("score")), "rep").select("bucket", "rep", "score")
-    first = F.max(F.struct("score", (-F.col("rep")).alias("low")))
-    pivots = scored.groupBy("bucket").agg(first.alias("p")).select(
-        "bucket", F.col("p.score").alias("pivot_score"), (-F.col("p.low")).alias("pivot"))
-    star = scored.join(pivots, "bucket").filter("rep <> pivot")
-    return (star.groupBy("rep").agg(F.max(F.struct("pivot_score", (-F.col("pivot")).alias("low"))).alias("p"))
-            .select(F.col("rep").alias("a"), (-F.col("p.low")).alias("b")))
-
-
-def linked(reps: DataFrame, stars: Column, buckets: Column, fetch: Callable[[DataFrame], DataFrame], num: int, den: int,
-           small: int = SMALL, rounds: int = ROUNDS) -> DataFrame:
-    """a, b, common, total: verified links, as the module says.
-
-    ``reps``: one stored row per set with rep (id), n (size) and sketch.  ``buckets``: its bucket ids, an array
-    over columns of ``reps``; pivots are looked for in ``stars``, some of them or all.  ``fetch``: rep -> rep,
-    tokens (distinct).  Linked: ``common * den >= num * total``.
+    pivots = met.groupBy("bucket", F.pmod("rep", "slots").alias("slot")).agg(F.min("rep").alias("b"))
+    return met.join(pivots, "bucket").select(F.col("rep").alias("a"), "b").filter("a <> b").distinct()
+
+
+def _blocked(entries: DataFrame, small: int) -> DataFrame:
+    """Cells of (rep, bucket, place): a bucket, or the pairs of its blocks if it is larger than ``small``."""
+    sizes = entries.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(small)).cast("int").alias("blocks"))
+    dealt = (entries.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    return dealt.select(F.xxhash64("bucket", low, high).alias("cell"), "rep", "place", "block", (low == high).alias("lone"))
+
+
+def attach(reps: DataFrame, stars: Column, fetch: Callable[[DataFrame], DataFrame], num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """(links, hung): verified links of sets with pivots, and rep, hub, distance of the sets that are no pivots.
+
+    ``reps``: one stored row per set with rep (id), n (size) and sketch; ``stars``: array over its columns of
+    the buckets in which pivots are looked for.  ``fetch``: rep -> rep, tokens (distinct).  Linked:
+    ``common * den >= num * total``.
+    """
+    near = plausible(pivots_of(reps.select("rep", F.explode(stars).alias("bucket"))), reps, num / den)
+    best = F.sort_array(F.collect_list(F.struct("alike", "b")), asc=False)  # a few per bucket of the set: bounded
+    pairs = near.groupBy("a").agg(F.slice(best, 1, PIVOTS).alias("p")).select("a", F.explode("p").alias("p")).select("a", "p.b")
+    star = stored(exact(pairs, fetch).filter(F.col("common") * den >= F.col("total") * num), "star")
+    pivots = star.select(F.col("b").alias("a")).distinct()
+    closest = F.min(F.struct((1 - F.col("common") / F.col("total")).alias("distance"), "b"))
+    hung = star.join(pivots, "a", "left_anti").groupBy("a").agg(closest.alias("p")).select(
+        F.col("a").alias("rep"), F.col("p.b").alias("hub"), F.col("p.distance").alias("distance"))
+    return star, stored(hung, "hung")
+
+
+def connect(reps: DataFrame, buckets: Column, star: DataFrame, hung: DataFrame, fetch: Callable[[DataFrame], DataFrame],
+            meeting: Callable[[np.ndarray, np.ndarray], np.ndarray], num: int, den: int, small: int = SMALL) -> DataFrame:
+    """a, b, common, total: ``star`` and the links that it leaves out, as the module says.
+
+    ``reps`` as in ``attach``, with marks (array of long, none 0).  ``buckets``: array over its columns of structs
+    (bucket, place).  ``meeting(marks, marks)``: the place of the first bucket that two sets share, 0 if none.
     """
     threshold = num / den
-    is_link = F.col("common") * den >= F.col("total") * num
-    # 1. pivots
-    star, active = None, reps
-    for _ in range(rounds):
-        pairs = plausible(best_pivots(active.select("rep", F.explode(stars).alias("bucket"))), reps, threshold)
-        found = exact(pairs, fetch).filter(is_link)
-        star = found if star is None else star.unionByName(found)
-        used = found.select(F.col("a").alias("rep")).unionByName(found.select(F.col("b").alias("rep"))).distinct()
-        active = active.join(used, "rep", "left_anti")
-    star = stored(star, "star")
-    hubs = star.select(F.col("b").alias("a")).distinct()
-    distance = 1 - F.col("common") / F.col("total")
-    hung = stored(star.join(hubs, "a", "left_anti").select(F.col("a").alias("rep"), F.col("b").alias("hub"),
-                                                           distance.alias("distance")), "hung")
-    radii = hung.groupBy("hub").agg(F.max("distance").alias("radius"), F.count(F.lit(1)).alias("members"))
-    known = stored(reps.select("rep", "n", "sketch").join(radii, F.col("rep") == F.col("hub"), "left").select(
-        "rep", "n", "sketch", F.coalesce("radius", F.lit(0.0)).alias("radius"),
-        (F.coalesce("members", F.lit(0)) + 1).alias("members")), "hubs")
+    radii = hung.join(reps.select("rep", "n"), "rep").groupBy("hub").agg(
+        F.max("distance").alias("radius"), F.count(F.lit(1)).alias("members"), F.sum("n").alias("mass"))
+    known = (reps.select("rep", "n", "sketch", "marks").join(radii, F.col("rep") == F.col("hub"), "left").select(
+        "rep", "n", "sketch", "marks", F.coalesce("radius", F.lit(0.0)).alias("radius"),
+        (F.coalesce("members", F.lit(0)) + 1).alias("members"), (F.coalesce("mass", F.lit(0)) + F.col("n")).alias("mass")))
     # 2. hubs that share a bucket
     entries = (reps.drop("n", "sketch").join(hung.select("rep", "hub"), "rep", "left")
-               .select(F.coalesce("hub", "rep").alias("rep"), F.explode(buckets).alias("bucket")))
+               .select(F.coalesce("hub", "rep").alias("rep"), F.explode(buckets).alias("b"))
+               .select("rep", "b.bucket", "b.place"))
     mixed = stored(entries.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
                    .filter("lo <> hi").select("bucket"), "mixed")
     shared = stored(_keyed(entries, mixed, "bucket").distinct(), "shared")
-    sizes = shared.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
-    blocks = F.ceil(F.col("size") / F.lit(small)).cast("int")
-    cells = shared.join(sizes, "bucket").select("bucket", "rep", blocks.alias("blocks")).withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    cells = cells.select(F.xxhash64("bucket", low, high).alias("cell"), "rep", "block", (low == high).alias("lone"))
-    rows = cells.join(known.select("rep", "n", "sketch", "radius"), "rep").withColumn("hub", F.col("rep"))
-    between = exact(_compared(rows, threshold), fetch)
-    near = stored(between.join(known.select(F.col("rep").alias("a"), F.col("radius").alias("r_a")), "a")
-                  .join(known.select(F.col("rep").alias("b"), F.col("radius").alias("r_b")), "b")
-                  .withColumn("reach", 1 - threshold + F.col("r_a") + F.col("r_b") + 1e-9)
-                  .select("a", "b", "common", "total", is_link.alias("link"),
-                          ((F.col("r_a") + F.col("r_b") > 0) & (distance <= F.col("reach"))).alias("within")), "hub-pairs")
-    links = star.unionByName(near.filter("link").drop("link", "within"))
-    open_pairs = near.filter("within AND NOT link").select("a", "b")
-    if open_pairs.isEmpty():
-        return links
+    rows = stored(_blocked(shared, small).join(known, "rep"), "cells")
+    alike = rows.drop("radius").withColumns({"radius": F.lit(0.0), "group": F.col("rep")})
+    same = exact(_compared(alike, threshold, meeting), fetch).filter(F.col("common") * den >= F.col("total") * num)
+    links = stored(star.unionByName(same), "hub-links")
     # 3. members of hubs within reach that are not connected yet
     groups = connected_components(links, "a", "b")
-    for side in ("a", "b"):
-        open_pairs = open_pairs.join(groups.select(F.col("node").alias(side), F.col("component").alias(f"g_{side}")), side, "left")
-    open_pairs = stored(open_pairs.filter(F.coalesce("g_a", "a") != F.coalesce("g_b", "b")).select("a", "b"), "open-pairs")
+    reach = rows.join(groups, F.col("rep") == F.col("node"), "left").withColumn("group", F.coalesce("component", "rep"))
+    wide = reach.where("radius > 0").select("cell").distinct()
+    open_pairs = stored(_compared(_keyed(reach, wide, "cell"), threshold, meeting), "open-pairs")
     if open_pairs.isEmpty():
         return links
-    count = known.select("rep", "members")
-    sized = (open_pairs.join(count.select(F.col("rep").alias("a"), F.col("members").alias("m_a")), "a")
-             .join(count.select(F.col("rep").alias("b"), F.col("members").alias("m_b")), "b"))
-    a_hosts = F.col("m_a") >= F.col("m_b")
-    sized = stored(sized.select(F.when(a_hosts, F.col("a")).otherwise(F.col("b")).alias("host"),
-                                F.when(a_hosts, F.col("b")).otherwise(F.col("a")).alias("guest"),
-                                F.ceil(F.greatest("m_a", "m_b") / F.lit(small)).cast("int").alias("blocks")), "hosts")
+    sizes = known.select("rep", "members", "mass")
+    for side in ("a", "b"):
+        open_pairs = open_pairs.join(sizes.select(F.col("rep").alias(side), F.col("members").alias(f"members_{side}"),
+                                                  F.col("mass").alias(f"mass_{side}")), side)
+    first = F.col("mass_a") >= F.col("mass_b")
+    blocks = F.ceil(F.greatest(F.greatest("members_a", "members_b") / F.lit(small),
+                               F.greatest("mass_a", "mass_b") / F.lit(CELL_TOKENS))).cast("int")
+    sized = stored(open_pairs.filter("members_a + members_b > 2").select(
+        F.when(first, F.col("a")).otherwise(F.col("b")).alias("host"),
+        F.when(first, F.col("b")).otherwise(F.col("a")).alias("guest"), blocks.alias("blocks")), "hosts")
     behind = hung.select("hub", "rep").unionByName(known.select(F.col("rep").alias("hub"), "rep"))
-    hosts = (sized.select("host", "blocks").distinct().join(behind, F.col("host") == F.col("hub"))
+    of_host = sized.groupBy("host").agg(F.max("blocks").alias("blocks"))
+    hosts = (of_host.join(behind, F.col("host") == F.col("hub"))
              .select(F.xxhash64("host", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).alias("cell"), "rep",
-                     F.col("hub"), F.lit(0).alias("block")))
-    guests = (sized.join(behind, F.col("guest") == F.col("hub"))
+                     F.col("hub").alias("group"), F.lit(0).alias("block")))
+    guests = (sized.drop("blocks").join(of_host, "host").join(behind, F.col("guest") == F.col("hub"))
               .withColumn("at", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select(F.xxhash64("host", "at").alias("cell"), "rep", "hub", F.lit(1).alias("block")))
+              .select(F.xxhash64("host", "at").alias("cell"), "rep", F.col("hub").alias("group"), F.lit(1).alias("block")))
     rows = (hosts.unionByName(guests).join(reps.select("rep", "n", "sketch"), "rep")
-            .withColumns({"radius": F.lit(0.0), "lone": F.lit(False)}))
-    return links.unionByName(exact(_compared(rows, threshold), fetch).filter(is_link))
+            .withColumns({"radius": F.lit(0.0), "lone": F.lit(False), "place": F.lit(0).cast("long"),
+                          "marks": F.array().cast("array<long>")}))
+    near = stored(_dealt(rows, _CELLS).mapInArrow(_promising(threshold), "cell long, rep long, group long, block int"), "promising")
+    sets = stored(fetch(stored(near.select("rep").distinct(), "member-sets")), "sets")
+    found = _dealt(near.join(sets, "rep"), ["cell", "rep", "group", "block", "tokens"]).mapInArrow(
+        _first_links(num, den), "a long, b long, common long, total long")
+    return links.unionByName(stored(found, "member-links"))

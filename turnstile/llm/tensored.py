@@ -6,8 +6,8 @@ where independent tables would need ``2 * k * m * m``.  Sets of similarity ``t``
 small keys of a collection differ: the misses are at most ``2 * (1 - t**k)**m``, from which ``m`` follows.
 ``k`` grows with the logarithm of the number of documents, so that unlike texts rarely meet.
 
-Sets that share a table are candidates.  They are verified on their full sets by ``links.linked``,
-which attaches members to pivots instead of comparing all pairs of a table.
+Sets that share a table are candidates.  They are verified on their full sets by ``links``, which
+attaches members to pivots instead of comparing all pairs of a table.
 
 Defined results: A-Z count as a-z; a text of one word is one shingle; texts without words and null texts
 have none and are linked with nothing, and neither are rows without doc_id (component_id null,
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .components import connected_components
-from .links import SMALL, bin_sketches, linked, set_ids, shingle_sets, starts_of, text_fetcher
+from .links import SMALL, attach, bin_sketches, connect, set_ids, shingle_sets, starts_of, text_fetcher
 from .wordhash import SECOND_BASE, U, hashed_texts, mixed, slices
 
 SHINGLE = 2
@@ -36,10 +36,10 @@ NUM, DEN = 80, 100
 #: share of pairs at the threshold that meet in a table, at least
 RECALL = 0.999
 #: similarity of unlike texts, which meet about once per table
-CHANCE = 0.1
+CHANCE = 0.04
 
-_SIGNATURE = ("doc_id long, text_hash long, set_a long, set_b long, n long, sketch binary, left array<long>, "
-              "right array<long>")
+#: marks: the small keys, first those of the left collection
+_SIGNATURE = "doc_id long, text_hash long, set_a long, set_b long, n long, sketch binary, marks array<long>"
 
 
 def banding(n_docs: int, threshold: float, recall: float = RECALL, chance: float = CHANCE) -> tuple[int, int]:
@@ -74,28 +74,41 @@ def _signatures(k: int, m: int):
                 at = starts_of(text, rows)
                 set_a, set_b = set_ids(token, at)
                 keys = small_keys(token, at, k, m).view(np.int64)
-                cuts = pa.array(np.arange(rows + 1, dtype=np.int32) * m)
-                left, right = (pa.ListArray.from_arrays(cuts, pa.array(half.T.ravel())) for half in (keys[:m], keys[m:]))
+                marks = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * 2 * m), pa.array(keys.T.ravel()))
                 yield pa.record_batch(
                     [part.column("doc_id"), part.column("text_hash"), pa.array(set_a), pa.array(set_b),
                      pa.array(np.diff(at).astype(np.int64)),
-                     pa.array([row.tobytes() for row in bin_sketches(token, text, rows)], pa.binary()), left, right],
-                    names=["doc_id", "text_hash", "set_a", "set_b", "n", "sketch", "left", "right"])
+                     pa.array([row.tobytes() for row in bin_sketches(token, text, rows)], pa.binary()), marks],
+                    names=["doc_id", "text_hash", "set_a", "set_b", "n", "sketch", "marks"])
     return run
 
 
+def first_table(m: int):
+    """``meeting`` for ``connect``: the first table (from 1) whose small keys, left and right, both sets share."""
+    def meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        equal = (a == b) & (a != 0)
+        left, right = equal[:, :m], equal[:, m:]
+        both = left.any(axis=1) & right.any(axis=1)
+        return np.where(both, left.argmax(axis=1) * m + right.argmax(axis=1) + 1, 0)
+    return meeting
+
+
 def near_duplicates(docs: DataFrame, recall: float = RECALL, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     k, m = banding(docs.count(), NUM / DEN, recall)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     rows = stored(texts.mapInArrow(_signatures(k, m), _SIGNATURE), "signatures")
-    first = F.min_by(F.struct("doc_id", "text_hash", F.col("n").cast("int").alias("n"), "sketch", "left", "right"), "doc_id")
+    first = F.min_by(F.struct("doc_id", "text_hash", F.col("n").cast("int").alias("n"), "sketch", "marks"), "doc_id")
     classes = stored(rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b").agg(first.alias("c"))
                      .select(F.col("set_a").alias("rep"), "c.*"), "classes")
-    reps = classes.select("rep", "n", "sketch", "left", "right")
-    tables = F.flatten(F.transform("left", lambda x: F.transform("right", lambda y: F.xxhash64(x, y))))
-    some = F.zip_with("left", "right", lambda x, y: F.xxhash64(x, y))
-    links = linked(reps, some, tables, text_fetcher(texts, classes, shingles), NUM, DEN, small)
+    reps = classes.select("rep", "n", "sketch", "marks")
+    left, right = F.slice("marks", 1, m), F.slice("marks", m + 1, m)
+    tables = F.flatten(F.transform(left, lambda x, i: F.transform(right, lambda y, j: F.struct(
+        F.xxhash64(x, y).alias("bucket"), (i * m + j + 1).cast("long").alias("place")))))
+    some = F.zip_with(left, right, lambda x, y: F.xxhash64(x, y))
+    fetch = text_fetcher(texts, classes, shingles)
+    star, hung = attach(reps, some, fetch, NUM, DEN)
+    links = connect(reps, tables, star, hung, fetch, first_table(m), NUM, DEN, small)
     groups = connected_components(stored(links, "links"), "a", "b")
     members = (classes.select("rep", "doc_id").join(groups, F.col("rep") == F.col("node"), "left")
                .select("rep", "doc_id", F.coalesce("component", "rep").alias("group")))
