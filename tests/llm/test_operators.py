@@ -234,7 +234,6 @@ def test_packing_is_exact_and_tight(spark, odd, empty):
     from public_tokenizers import path
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     whole = defaultdict(dict)
     for r in out:
         ids = np.frombuffer(r["ids"], "<u4")
@@ -250,12 +249,33 @@ def test_tokenizer_chunks_equal_whole_texts():
     from public_tokenizers import path
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     texts = ["", " ", "  a b", "a  b", "a\n b", "it's  \n\n x", "tab\t x", "x <|endoftext|> y", "a\x1c b", "é  è",
              " lead trail ", "don 't", "1 22 333,4", "日本 語"]
+    texts += ["<|endoftext|>", "<|endoftext|> first", "in <|endoftext|> the middle", "last<|endoftext|>", "<|endoftext", None]
+    rng = np.random.default_rng(6)
+    signs = list("abcdE1.,'!") + [" ", " ", " ", "\n", "\t", "\u00a0", "\u2003", "é", "日", "\x1c", "'s", "\r\n"]
+    texts += ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(2000)]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[-2006] and 50256 in want[-2003]
     encoder = packing.ChunkTokenizer(packing.default_tokenizer())
-    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.ids(texts)]
-    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    for lo, hi in ((0, len(texts)), (5, 9), (0, 0), (7, 2000)):  # new chunks, known ones, none
+        ids, at = encoder.encoded(pa.array(texts, pa.string()).slice(lo, hi - lo))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want[lo:hi]
+    encoder.number.update((f"x{i}", 0) for i in range(packing.CACHE_CHUNKS + 1))  # the cache starts afresh
+    ids, at = encoder.encoded(pa.array(texts[:40], pa.string()))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want[:40] and len(encoder.number) < 1000
+
+
+def test_fullest_equals_exhaustive_search():
+    rng = np.random.default_rng(8)
+    for _ in range(200):
+        counts = Counter(rng.integers(1, 20, rng.integers(0, 9)).tolist())
+        room = int(rng.integers(0, 40))
+        sums = {0}
+        for n, k in counts.items():
+            sums = {s + n * j for s in sums for j in range(k + 1)}
+        chosen = packing.fullest(dict(counts), room)
+        assert sum(chosen) == max(s for s in sums if s <= room) and not Counter(chosen) - counts
 
 
 def test_histogram_packing_fills_bins():
@@ -415,7 +435,6 @@ def test_pipeline_keeps_every_word_from_mixing_to_packing(spark):
     from public_tokenizers import path
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     pieces = defaultdict(list)
     for r in corpus_pipeline.run(spark, SF).collect():
         pieces[r["doc_id"]].append((r["start"], r["length"], r["ids_crc32"]))

@@ -15,18 +15,20 @@ documents longer than ``capacity`` are cut, the first piece taking the remainder
 
 from __future__ import annotations
 
-import base64
+import json
 import os
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import buckets_for, digest_number, stored
+from .wordhash import slices
 
 CAPACITY = 1024
 END_ID = 2
@@ -39,59 +41,107 @@ PIECES = "rid long, doc_id long, piece int, start long, length int, ids_crc32 lo
 
 
 def default_tokenizer() -> str:
-    """The ranks of the byte-level vocabulary that ``byte_bpe_50k.json`` holds too."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 class ChunkTokenizer:
-    """Token ids of texts, remembering the ids of chunks (a space and what follows up to the next).
+    """Token ids of texts by the ``tokenizers`` library, which sees every distinct chunk of them once.
 
-    The pre-tokeniser never joins a single space that follows a visible character with what
-    stands before it, so such chunks can be encoded one by one.  A text in which a space
-    touches other white space is encoded whole.  The ids are those of the ``tokenizers``
-    library on ``byte_bpe_50k.json`` (a test compares them); the same vocabulary read as ranks
-    encodes single chunks several times faster.
+    A chunk is a space and what follows up to the next one.  The byte-level pre-tokeniser never joins a single
+    space that follows a visible character with what stands before it, so such chunks can be encoded one
+    by one.  A text in which a space touches other white space, or that holds one of the file's added
+    tokens (as text they count as that token), is encoded whole; so is every text if the file
+    normalises or pre-tokenises in another way.  A test compares the ids with those of whole texts.
     """
 
     def __init__(self, path: str):
-        import public_tokenizers
-        import tiktoken
-
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.encode = tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN,
-                                        mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.encode(text), "<u4").tobytes()
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of every text."""
-        if len(self.known) > CACHE_CHUNKS:
-            self.known = {}
-        known, out = self.known, []
-        for text in texts:
-            chunks = self._chunks(text)
-            if chunks is None:
-                out.append(self._encode(text))
-                continue
-            for c in [c for c in set(chunks) if c not in known]:
-                known[c] = self._encode(c)
-            out.append(b"".join([known[c] for c in chunks]))
-        return out
-
-    @staticmethod
-    def _chunks(text: str) -> list[str] | None:
-        """First chunk without, the others with their leading space; None: encode the text whole."""
-        parts = text.split(" ")
-        for p in parts:
-            # an empty part is a run of spaces; white space at an end touches a space
-            if not p or p[0].isspace() or p[-1].isspace():
-                return None
-        return [parts[0], *[" " + p for p in parts[1:]]]
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        step = spec["pre_tokenizer"] or {}
+        self.chunked = (spec["normalizer"] is None and step.get("type") == "ByteLevel" and step.get("use_regex", True)
+                        and not step.get("add_prefix_space"))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.lengths, self.ids, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 16, "<u4"), 0
+        self.starts, self.alone = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, bool)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        """The numbers of distinct chunks; new ones are encoded together."""
+        if len(self.number) > CACHE_CHUNKS:
+            self._forget()
+        new = [c for c in chunks if c not in self.number]
+        if new:
+            first, found = len(self.number), self._encode(new)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = np.fromiter((i for ids in found for i in ids), "<u4", int(sizes.sum()))
+            self.number.update((c, first + k) for k, c in enumerate(new))
+            while len(self.number) > len(self.lengths):
+                self.lengths, self.starts, self.alone = (np.concatenate([x, np.zeros_like(x)]) for x in
+                                                         (self.lengths, self.starts, self.alone))
+            while self.used + len(flat) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            here = slice(first, first + len(new))
+            self.lengths[here] = sizes
+            self.starts[here] = self.used + np.cumsum(sizes) - sizes
+            # white space at an end touches a space: the text is encoded whole
+            self.alone[here] = [not c.strip(" ") or c.lstrip(" ")[0].isspace() or c[-1].isspace() for c in new]
+            self.ids[self.used:self.used + len(flat)] = flat
+            self.used += len(flat)
+        return np.fromiter((self.number[c] for c in chunks), np.int64, len(chunks))
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, offsets): little-endian unsigned 32-bit ids of the texts, one after the other; null texts are empty."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        parts = pc.split_pattern(texts, " ")
+        cuts = parts.offsets.to_numpy().astype(np.int64)
+        flat = parts.flatten().dictionary_encode()
+        which = flat.indices.to_numpy().astype(np.int64)
+        known = flat.dictionary.to_pylist()
+        head = np.zeros(len(which), bool)
+        head[cuts[:-1] - cuts[0]] = True
+        # a text's first part has no space before it
+        heads, at_head = np.unique(which[head], return_inverse=True)
+        spaced, at_rest = np.unique(which[~head], return_inverse=True)
+        chunks = [known[k] for k in heads.tolist()] + [" " + known[k] for k in spaced.tolist()]
+        chunks, back = list(dict.fromkeys(chunks)), chunks
+        place = {c: k for k, c in enumerate(chunks)}
+        numbers = self._numbers(chunks)[[place[c] for c in back]] if chunks else np.zeros(0, np.int64)
+        number = np.empty(len(which), np.int64)
+        number[head], number[~head] = numbers[:len(heads)][at_head], numbers[len(heads):][at_rest]
+        owner = np.repeat(np.arange(len(texts)), np.diff(cuts))
+        whole = np.bincount(owner, self.alone[number], minlength=len(texts)) > 0
+        if not self.chunked:
+            whole[:] = True
+        for token in self.added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        sizes = np.where(whole[owner], 0, self.lengths[number])
+        per_text = np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
+        apart = np.flatnonzero(whole)
+        found = self._encode(texts.take(pa.array(apart)).to_pylist()) if len(apart) else []
+        per_text[apart] = [len(x) for x in found]
+        offsets = np.concatenate([[0], np.cumsum(per_text)])
+        out = np.empty(offsets[-1], "<u4")
+        # where each part's ids go: after those of the text's parts before it
+        ends = np.cumsum(sizes)
+        before = ends - sizes
+        first = before[cuts[:-1] - cuts[0]] if len(texts) else before
+        target = np.repeat(offsets[owner] + before - first[owner], sizes) + np.arange(ends[-1] if len(ends) else 0) - np.repeat(before, sizes)
+        out[target] = self.ids[np.repeat(self.starts[number] - before, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        for k, ids in zip(apart.tolist(), found):
+            out[offsets[k]:offsets[k + 1]] = ids
+        return out, offsets
 
 
 def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -104,20 +154,22 @@ def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
 
 def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_ids: bool = True) -> DataFrame:
     """One row per piece; ``ids`` holds the token ids unless ``keep_ids`` is off."""
-    rows = docs.select("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkTokenizer(path)
-        end = np.array([END_ID], "<u4").tobytes()
+        end = np.array([END_ID], "<u4")
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                cols: list[list] = [[], [], [], [], [], []]
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encoder.ids(texts)):
-                    ids = ids + end
-                    for k, (s, n) in enumerate(cut_points(len(ids) // 4, capacity)):
-                        piece = ids[4 * s:4 * (s + n)]
+            for part in slices(batch):
+                ids, at = encoder.encoded(part.column("text"))
+                # the end token after every text
+                ids = np.insert(ids, at[1:], end)
+                at = at + np.arange(len(at))
+                raw = ids.tobytes()
+                docs, cols = part.column("doc_id").to_pylist(), [[], [], [], [], [], []]
+                for doc, lo, hi in zip(docs, at[:-1].tolist(), at[1:].tolist()):
+                    for k, (s, n) in enumerate(cut_points(hi - lo, capacity)):
+                        piece = raw[4 * (lo + s):4 * (lo + s + n)]
                         for c, v in zip(cols, (doc, k, s, n, zlib.crc32(piece), piece if keep_ids else None)):
                             c.append(v)
                 types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
