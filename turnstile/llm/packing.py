@@ -32,8 +32,10 @@ from .wordhash import slices
 
 CAPACITY = 1024
 END_ID = 2
-#: distinct chunks whose ids a worker remembers; beyond it, it starts afresh
-CACHE_CHUNKS = 400_000
+#: distinct chunks whose ids a worker remembers (about 60 bytes each); beyond it, it starts afresh
+CACHE_CHUNKS = 1_000_000
+#: chunks that are strung together
+STRING = 2000
 #: numbers that one range cell of a length covers when pieces look up their bin
 RANGE = 4096
 
@@ -47,13 +49,14 @@ def default_tokenizer() -> str:
 
 
 class ChunkTokenizer:
-    """Token ids of texts by the ``tokenizers`` library, which sees every distinct chunk of them once.
+    """Token ids of texts by the ``tokenizers`` library, which sees a distinct chunk of them once.
 
     A chunk is a space and what follows up to the next one.  The byte-level pre-tokeniser never joins a single
-    space that follows a visible character with what stands before it, so such chunks can be encoded one
-    by one.  A text in which a space touches other white space, or that holds one of the file's added
-    tokens (as text they count as that token), is encoded whole; so is every text if the file
-    normalises or pre-tokenises in another way.  A test compares the ids with those of whole texts.
+    space that follows a visible character with what stands before it, so chunks can be encoded in any
+    company: new ones are strung together, and the bytes that ids stand for tell where each one ends.
+    A text in which a space touches other white space, or that holds one of the file's added tokens (as
+    text they count as that token), is encoded by itself; so is every text if the file normalises or
+    pre-tokenises in another way.  A test compares the ids with those of whole texts.
     """
 
     def __init__(self, path: str):
@@ -67,81 +70,87 @@ class ChunkTokenizer:
         step = spec["pre_tokenizer"] or {}
         self.chunked = (spec["normalizer"] is None and step.get("type") == "ByteLevel" and step.get("use_regex", True)
                         and not step.get("add_prefix_space"))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.bytes_of[number] = len(token)  # a byte-level token has a character per byte
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.lengths, self.ids, self.used = np.zeros(1 << 12, np.int64), np.zeros(1 << 16, "<u4"), 0
-        self.starts, self.alone = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, bool)
+        self.known = pa.array([], pa.large_string())
+        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _numbers(self, chunks: list[str]) -> np.ndarray:
-        """The numbers of distinct chunks; new ones are encoded together."""
-        if len(self.number) > CACHE_CHUNKS:
-            self._forget()
-        new = [c for c in chunks if c not in self.number]
-        if new:
-            first, found = len(self.number), self._encode(new)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), "<u4", int(sizes.sum()))
-            self.number.update((c, first + k) for k, c in enumerate(new))
-            while len(self.number) > len(self.lengths):
-                self.lengths, self.starts, self.alone = (np.concatenate([x, np.zeros_like(x)]) for x in
-                                                         (self.lengths, self.starts, self.alone))
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            here = slice(first, first + len(new))
-            self.lengths[here] = sizes
-            self.starts[here] = self.used + np.cumsum(sizes) - sizes
-            # white space at an end touches a space: the text is encoded whole
-            self.alone[here] = [not c.strip(" ") or c.lstrip(" ")[0].isspace() or c[-1].isspace() for c in new]
-            self.ids[self.used:self.used + len(flat)] = flat
-            self.used += len(flat)
-        return np.fromiter((self.number[c] for c in chunks), np.int64, len(chunks))
+    def _learn(self, chunks: pa.Array) -> None:
+        """Encode new chunks, strung together ``STRING`` at a time."""
+        chunks = pa.concat_arrays([chunks])  # without an offset
+        ends = np.frombuffer(chunks.buffers()[1], np.int64)[:len(chunks) + 1]
+        raw = bytes(chunks.buffers()[2] or b"")[:ends[-1]]
+        cuts = [*ends[:-1:STRING].tolist(), int(ends[-1])]
+        found = self._encode([raw[lo:hi].decode() for lo, hi in zip(cuts, cuts[1:])])
+        ids = np.fromiter((i for x in found for i in x), "<u4", sum(map(len, found)))
+        at = np.searchsorted(np.cumsum(self.bytes_of[ids]), ends[1:]) + 1
+        lengths = np.diff(at, prepend=0)
+        self.starts = np.concatenate([self.starts, len(self.ids) + at - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
+        self.known = pa.concat_arrays([self.known, chunks])
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): little-endian unsigned 32-bit ids of the texts, one after the other; null texts are empty."""
         texts = texts.cast(pa.large_string()).fill_null("")
         parts = pc.split_pattern(texts, " ")
         cuts = parts.offsets.to_numpy().astype(np.int64)
+        cuts = cuts - cuts[0]
         flat = parts.flatten().dictionary_encode()
-        which = flat.indices.to_numpy().astype(np.int64)
-        known = flat.dictionary.to_pylist()
-        head = np.zeros(len(which), bool)
-        head[cuts[:-1] - cuts[0]] = True
-        # a text's first part has no space before it
-        heads, at_head = np.unique(which[head], return_inverse=True)
-        spaced, at_rest = np.unique(which[~head], return_inverse=True)
-        chunks = [known[k] for k in heads.tolist()] + [" " + known[k] for k in spaced.tolist()]
-        chunks, back = list(dict.fromkeys(chunks)), chunks
-        place = {c: k for k, c in enumerate(chunks)}
-        numbers = self._numbers(chunks)[[place[c] for c in back]] if chunks else np.zeros(0, np.int64)
-        number = np.empty(len(which), np.int64)
-        number[head], number[~head] = numbers[:len(heads)][at_head], numbers[len(heads):][at_rest]
+        which, distinct = flat.indices.to_numpy(), flat.dictionary
+        # white space at an end touches a space, and so does an empty part
+        size = pc.binary_length(distinct)
+        loose = pc.or_(pc.equal(size, 0), pc.not_equal(size, pc.binary_length(pc.utf8_trim_whitespace(distinct))))
+        loose = loose.to_numpy(zero_copy_only=False)
         owner = np.repeat(np.arange(len(texts)), np.diff(cuts))
-        whole = np.bincount(owner, self.alone[number], minlength=len(texts)) > 0
+        whole = np.bincount(owner, loose[which], minlength=len(texts)) > 0
         if not self.chunked:
             whole[:] = True
         for token in self.added:
             whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
-        sizes = np.where(whole[owner], 0, self.lengths[number])
-        per_text = np.bincount(owner, sizes, minlength=len(texts)).astype(np.int64)
-        apart = np.flatnonzero(whole)
-        found = self._encode(texts.take(pa.array(apart)).to_pylist()) if len(apart) else []
-        per_text[apart] = [len(x) for x in found]
-        offsets = np.concatenate([[0], np.cumsum(per_text)])
-        out = np.empty(offsets[-1], "<u4")
-        # where each part's ids go: after those of the text's parts before it
-        ends = np.cumsum(sizes)
-        before = ends - sizes
-        first = before[cuts[:-1] - cuts[0]] if len(texts) else before
-        target = np.repeat(offsets[owner] + before - first[owner], sizes) + np.arange(ends[-1] if len(ends) else 0) - np.repeat(before, sizes)
-        out[target] = self.ids[np.repeat(self.starts[number] - before, sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        for k, ids in zip(apart.tolist(), found):
-            out[offsets[k]:offsets[k + 1]] = ids
-        return out, offsets
+        chunks = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), distinct, pa.scalar(" ", pa.large_string()))
+        if len(self.known) > CACHE_CHUNKS:
+            self._forget()
+        at = pc.index_in(chunks, self.known)
+        new = pc.and_(at.is_null(), pa.array(~loose))
+        if pc.any(new).as_py():
+            self._learn(chunks.filter(new))
+            at = pc.index_in(chunks, self.known)
+        number = at.fill_null(0).to_numpy()
+        starts, lengths = (np.where(loose, 0, x[number]) if len(x) else np.zeros(len(loose), np.int64)
+                           for x in (self.starts, self.lengths))
+        starts, lengths = starts[which], lengths[which]
+        # a text's first part has no space before it; it, or the whole text, is encoded by itself
+        first = texts.to_pylist() if whole.all() else pc.list_element(parts, 0).to_pylist()
+        for k in np.flatnonzero(whole).tolist():
+            first[k] = texts[k].as_py()
+        found = self._encode(first)
+        lengths[whole[owner]] = 0
+        lengths[cuts[:-1]] = own = np.fromiter(map(len, found), np.int64, len(found))
+        starts[cuts[:-1]] = len(self.ids) + np.cumsum(own) - own
+        pool = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), "<u4", int(own.sum()))])
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        out = pool[np.repeat(starts - ends + lengths, lengths) + np.arange(total)]
+        return out, np.concatenate([[0], ends[cuts[1:] - 1]]) if len(texts) else np.zeros(1, np.int64)
+
+
+_ENCODERS: dict[str, ChunkTokenizer] = {}
+
+
+def encoder_of(path: str) -> ChunkTokenizer:
+    """One per worker process, which keeps its chunks from task to task."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = ChunkTokenizer(path)
+    return _ENCODERS[path]
 
 
 def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -157,7 +166,7 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkTokenizer(path)
+        encoder = encoder_of(path)
         end = np.array([END_ID], "<u4")
         for batch in batches:
             for part in slices(batch):
