@@ -1,12 +1,16 @@
 """Ledger-gated incremental loads: invariants from the survey's test strategy."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from star_fixture import as_set, small_star
 from turnstile import adapters
 from turnstile.operators import keysets, marts
+from turnstile.plans import commits
 from turnstile.plans import incremental as inc
+from turnstile.sources import files
 from turnstile.star import Star
 
 SF = "/root/testdata/sf0.001"
@@ -182,3 +186,84 @@ def test_undated_batches_of_equal_totals_both_count(spark, tmp_root):
     mixed = star.with_fact(spark.createDataFrame([(3, 1, 997, 50), (4, 2, 100, 7)], fact))
     assert store.load(mixed).undated == 1
     assert as_set(store.mart("busiest_stations")) == {("Angel", 150), ("Bank", 7)}
+
+
+WRITES = ["base", "busiest_stations", "passengers_by_line", "passengers_by_network", "night_tube_analysis",
+          "ledger", "interchange", "bridge", "dates", "manifests"]
+
+
+class FailingStore(inc.MartStore):
+    """A store whose write of one folder fails."""
+
+    failing = ""
+
+    def _write(self, df, path, by=None):
+        super()._write(df, path, by)  # the folder is there, its load is not
+        if f"/{self.failing}/" in path:
+            raise RuntimeError("crash")
+
+
+@pytest.mark.parametrize("table", WRITES)
+def test_a_crash_at_any_write_changes_nothing(spark, tmp_root, monkeypatch, table):
+    star = small_star(spark)
+    fact = "entry_exit_id bigint, station_id int, date_id int, total_entry_exit bigint"
+    first = star.with_fact(spark.createDataFrame([(1, 1, 100, 100), (2, 1, 999, 50)], fact))
+    second = star.with_fact(spark.createDataFrame([(5, 1, 200, 1), (6, 1, 998, 30)], fact))
+    store = FailingStore(spark, tmp_root)
+    store.load(first)
+    before, version = store_marts(store), store.manifests.version()
+    for attempt in (lambda: store.load(second), lambda: store.replace(second)):
+        if table == "manifests":
+            monkeypatch.setattr(store.manifests, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        store.failing = table
+        with pytest.raises(RuntimeError, match="crash"):
+            attempt()
+        store.failing = ""
+        monkeypatch.undo()
+        assert store.manifests.version() == version and store_marts(store) == before
+    assert store.load(second).undated == 1  # the retry loads all of it
+    assert as_set(store.mart("busiest_stations")) == {("Angel", 181)}
+    assert store.vacuum(0) and as_set(store.mart("busiest_stations")) == {("Angel", 181)}
+    assert not store.vacuum(0)
+
+
+def test_two_loaders_cannot_share_a_version(spark, tmp_root, monkeypatch):
+    star = small_star(spark)
+    fact = "entry_exit_id bigint, station_id int, date_id int, total_entry_exit bigint"
+    one, both = ([(1, 1, 100, 10), (2, 1, 999, 5)], [(1, 1, 100, 10), (2, 1, 999, 5), (3, 2, 200, 7)])
+    a, b = inc.MartStore(spark, tmp_root), inc.MartStore(spark, tmp_root)
+    publish, raced = a.manifests.publish, []
+
+    def overtaken(version, content):
+        if not raced:
+            raced.append(b.load(replace(star, fact=spark.createDataFrame(one, fact), bridge=spark.createDataFrame(
+                [(1, 10), (1, 11)], "station_id int, line_id int"))))
+        publish(version, content)
+
+    monkeypatch.setattr(a.manifests, "publish", overtaken)
+    mine = a.load(star.with_fact(spark.createDataFrame(both, fact)))
+    assert raced[0].version == 1 and mine.version == 2
+    # 2020 and the undated fact came with the other load; they count once
+    assert [r[0] for r in mine.years.collect()] == [2021]
+    assert as_set(a.mart("busiest_stations")) == {("Angel", 15), ("Bank", 7)}
+    assert as_set(a.mart("passengers_by_year")) == {(2020, 10), (2021, 7)}
+    # the interchange mart was merged on top of the other load's
+    assert as_set(a.mart("interchange_stations")) == {("Angel", 1), ("Bank", 3), ("Oval", 1)}
+    with pytest.raises(commits.Conflict):
+        publish(2, {})
+
+
+def test_old_versions_are_folded(spark, tmp_root):
+    star = small_star(spark)
+    fact = "entry_exit_id bigint, station_id int, date_id int, total_entry_exit bigint"
+    store = inc.MartStore(spark, tmp_root)
+    for n in range(5):
+        store.load(star.with_fact(spark.createDataFrame([(n, 1, 100, n)], fact)), reload=True)
+        assert as_set(store.mart("busiest_stations")) == {("Angel", n)}
+    assert store.manifests.version() == 5
+    for table in ("manifests", "interchange", "bridge", "partials/base", "partials/busiest_stations"):
+        held = [f for f in files.subfolders(spark, f"{tmp_root}/{table}") if files.has_data_files(spark, f)]
+        assert len(held) <= 2, table
+    assert not files.path_exists(spark, f"{tmp_root}/manifests/v=3.json")
+    # readers of the version before still find their files
+    assert store.partial("base", store.manifests.read(4)).agg(F.sum("total_passengers")).first()[0] == 6

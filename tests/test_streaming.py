@@ -1,9 +1,16 @@
 """Streaming == batch, restart adds nothing, keyed upsert replay is idempotent."""
 
+import datetime as dt
+import pathlib
+
+import pytest
+
 from turnstile import adapters
 from turnstile.operators import events as ev
 from turnstile.sources import messages
 from turnstile.streaming import arrivals as stream
+from turnstile.streaming import keyed
+from turnstile.streaming.timed import run_timed
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,11 +48,98 @@ def test_keyed_upsert_replay_is_idempotent(spark, tmp_root):
     assert _rows(cur) == _rows(batch.select(*cur.columns))
     quarantined = spark.read.parquet(tmp_root + "/store/quarantine").count()
     assert quarantined == ev.quarantine_rows(ev.parse_arrivals(messages.envelope_files(spark, topic))).count()
-    want = _rows(cur)
-    for _ in range(2):  # the second time there is nothing left to fold
-        version = stream.compact(spark, tmp_root + "/store")
-        assert version.endswith("v=1") and not stream._written_batches(spark, tmp_root + "/store")
-        assert _rows(stream.current_rows(spark, tmp_root + "/store")) == want
+
+
+KEYED = "row_key string, v int, ingest_time timestamp, kafka_partition int, kafka_offset bigint"
+
+
+def _writes(spark, rows):
+    return spark.createDataFrame([(k, v, dt.datetime(2020, 1, 1, 0, 0, t), 0, t) for k, v, t in rows], KEYED)
+
+
+def test_a_batch_rewrites_its_buckets_only(spark, tmp_root):
+    store = stream.keyed_store(spark, tmp_root, buckets=8)
+    keys = [f"k{i}" for i in range(400)]
+    assert store.rows() is None
+    assert store.apply(_writes(spark, [(k, 1, 10) for k in keys]), "r", 0) == 8
+    version, first = store.manifests.newest()
+    size = {f: sum(p.stat().st_size for p in pathlib.Path(tmp_root, f).glob("part-*")) for f in keyed._folders(first)}
+    # one key, written twice in the batch and once late: its bucket alone is written, the latest row wins
+    assert store.apply(_writes(spark, [("k7", 2, 11), ("k7", 3, 12), ("k7", 9, 3)]), "r", 1) == 1
+    _, second = store.manifests.newest()
+    changed = set(keyed._folders(second)) - set(keyed._folders(first))
+    assert len(changed) == 1 and len(set(keyed._folders(second)) & set(size)) == 7
+    written = sum(p.stat().st_size for p in pathlib.Path(tmp_root, *changed).glob("part-*"))
+    assert written < sum(size.values()) / 4
+    rows = {r["row_key"]: r["v"] for r in store.rows().collect()}
+    assert len(rows) == 400 and rows.pop("k7") == 3 and set(rows.values()) == {1}
+    # a replayed batch changes nothing; a batch without rows is remembered
+    assert store.apply(_writes(spark, [("k7", 5, 59)]), "r", 1) == 0
+    assert store.apply(_writes(spark, []), "r", 2) == 0 and store.manifests.newest()[1]["runs"] == {"r": 2}
+    plan = store.rows().groupBy().count()._jdf.queryExecution().executedPlan().toString()
+    assert store.rows()._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0 and plan.count("Exchange") == 1
+    # a key without a value is a key; keys of a store keep their number of buckets
+    stream.keyed_store(spark, tmp_root, buckets=3).apply(_writes(spark, [(None, 4, 13)]), "s", 0)
+    assert store.rows().filter("row_key IS NULL").count() == 1 and store.rows().count() == 401
+
+
+def test_two_queries_feed_one_store(spark, tmp_root, monkeypatch):
+    a, b = (stream.keyed_store(spark, tmp_root, buckets=2) for _ in range(2))
+    publish, raced = a.manifests.publish, []
+
+    def overtaken(version, content):
+        if not raced:
+            raced.append(b.apply(_writes(spark, [("x", 1, 1), ("y", 2, 9)]), "b", 0))
+        publish(version, content)
+
+    monkeypatch.setattr(a.manifests, "publish", overtaken)
+    a.apply(_writes(spark, [("x", 3, 5), ("y", 4, 5), ("z", 5, 5)]), "a", 0)
+    assert {(r["row_key"], r["v"]) for r in a.rows().collect()} == {("x", 3), ("y", 2), ("z", 5)}
+    assert a.manifests.newest()[1]["runs"] == {"a": 0, "b": 0} and a.manifests.version() == 2
+
+
+def test_crashed_batch_leaves_the_old_rows(spark, tmp_root, monkeypatch):
+    store = stream.keyed_store(spark, tmp_root, buckets=2)
+    store.apply(_writes(spark, [("x", 1, 1)]), "r", 0)
+    monkeypatch.setattr(store.manifests, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError, match="crash"):
+        store.apply(_writes(spark, [("x", 2, 2)]), "r", 1)
+    monkeypatch.undo()
+    assert [r["v"] for r in store.rows().collect()] == [1]
+    store.apply(_writes(spark, [("x", 2, 2)]), "r", 1)
+    assert [r["v"] for r in store.rows().collect()] == [2] and store.vacuum(0)
+
+
+def test_stream_keeps_the_latest_row_per_id(spark, tmp_root):
+    topic = _topic(spark, tmp_root)
+    src = messages.envelope_files(spark, topic, streaming=True, max_files_per_trigger=1)
+    q = stream.start_dedup_latest(src, tmp_root + "/latest", tmp_root + "/ckpt", "2 days", {"availableNow": True})
+    q.awaitTermination()
+    state = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    q.stop()
+    got = stream.latest_store(spark, tmp_root + "/latest").rows()
+    want = ev.dedup_arrivals(ev.valid_rows(ev.parse_arrivals(messages.envelope_files(spark, topic))))
+    assert _rows(got.select(*want.columns)) == _rows(want) and len(state) >= 4
+    # the files are in time order: windows that the watermark passed are dropped from the state
+    assert state[-1]["numRowsTotal"] < sum(s["numRowsUpdated"] for s in state) / 2
+
+
+def test_timed_run_ends_after_a_whole_batch(spark, tmp_root):
+    topic = _topic(spark, tmp_root)
+    total = messages.envelope_files(spark, topic).count()
+
+    def start():
+        src = messages.envelope_files(spark, topic, streaming=True, max_files_per_trigger=1)
+        return stream.start_append(src, tmp_root + "/out", tmp_root + "/ckpt", {"processingTime": "1 second"})
+
+    first = run_timed(spark, start, seconds=1.5)
+    assert first.ended == "deadline" and sum(first.batches.values()) == first.rows
+    # what was counted is what was written: no batch was cut
+    assert spark.read.parquet(tmp_root + "/out").count() == first.rows if first.rows else True
+    second = run_timed(spark, start, seconds=120, idle_seconds=2.5)
+    assert second.ended == "idle" and first.rows + second.rows == total
+    assert spark.read.parquet(tmp_root + "/out").count() == total
+    assert not set(first.batches) & set(second.batches)
 
 
 def test_stream_dedup_within_horizon(spark, tmp_root):

@@ -45,7 +45,7 @@ def main(argv):
                      marts.station_and_date_totals(star.fact)))
     store = inc.MartStore(spark, scratch_dir(spark, "plans-store"))
     store.load(adapters.full_star(spark, sf_dir))
-    dated = store.gated_facts(star, load_seq=0)
+    dated = store.gated_facts(star, "c-plan")
     sections.append(("incremental load: facts meet the gated dates map-side, then one grouping-sets partial",
                      dated.groupingSets([[inc.LOAD_KEY, "station_id"], [inc.LOAD_KEY, "quarter"]],
                                         inc.LOAD_KEY, "station_id", "quarter")

@@ -8,9 +8,10 @@ Star mapping (all derived by Spark from the given tables, nothing synthesised):
   dates     the distinct ship dates of the fact: year, quarter, month
   stations  supplier: s_suppkey, s_name, s_nationkey, has_night_tube = s_acctbal > 0
   networks  nation JOIN region: n_nationkey, n_name, r_name
-  lines     part: distinct p_brand (id and name)
-  bridge    distinct (l_suppkey, p_brand) over lineitem JOIN part, lines of 50 or more pieces:
-            a station is on some of the lines, and a period's bridge misses some stations
+  lines     part: distinct p_brand and p_size (id and name "<brand>#<size>")
+  bridge    (l_suppkey, line) over lineitem JOIN part, of pairs that the period holds at least twice:
+            every order line counts, a station is on some of the lines, and a short period's bridge
+            misses some stations
 
 The fact is a single scan of lineitem: the period lives on the line itself
 (l_shipdate), so no lineitem x orders join is needed at any scale.
@@ -107,23 +108,26 @@ def networks_from_nation(nation: DataFrame, region: DataFrame) -> DataFrame:
                     F.col("r_name").alias("network_type")))
 
 
+def line_key() -> Column:
+    return F.concat_ws("#", "p_brand", F.col("p_size").cast("string"))
+
+
 def lines_from_part(part: DataFrame) -> DataFrame:
-    return (part.select(F.col("p_brand").alias("line_id")).distinct()
-            .select("line_id", F.col("line_id").alias("line_name")))
+    return part.select(line_key().alias("line_id")).distinct().select("line_id", F.col("line_id").alias("line_name"))
 
 
-# order lines of so many pieces link a station to a line
-BRIDGE_QUANTITY = 50
+# a station is on a line that it serves so often in the period
+BRIDGE_SERVICES = 2
 
 
 def bridge_from_lineitem(li: DataFrame, part: DataFrame) -> DataFrame:
-    # Distinct (supplier, part) first: a hot part key collapses to one row per
+    # Per (supplier, part) first: a hot part key collapses to one row per
     # supplier before the join, and the join input shrinks to the partsupp size.
-    pairs = li.filter(F.col("l_quantity") >= BRIDGE_QUANTITY).select("l_suppkey", "l_partkey").distinct()
-    brands = part.select(F.col("p_partkey"), F.col("p_brand"))
-    return (pairs.join(brands, pairs.l_partkey == brands.p_partkey)
-            .select(F.col("l_suppkey").alias("station_id"), F.col("p_brand").alias("line_id"))
-            .distinct())
+    pairs = li.groupBy("l_suppkey", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    keys = part.select(F.col("p_partkey"), line_key().alias("line_id"))
+    return (pairs.join(keys, pairs.l_partkey == keys.p_partkey)
+            .groupBy(F.col("l_suppkey").alias("station_id"), "line_id").agg(F.sum("n").alias("n"))
+            .filter(F.col("n") >= BRIDGE_SERVICES).select("station_id", "line_id"))
 
 
 def test_star(spark: SparkSession, sf_dir: str, first_year: int | None = None,

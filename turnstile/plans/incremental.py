@@ -1,44 +1,41 @@
-"""Incremental loading of the marts through a processed-period ledger.
+"""Incremental loading of the marts through a processed-period ledger, with atomic commits.
 
-Store layout under ``root`` (all Parquet):
+Store layout under ``root`` (Parquet; every folder is written once):
 
-  ledger/                          source_table, processed_year, processed_at (append only)
-  partials/base/load_year=Y/       grain ('station' | 'quarter'), station_id, quarter,
-                                   total_passengers, num_records, num_measured, load_seq
-  partials/<mart>/load_year=Y/     the station-derived marts at their own keys, per year
-  undated/<table>/batch=B/         the same tables for facts without a year, by batch
-  interchange/load_seq=N/          station_name, num_lines of one load (replace-by-key)
-  runs/load_seq=N/dates/           the dates (and years) a load covered
-  runs/load_seq=N/bridge/          the station-line bridge in force for that load
+  manifests/v=N.json                      what the store holds (``commits.Manifests``)
+  ledger/load=L/processed_year=Y/         source_table, processed_at
+  partials/base/load=L/load_year=Y/       grain ('station' | 'quarter'), station_id, quarter,
+                                          total_passengers, num_records, num_measured
+  partials/<mart>/load=L/load_year=Y/     the station-derived marts at their own keys, per year
+  interchange/load=L/                     station_name, num_lines: the whole mart after the load
+  bridge/load=L/                          the station-line bridge in force for the load
+  dates/load=L/                           the dates of a running load
+
+Facts without a year are in the null year's folder of their load.  A manifest names, per table, the load that
+holds each year and each batch of facts without a year, the ledger's folders, and the newest interchange mart.
 
 How a load runs (the fact is scanned once):
 
-1. The date dimension, one row per date id, with a mark for years already in
-   the ledger (``reload=True`` marks none), is written under
-   ``runs/load_seq=N/dates`` and left-joined to the facts, broadcast after a
-   row-count check, so the raw fact is never shuffled.  Facts of marked years
-   stop here; facts without a year (no date row, null date, null year) go on.
-2. One grouping-sets aggregate computes both partials of the remaining rows:
-   per (year, station) and per (year, quarter).  It is written once under
-   ``runs/load_seq=N/base`` and copied from there with dynamic partition
-   overwrite by year: a re-run replaces its years, never adds them twice.
-   Rows without a year go to ``undated`` under the caller's ``batch``, or else
-   under a fingerprint of their totals, so a repeated batch replaces itself
-   and another one adds.  If nothing is left the load ends here.  A year whose corrected facts
-   are empty is not in the batch, so its old partitions stay unless the
-   caller names it in ``clear_years``.
-3. The station-derived marts (busiest stations, by line, by network, night
-   service) are computed from this load's station partial with the
-   dimensions of this load ("as loaded") and written the same way.
-4. The interchange mart of this load is appended as a new ``load_seq``; the
-   mart keeps, per station name, the rows of its newest load.
-5. The years of this load are appended to the ledger last.  A crash before
-   that step re-runs the same years and overwrites the same partitions.
-
-A mart is read by summing its partials over all years (sum, counts and the
-measured count are additive, so the average stays exact).  Nothing ever
-overwrites a path it reads.  Facts without a year count in every station mart;
-``LoadResult.undated`` says how many this load had.
+1. The date dimension, one row per date id, with a mark for years already in the ledger (``reload=True`` marks
+   none), is written and left-joined to the facts, broadcast after a check of its size, so the raw fact is
+   never shuffled.  Facts of marked years stop here; facts without a year (no date row, null date, null
+   year) go on.  A fact stored by period (``periods``) is first pruned to the periods that are open.
+2. One grouping-sets aggregate computes both partials of the remaining rows: per (year, station) and per
+   (year, quarter).  If nothing is left the load ends here.
+3. The station-derived marts (busiest stations, by line, by network, night service) are computed from this load's
+   station partial with the dimensions of this load ("as loaded").
+4. The interchange mart is written anew: the stations of this load's bridge replace their rows, others stay.
+5. The manifest is published.  Years of this load replace older ones of the same number, facts without a year
+   replace the same batch's (the caller's ``batch``, or a fingerprint), another batch adds.  ``clear_years``
+   drops years whose corrected facts are empty.
+
+Before step 5 the store is what it was; a crash at any write leaves only folders that nothing names, and a retry
+loads afresh.  If another loader published first, years and batches that it processed are left out (unless
+reloaded) and the interchange mart is merged anew, so no fact counts twice.  ``replace`` publishes a full
+load in place of everything, in the same single step.
+
+A mart is read by summing its partials over all years (sum, counts and the measured count are additive, so the
+average stays exact).  The last two manifests stay readable; what only older ones name is removed.
 """
 
 from __future__ import annotations
@@ -52,8 +49,10 @@ from pyspark.sql import types as T
 
 from ..operators import joins, keysets, marts
 from ..schemas import LEDGER
-from ..sources.files import delete_path, largest_key, path_exists, read_parquet_or_none
+from ..sources.files import delete_path, subfolders
 from ..star import Star
+from . import periods
+from .commits import Manifests, new_id
 
 SOURCE = "fact_passenger_entry_exit"
 LOAD_KEY = "load_year"
@@ -70,7 +69,7 @@ ADDITIVE = {
 @dataclass
 class LoadResult:
     years: DataFrame          # years loaded by this run (from its own partial rows)
-    load_seq: int
+    version: int              # the store's version after it
     undated: int = 0          # facts without a year that this run loaded
 
     @property
@@ -104,76 +103,92 @@ def years_to_process(incoming: DataFrame, ledger: DataFrame, source: str = SOURC
     return keysets.key_difference(incoming, processed_years(ledger, source), "year")
 
 
+NO_YEAR = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folders(content: dict):
+    """The folders that a manifest names."""
+    for load, year in content.get("ledger", []):
+        yield f"ledger/load={load}/processed_year={year}"
+    for table, years in content.get("years", {}).items():
+        yield from (f"partials/{table}/load={load}/{LOAD_KEY}={year}" for year, load in years.items())
+    for table, batches in content.get("undated", {}).items():
+        yield from (f"partials/{table}/load={load}/{LOAD_KEY}={NO_YEAR}" for load in batches.values())
+    for table in ("interchange", "bridge"):
+        if content.get(table):
+            yield f"{table}/load={content[table]}"
+
+
 class MartStore:
+    TABLES = ("base", *ADDITIVE)
+
     def __init__(self, spark: SparkSession, root: str, source: str = SOURCE):
         self.spark = spark
         self.root = root.rstrip("/")
         self.source = source
+        self.manifests = Manifests(spark, self.root, _folders)
 
-    # -- paths ---------------------------------------------------------------
+    # -- paths and writes ------------------------------------------------------
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    # -- ledger --------------------------------------------------------------
-    def ledger(self) -> DataFrame:
-        df = read_parquet_or_none(self.spark, self.path("ledger"), LEDGER)
-        return df if df is not None else self.spark.createDataFrame([], LEDGER)
+    def _write(self, df: DataFrame, path: str, by: str | None = None) -> None:
+        """Every write of a load goes through here, into a folder of its own."""
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
 
-    def processed_years(self) -> DataFrame:
-        return processed_years(self.ledger(), self.source)
+    def _read(self, table: str, folders: list[str]) -> DataFrame | None:
+        if not folders:
+            return None
+        return (self.spark.read.option("basePath", self.path(table)).parquet(*[self.path(f) for f in folders]))
 
-    # -- load ----------------------------------------------------------------
-    def _write_partial(self, df: DataFrame, name: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(LOAD_KEY).parquet(self.path("partials", name)))
+    # -- ledger ----------------------------------------------------------------
+    def ledger(self, held: dict | None = None) -> DataFrame:
+        held = self.manifests.newest()[1] if held is None else held
+        df = self._read("ledger", [f for f in _folders(held) if f.startswith("ledger/")])
+        return self.spark.createDataFrame([], LEDGER) if df is None else df.select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in LEDGER.fields])
 
-    def gated_facts(self, star: Star, load_seq: int, reload: bool = False,
-                    max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    def processed_years(self, held: dict | None = None) -> DataFrame:
+        return processed_years(self.ledger(held), self.source)
+
+    # -- load ------------------------------------------------------------------
+    def gated_facts(self, star: Star, load: str, reload: bool = False,
+                    max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS, held: dict | None = None) -> DataFrame:
         """Facts this load processes, with load_year, quarter and whether a date row exists.
 
-        The gate is applied to the date dimension, not to the facts: dates of
-        years already in the ledger are marked, the dates are written for this
-        run, and the facts meet them in one left join.  That join is map-side
-        when the written date table is proven small (one row per day), so the raw
-        fact is never shuffled before it is aggregated.  A date id listed twice
-        keeps its earliest (year, quarter).
+        The gate is applied to the date dimension, not to the facts: dates of years already in the ledger are
+        marked, the dates are written for this run, and the facts meet them in one left join.  That join is
+        map-side when the written date table is proven small (one row per day), so the raw fact is never
+        shuffled before it is aggregated.  A date id listed twice keeps its earliest (year, quarter).
         """
         dates = star.dates.filter("date_id IS NOT NULL").groupBy("date_id").agg(
             F.min(F.struct(F.col("year").cast("int").alias(LOAD_KEY),
                            F.col("quarter").cast("int").alias("quarter"))).alias("d")).select("date_id", "d.*")
         if reload:
-            dates = dates.withColumn("_done", F.lit(False))
+            dates = dates.withColumn("_done", F.lit(0))
         else:
-            done = self.processed_years().select(F.col("year").alias("_year"), F.lit(True).alias("_done"))
-            dates = dates.join(done, F.col(LOAD_KEY) == F.col("_year"), "left").drop("_year")
-        gate_path = self.path("runs", f"load_seq={load_seq}", "dates")
-        dates.write.parquet(gate_path)
-        dates = self.spark.read.parquet(gate_path)
-        dates = dates.withColumn("_dated", F.lit(True))
-        facts = joins.join_bounded(star.fact, dates, "date_id", "left", max_broadcast_rows)
-        return facts.filter(~F.coalesce("_done", F.lit(False)))
-
-    PARTIAL_TABLES = ("base", "busiest_stations", "passengers_by_line", "passengers_by_network",
-                      "night_tube_analysis")
-
-    def clear_years(self, years) -> None:
-        """Remove every partial of the given years (an explicit, caller-given list).
-
-        Dynamic overwrite replaces only the year partitions a load writes, so a
-        year whose corrected facts are empty would keep its old rows; clear it
-        first (``load(..., reload=True, clear_years=[y])``).
-        """
-        for name in self.PARTIAL_TABLES:
-            for year in years:
-                delete_path(self.spark, self.path("partials", name, f"{LOAD_KEY}={int(year)}"))
+            done = self.processed_years(held).select(F.col("year").alias("_year"), F.lit(1).alias("_done"))
+            dates = dates.join(done, F.col(LOAD_KEY) == F.col("_year"), "left").drop("_year").fillna(0, ["_done"])
+        dates_path = self.path("dates", f"load={load}")
+        self._write(dates, dates_path)
+        dates = self.spark.read.schema(dates.schema).parquet(dates_path)
+        fact = periods.open_facts(star.fact, dates.filter("_done = 0").select(F.col(LOAD_KEY).alias("year")), max_broadcast_rows)
+        facts = joins.join_bounded(fact, dates.withColumn("_dated", F.lit(True)), "date_id", "left", max_broadcast_rows)
+        return facts.filter(F.coalesce("_done", F.lit(0)) == 0)
 
     def load(self, star: Star, reload: bool = False, flag: str = "has_night_tube",
              max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS,
              clear_years=(), batch: str | None = None) -> LoadResult:
-        load_seq = 1 + max(largest_key(self.spark, self.path(p), "load_seq") for p in ("runs", "interchange"))
-        if clear_years:
-            self.clear_years(clear_years)
-        dated = self.gated_facts(star, load_seq, reload, max_broadcast_rows)
+        """Add what is new in ``star`` (``reload``: replace its years) in one commit."""
+        return self._load(star, False, reload, flag, max_broadcast_rows, clear_years, batch)
+
+    def replace(self, star: Star) -> LoadResult:
+        """A full load: the store holds this star and nothing else, from one commit to the next."""
+        return self._load(star, True)
+
+    def _base(self, star: Star, load: str, held: dict, reload: bool, max_broadcast_rows: int) -> DataFrame:
+        """Both partials of the gated facts, written and read back."""
+        dated = self.gated_facts(star, load, reload, max_broadcast_rows, held)
         base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter", "_dated"]],
                                    LOAD_KEY, "station_id", "quarter", "_dated")
                 .agg(F.sum(marts.MEASURE).alias("total_passengers"),
@@ -187,86 +202,129 @@ class MartStore:
                 .filter((F.col("_gid") == 0) | F.col("_dated"))
                 .select(F.when(F.col("_gid") == 0, F.lit("station")).otherwise(F.lit("quarter")).alias("grain"),
                         "station_id", "quarter", "total_passengers", "num_records",
-                        "num_measured", "fact_hash", F.lit(load_seq).alias("load_seq"), LOAD_KEY))
-        run_base = self.path("runs", f"load_seq={load_seq}", "base")
-        base.write.parquet(run_base)
-        hashed = self.spark.read.schema(base.schema).parquet(run_base)
-        this = hashed.drop("fact_hash")
-        years = (this.filter(F.col(LOAD_KEY).isNotNull())
-                 .select(F.col(LOAD_KEY).cast("int").alias("year")).distinct())
-        undated = this.filter(F.col(LOAD_KEY).isNull())
-        totals = hashed.filter(F.col(LOAD_KEY).isNull()).agg(
+                        "num_measured", "fact_hash", LOAD_KEY))
+        path = self.path("partials", "base", f"load={load}")
+        self._write(base, path, LOAD_KEY)
+        return self.spark.read.schema(base.schema).parquet(path)
+
+    def _load(self, star: Star, whole: bool, reload: bool = False, flag: str = "has_night_tube",
+              max_broadcast_rows: int = joins.DEFAULT_MAX_BROADCAST_ROWS, clear_years=(),
+              batch: str | None = None) -> LoadResult:
+        load = new_id()
+        seen = {} if whole else self.manifests.newest()[1]
+        this = self._base(star, load, seen, reload, max_broadcast_rows)
+        totals = this.filter(F.col(LOAD_KEY).isNull()).agg(
             F.sum(F.when(F.col("grain") == "station", F.col("num_records"))).alias("n"),
             F.sum(F.pmod(F.xxhash64("grain", "station_id", "quarter", "total_passengers", "num_records", "num_measured",
                                     "fact_hash"), F.lit(1 << 40))).alias("mark")).first()
         n_undated = int(totals["n"] or 0)
         key = batch or f"{totals['mark']}"
-        repeated = not batch and path_exists(self.spark, self.path("undated", "base", f"batch={key}"))
-        if n_undated and repeated and years.isEmpty():
+        has_years = not this.filter(F.col(LOAD_KEY).isNotNull()).isEmpty()
+        if n_undated and not batch and key in seen.get("undated", {}).get("base", {}):
             n_undated = 0  # this very batch is in the store
         # facts of processed years only: nothing to do (a load without facts refreshes the interchange)
-        if not n_undated and years.isEmpty() and not star.fact.isEmpty():
-            return LoadResult(years=self.spark.createDataFrame([], "year int"), load_seq=load_seq)
+        if not n_undated and not has_years and not clear_years and not star.fact.isEmpty():
+            for part in ("dates", "partials/base"):
+                delete_path(self.spark, self.path(part, f"load={load}"))
+            return LoadResult(self.spark.createDataFrame([], "year int"), self.manifests.version())
         # the bridge in force for this load, written once: both the line mart and
         # the interchange mart read it (and it records the "as loaded" mapping)
-        bridge_path = self.path("runs", f"load_seq={load_seq}", "bridge")
-        star.bridge.select("station_id", "line_id").write.parquet(bridge_path)
+        bridge_path = self.path("bridge", f"load={load}")
+        self._write(star.bridge.select("station_id", "line_id"), bridge_path)
         bridge = self.spark.read.parquet(bridge_path)
-
-        def station_marts(rows: DataFrame, by: tuple) -> list[tuple[DataFrame, str]]:
-            st = rows.filter(F.col("grain") == "station").select(
-                *by, "station_id", "total_passengers", "num_records", "num_measured")
-            return [(marts.busiest_stations(st, star.stations, by), "busiest_stations"),
-                    (marts.passengers_by_line(st, bridge, star.lines, by), "passengers_by_line"),
-                    (marts.passengers_by_network(st, star.stations, star.networks, by), "passengers_by_network"),
-                    (marts.flag_partials(st, star.stations, flag, by), "night_tube_analysis")]
-
-        has_year = this.filter(F.col(LOAD_KEY).isNotNull())
-        jobs = [lambda df=df, name=name: self._write_partial(df, name)
-                for df, name in [(has_year, "base"), *station_marts(has_year, (LOAD_KEY,))]]
-        if n_undated:
-            plain = undated.drop(LOAD_KEY)
-            jobs += [lambda df=df, name=name: df.write.mode("overwrite").parquet(
-                self.path("undated", name, f"batch={key}"))
-                for df, name in [*station_marts(plain, ()), (plain, "base")]]
-        interchange = (marts.interchange_stations(bridge, star.stations)
-                       .withColumn("load_seq", F.lit(load_seq)))
-        jobs.append(lambda: interchange.write.mode("append").partitionBy("load_seq").parquet(self.path("interchange")))
+        by = (LOAD_KEY,)
+        st = this.filter(F.col("grain") == "station").select(*by, "station_id", "total_passengers", "num_records", "num_measured")
+        station_marts = {
+            "busiest_stations": marts.busiest_stations(st, star.stations, by),
+            "passengers_by_line": marts.passengers_by_line(st, bridge, star.lines, by),
+            "passengers_by_network": marts.passengers_by_network(st, star.stations, star.networks, by),
+            "night_tube_analysis": marts.flag_partials(st, star.stations, flag, by)}
+        years = this.filter(F.col(LOAD_KEY).isNotNull()).select(F.col(LOAD_KEY).cast("int").alias("year")).distinct()
+        degrees = marts.interchange_stations(bridge, star.stations)
+        jobs = [lambda df=df, name=name: self._write(df, self.path("partials", name, f"load={load}"), LOAD_KEY)
+                for name, df in station_marts.items()]
+        jobs += [lambda: self._write(ledger_rows(years, self.source), self.path("ledger", f"load={load}"), "processed_year"),
+                 lambda: self._write_interchange(degrees, seen, load)]
         # independent small jobs: submitted together, Spark schedules them side by side
         with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
             for f in [pool.submit(job) for job in jobs]:
                 f.result()
-        ledger_rows(years, self.source).write.mode("append").parquet(self.path("ledger"))
-        return LoadResult(years=years, load_seq=load_seq, undated=n_undated)
-
-    def clear(self) -> None:
-        """Empty the store (a full load replaces what was loaded)."""
-        for name in ("ledger", "partials", "undated", "interchange", "runs"):
-            delete_path(self.spark, self.path(name))
-
-    def replace(self, star: Star) -> LoadResult:
-        """A full load: the store holds this star and nothing else."""
-        self.clear()
-        return self.load(star)
-
-    # -- read ----------------------------------------------------------------
-    def partial(self, name: str) -> DataFrame | None:
+        written = {name: self._years_of("partials", name, load) for name in self.TABLES}
+        version, content = self.manifests.commit(
+            lambda held: self._content(held, seen, written, load, degrees, whole, reload, clear_years, key, bool(batch)))
+        delete_path(self.spark, self.path("dates", f"load={load}"))
+        mine = [int(y) for at, y in content["ledger"] if at == load]
+        taken = n_undated if content["undated"].get("base", {}).get(key) == load else 0
+        return LoadResult(years.filter(F.col("year").isin(mine)), version, taken)
+
+    def _years_of(self, *parts: str) -> list[str]:
+        """The partitions that a load wrote of a table, by name."""
+        *table, load = parts
+        return [f.rsplit("=", 1)[1] for f in subfolders(self.spark, self.path(*table, f"load={load}"))]
+
+    def _content(self, held: dict, seen: dict, written: dict, load: str, degrees: DataFrame, whole: bool, reload: bool,
+                 clear_years, key: str, replaces: bool) -> dict:
+        """The manifest after this load, on top of ``held`` (``seen``: what the load was computed against)."""
+        held = {} if whole else held
+        out = {"years": {t: dict(v) for t, v in held.get("years", {}).items()},
+               "undated": {t: dict(v) for t, v in held.get("undated", {}).items()},
+               "ledger": list(held.get("ledger", [])), "bridge": load}
+        for years in out["years"].values():
+            for year in clear_years:
+                years.pop(str(int(year)), None)
+        # years that another loader has processed since this one looked
+        known = {y for _, y in seen.get("ledger", [])}
+        late = set() if reload or whole else {y for _, y in out["ledger"]} - known
+        mine = [y for y in written["base"] if y != NO_YEAR and y not in late]
+        batches = out["undated"].get("base", {})
+        undated = NO_YEAR in written["base"] and (replaces or key not in batches)
+        for table, found in written.items():
+            for year in mine:
+                out["years"].setdefault(table, {}).pop(year, None)
+                if year in found:
+                    out["years"][table][year] = load
+            if undated:
+                out["undated"].setdefault(table, {}).pop(key, None)
+                if NO_YEAR in found:
+                    out["undated"][table][key] = load
+        out["ledger"] += [[load, y] for y in mine]
+        out["interchange"] = load
+        if held.get("interchange") != seen.get("interchange") and not whole:
+            # merged with an older mart than the newest: once more
+            out["interchange"] = self._write_interchange(degrees, held, new_id())
+        return out
+
+    def _write_interchange(self, degrees: DataFrame, held: dict, load: str) -> str:
+        """The interchange mart with the stations of ``degrees`` replaced."""
+        new = degrees.select("station_name", "num_lines", F.lit(1).alias("_age"))
+        old = self._interchange(held)
+        if old is not None:
+            new = old.withColumn("_age", F.lit(0)).unionByName(new)
+        rows = keysets.latest_version(new, ["station_name"], "_age").drop("_age")
+        self._write(rows, self.path("interchange", f"load={load}"))
+        return load
+
+    def _interchange(self, held: dict) -> DataFrame | None:
+        load = held.get("interchange")
+        return self.spark.read.parquet(self.path("interchange", f"load={load}")) if load else None
+
+    def vacuum(self, older_than_seconds: float = 86_400) -> list[str]:
+        """Remove what crashed loads left behind."""
+        return self.manifests.vacuum(["ledger", "interchange", "bridge", "dates", *[f"partials/{t}" for t in self.TABLES]],
+                                     older_than_seconds)
+
+    # -- read ------------------------------------------------------------------
+    def partial(self, name: str, held: dict | None = None) -> DataFrame | None:
         """The partial of all years and of the facts without one; None when there is neither."""
-        dated = read_parquet_or_none(self.spark, self.path("partials", name))
-        undated = read_parquet_or_none(self.spark, self.path("undated", name))
-        if undated is None:
-            return dated
-        undated = undated.drop("batch").withColumn(LOAD_KEY, F.lit(None).cast("int"))
-        return undated if dated is None else dated.unionByName(undated)
+        held = self.manifests.newest()[1] if held is None else held
+        df = self._read(f"partials/{name}", [f for f in _folders(held) if f.startswith(f"partials/{name}/")])
+        return None if df is None else df.drop("load", "fact_hash").withColumn(LOAD_KEY, F.col(LOAD_KEY).cast("int"))
 
     def mart(self, name: str, flag: str = "has_night_tube") -> DataFrame:
         """The current mart (unordered); None-safe: an empty store gives no rows."""
         if name == "interchange_stations":
-            log = read_parquet_or_none(self.spark, self.path("interchange"))
-            if log is None:
-                return self.spark.createDataFrame([], "station_name string, num_lines bigint")
-            return keysets.latest_version(log, ["station_name"], "load_seq") \
-                .select("station_name", "num_lines")
+            rows = self._interchange(self.manifests.newest()[1])
+            return self.spark.createDataFrame([], "station_name string, num_lines bigint") if rows is None else rows
         if name in ("passengers_by_year", "quarterly_trend"):
             keys = ["year"] if name == "passengers_by_year" else ["year", "quarter"]
             base = self.partial("base")

@@ -18,11 +18,13 @@ from . import adapters, oracle
 from .operators import events as ev
 from .operators import marts
 from .operators.dedup import latest_rows
-from .plans import backlog, catalog, full_load
+from .operators import joins
+from .plans import backlog, catalog, full_load, periods
 from .plans import incremental as inc
 from .session import scratch_dir
 from .sources import delimited, files, messages
 from .streaming import arrivals as stream
+from .streaming.timed import run_timed
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -92,7 +94,8 @@ def mart_row_counts(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir):
-    return ev.parse_arrivals(adapters.arrival_messages(spark, sf_dir))
+    """The topic's messages, parsed."""
+    return ev.parse_arrivals(messages.envelope_files(spark, _message_files(spark, sf_dir)))
 
 
 def _valid(spark, sf_dir):
@@ -301,6 +304,73 @@ def incr_undated_flag_stats(spark, sf_dir):
     return _undated_store(spark, sf_dir).mart("night_tube_analysis")
 
 
+class _FailingStore(inc.MartStore):
+    """A store whose write of one table fails."""
+
+    failing = ""
+
+    def _write(self, df, path, by=None):
+        if self.failing and f"/{self.failing}/" in path:
+            raise RuntimeError(f"writing {self.failing} failed")
+        super()._write(df, path, by)
+
+
+def _crash(store: _FailingStore, table: str, load) -> None:
+    store.failing = table
+    try:
+        load()
+    except RuntimeError as e:
+        if "failed" not in str(e):
+            raise
+    else:
+        raise AssertionError("the load did not fail")
+    finally:
+        store.failing = ""
+
+
+@register("undated_crash_retry", oracle.mart_sql("busiest_stations"))
+def undated_crash_retry(spark, sf_dir):
+    """An increment with undated facts fails while it writes the marts; the retry loads all of it."""
+    store = _FailingStore(spark, scratch_dir(spark, "crash-store"))
+    store.load(adapters.with_order_dates(adapters.full_star(spark, sf_dir), spark, sf_dir))
+    later = adapters.with_order_dates(adapters.increment_star(spark, sf_dir), spark, sf_dir)
+    _crash(store, "busiest_stations", lambda: store.load(later))
+    store.load(later)
+    return store.mart("busiest_stations")
+
+
+@register("full_reload_crash_keeps_old", oracle.mart_sql("busiest_stations", **oracle.FULL))
+def full_reload_crash_keeps_old(spark, sf_dir):
+    """A full load that fails leaves the marts of the one before (K1)."""
+    store = _FailingStore(spark, scratch_dir(spark, "reload-crash"))
+    store.replace(adapters.full_star(spark, sf_dir))
+    _crash(store, "night_tube_analysis", lambda: store.replace(adapters.test_star(spark, sf_dir)))
+    return store.mart("busiest_stations")
+
+
+@register("incr_pruned_gate", oracle.mart_sql("busiest_stations"))
+def incr_pruned_gate(spark, sf_dir):
+    """The increment reads a fact of all years, stored by year: only open years' files are read."""
+    root = scratch_dir(spark, "periods")
+    star = adapters.test_star(spark, sf_dir)
+    periods.write_by_period(star, f"{root}/fact")
+    store = inc.MartStore(spark, f"{root}/store")
+    store.load(adapters.full_star(spark, sf_dir))
+    store.load(star.with_fact(periods.read_by_period(spark, f"{root}/fact")))
+    return store.mart("busiest_stations")
+
+
+@register("semi_join_reduced", f"""
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem
+WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= DATE '{adapters.INCREMENT_YEAR}-01-01')""")
+def semi_join_reduced(spark, sf_dir):
+    """Facts of a key set taken as too large to broadcast: a Bloom filter of the keys goes before the shuffle."""
+    orders = adapters.table(spark, sf_dir, "orders").filter(
+        F.col("o_orderdate") >= F.lit(f"{adapters.INCREMENT_YEAR}-01-01").cast("timestamp_ntz"))
+    facts = adapters.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity")
+    return joins.join_bounded(facts, orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi", max_rows=0)
+
+
 @register("full_reload_replaces", oracle.mart_sql("busiest_stations", **oracle.FULL))
 def full_reload_replaces(spark, sf_dir):
     """A full load over a store that held more years leaves only its own rows (K1)."""
@@ -435,7 +505,7 @@ def backlog_reconciliation(spark, sf_dir):
                     F.sum("table_rows").alias("table_rows"), F.sum("quarantine_rows").alias("quarantine_rows"))
 
 
-@register("scan_with_fallback", "SELECT DISTINCT p_brand AS line_id, p_brand AS line_name FROM part")
+@register("scan_with_fallback", f"SELECT DISTINCT {oracle.LINE} AS line_id, {oracle.LINE} AS line_name FROM part")
 def scan_with_fallback(spark, sf_dir):
     """Increment folder absent -> the full-load folder is read."""
     root = scratch_dir(spark, "fallback")
@@ -503,10 +573,13 @@ def _message_files(spark, sf_dir) -> str:
     return _MSG_FILES[key]
 
 
+#: bytes of the topic that one micro-batch reads, however large the topic is (small, so that there are several)
+TOPIC_BYTES = 256 << 10
+
+
 def _topic_stream(spark, path) -> DataFrame:
-    """A topic folder as a stream of a few micro-batches, however many files it has."""
-    n_files = len(messages.envelope_files(spark, path).inputFiles())
-    return messages.envelope_files(spark, path, streaming=True, max_files_per_trigger=max(1, n_files // 2))
+    """A topic folder as a stream of micro-batches of bounded size (a file at least)."""
+    return messages.envelope_files(spark, path, streaming=True, max_bytes_per_trigger=TOPIC_BYTES)
 
 
 def _appended(spark, sf_dir) -> str:
@@ -577,22 +650,21 @@ def _keyed_store(spark, sf_dir) -> str:
 
 @register("stream_keyed_upsert", oracle.messages_sql(oracle.LATEST_PER_KEY))
 def stream_keyed_upsert(spark, sf_dir):
-    """Topic -> per-batch enrich + latest per key -> own-folder log; current rows read
+    """Topic -> per-batch enrich + merge of the buckets that a batch touches; the rows read
     back equal the batch keyed store (S12, T6, T7, K6)."""
     return stream.current_rows(spark, _keyed_store(spark, sf_dir))
 
 
 @register("stream_keyed_restart", oracle.messages_sql(oracle.LATEST_PER_KEY))
 def stream_keyed_restart(spark, sf_dir):
-    """One store fed by two queries: the first half of the topic, compaction, then the other half
-    by a query whose checkpoint (same path) was lost.  No key of the first is lost (K6, T7)."""
+    """One store fed by two queries: the first half of the topic, then the other half by a query whose
+    checkpoint (same path) was lost.  No key of the first is lost (K6, T7)."""
     root = scratch_dir(spark, "stream-restart")
     sent = messages.envelope_files(spark, _message_files(spark, sf_dir))
     for name, part in (("first", sent.filter("partition < 2")), ("second", sent.filter("partition >= 2"))):
         part.write.partitionBy("partition").parquet(f"{root}/{name}")
         _upsert(spark, f"{root}/{name}", root)
         if name == "first":
-            stream.compact(spark, f"{root}/store")
             files.delete_path(spark, f"{root}/checkpoint")
     return stream.current_rows(spark, f"{root}/store")
 
@@ -620,8 +692,8 @@ def keyed_store_preview(spark, sf_dir):
 
 @register("stream_dedup_ids", oracle.messages_sql("SELECT DISTINCT id FROM valid"))
 def stream_dedup_ids(spark, sf_dir):
-    """Streaming dedup with bounded state (the horizon is the feed's month): every valid id comes out exactly once across micro-batches.  The
-    surviving row within a batch is the first seen, so only the ids are compared."""
+    """Streaming dedup with bounded state (the horizon is the feed's month): every valid id comes out exactly
+    once across micro-batches.  The surviving row is the first seen, so only the ids are compared."""
     parsed = ev.parse_arrivals(_topic_stream(spark, _message_files(spark, sf_dir))).filter(ev.is_valid()).drop("raw_value", ev.CORRUPT_COLUMN)
     root = scratch_dir(spark, "stream-dedup")
     q = (stream.dedup_within(parsed, "31 days").writeStream.format("parquet")
@@ -631,6 +703,27 @@ def stream_dedup_ids(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").select("id")
 
 
+@register("stream_dedup_latest", oracle.messages_sql(f"SELECT {oracle.PARSED_COLS} FROM dedup"))
+def stream_dedup_latest(spark, sf_dir):
+    """Latest message per id from the stream, whole rows: a windowed aggregate in update mode whose updates
+    are merged into a keyed store (D1, T7)."""
+    root = scratch_dir(spark, "stream-latest")
+    q = stream.start_dedup_latest(_topic_stream(spark, _message_files(spark, sf_dir)), f"{root}/store", f"{root}/checkpoint",
+                                  "31 days", {"availableNow": True})
+    stream.run_for(q, None)
+    return stream.latest_store(spark, f"{root}/store").rows().select(*_PARSED_OUT)
+
+
+@register("stream_timed_run", "SELECT COUNT(*) AS total_records FROM events")
+def stream_timed_run(spark, sf_dir):
+    """The append stream on a one-second trigger, stopped between batches once it is idle: the messages that
+    the listener saw are the topic's (T1, T3, V5)."""
+    root = scratch_dir(spark, "stream-timed")
+    run = run_timed(spark, lambda: stream.start_append(
+        _topic_stream(spark, _message_files(spark, sf_dir)), f"{root}/out", f"{root}/checkpoint",
+        {"processingTime": "1 second"}), seconds=600, idle_seconds=2.5)
+    return spark.createDataFrame([(run.rows,)], "total_records bigint")
+
 
 _STAR_ATTR = {"fact_passenger_entry_exit": "fact", "dim_date": "dates", "dim_stations": "stations",
               "dim_networks": "networks", "dim_lines": "lines", "fact_station_lines": "bridge"}

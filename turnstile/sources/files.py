@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -79,13 +80,56 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(f"{path.rstrip('/')}/{st.getPath().getName()}" for st in fs.listStatus(p) if st.isDirectory())
 
 
-def largest_key(spark: SparkSession, path: str, key: str) -> int:
-    """The largest N of the folders ``key=N`` below ``path``; 0 when there is none."""
+def largest_key(spark: SparkSession, path: str, key: str, ending: str = "") -> int:
+    """The largest N of the names ``key=N<ending>`` below ``path``; 0 when there is none."""
     fs, p = _fs_path(spark, path)
     if not fs.exists(p):
         return 0
     names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return max([int(n.split("=", 1)[1]) for n in names if n.startswith(f"{key}=")], default=0)
+    found = [n[len(key) + 1:len(n) - len(ending)] for n in names if n.startswith(f"{key}=") and n.endswith(ending)]
+    return max(map(int, found), default=0)
+
+
+def modified_at(spark: SparkSession, path: str) -> float:
+    """When a folder last changed, in seconds from now (negative: ago)."""
+    fs, p = _fs_path(spark, path)
+    return (fs.getFileStatus(p).getModificationTime() - spark.sparkContext._jvm.System.currentTimeMillis()) / 1000
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs_path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def rename_if_absent(spark: SparkSession, path: str, target: str) -> bool:
+    """Rename a file unless ``target`` exists; False if it does."""
+    sc = spark.sparkContext
+    fs_package = sc._jvm.org.apache.hadoop.fs
+    (_, source), (_, goal) = _fs_path(spark, path), _fs_path(spark, target)
+    context = fs_package.FileContext.getFileContext(goal.toUri(), sc._jsc.hadoopConfiguration())
+    rename = getattr(fs_package, "Options$Rename")
+    options = sc._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        context.rename(context.makeQualified(source), context.makeQualified(goal), options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

@@ -36,13 +36,15 @@ def topic_reader(spark: SparkSession, servers: str, topic: str, bounded: bool, *
 
 
 def envelope_files(spark: SparkSession, path: str, streaming: bool = False,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files in the topic envelope, read as a batch or as a stream."""
+                   max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Parquet files in the topic envelope, read as a batch or as a stream in micro-batches of bounded size."""
     if not streaming:
         return spark.read.schema(MESSAGE_ENVELOPE).parquet(path)
     reader = spark.readStream.schema(MESSAGE_ENVELOPE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
 
 

@@ -3,18 +3,18 @@
 * ``start_append``: stateless parse + ingestion stamp, appended as Parquet
   with a checkpoint (exactly-once files).  Every message is kept; rejected ones carry
   their ``reject_reason`` and raw text (``rejected`` reads them), valid ones nulls there.
-* ``start_keyed_upsert``: each micro-batch is parsed, enriched, reduced to the
-  latest row per row key and written to its own folder
-  ``log/run=<run>/batch_id=<n>`` with overwrite.  A replayed batch rewrites
-  the same folder, so replays are idempotent; ``run`` is the query's own id, which
-  a checkpoint keeps and a fresh one renews, so batch 0 of a fresh checkpoint (even on
-  the same path) cannot replace an older run's.  Write
-  errors fail the batch (the checkpoint replays it); malformed messages go to
-  ``quarantine/`` instead of blocking the stream.
-* ``current_rows``: last write wins per row key over the newest compacted version and
-  the batches written since; ``compact`` folds the log into a new version.
-* ``dedup_within``: drops repeated ids inside an event-time horizon (bounded
-  state); the batch dedup keeps the latest, the stream keeps the first seen.
+* ``start_keyed_upsert``: each micro-batch is parsed, enriched and merged into a ``KeyedStore`` by row key,
+  which replaces the hash buckets it touches in one commit.  A replayed batch changes nothing: the store
+  remembers the last batch of every run, and ``run`` is the query's own id, which a checkpoint keeps and
+  a fresh one renews (so batch 0 of a fresh checkpoint, even on the same path, is another batch).  Write
+  errors fail the batch (the checkpoint replays it); malformed messages go to ``quarantine/`` instead of
+  blocking the stream.
+* ``current_rows``: the store's rows, one per row key.
+* ``start_dedup_latest``: the latest message per id.  A windowed aggregate keeps the best row of each id
+  (combined per task, so a hot id is no hot partition), its state ends with the watermark, and every
+  update is merged into a keyed store.
+* ``dedup_within``: drops repeated ids inside an event-time horizon (bounded state) and keeps the first seen;
+  for consumers that need no later update of a message.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import events as ev
-from ..sources.files import delete_path, largest_key, path_exists, subfolders
+from .keyed import BUCKETS, KeyedStore
 
 INGESTED = "ingested_at"
 
@@ -89,73 +89,65 @@ def query_id(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
-def keyed_batch_writer(root: str, run_id: str | None = None):
+KEYED_ORDER = ["ingest_time", "kafka_partition", "kafka_offset"]
+
+
+def keyed_store(spark: SparkSession, root: str, buckets: int = BUCKETS) -> KeyedStore:
+    """The store of enriched rows by row key."""
+    return KeyedStore(spark, root, "row_key", KEYED_ORDER, buckets)
+
+
+def keyed_batch_writer(root: str, run_id: str | None = None, buckets: int = BUCKETS):
     root = root.rstrip("/")
-    given = run_id
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_id = given or query_id(batch)
+        run = run_id or query_id(batch)
         # two writes read the same micro-batch: keep it (bounded by the trigger's
-        # max offsets/files) so the source is fetched once per batch
+        # max offsets/bytes) so the source is fetched once per batch
         parsed = ev.parse_arrivals(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = ev.keyed_latest(ev.enrich(ev.valid_rows(parsed)))
-            rows.write.mode("overwrite").parquet(f"{root}/log/run={run_id}/batch_id={batch_id}")
             (ev.quarantine_rows(parsed).write.mode("overwrite")
-             .parquet(f"{root}/quarantine/run={run_id}/batch_id={batch_id}"))
+             .parquet(f"{root}/quarantine/run={run}/batch_id={batch_id}"))
+            keyed_store(batch.sparkSession, root, buckets).apply(ev.enrich(ev.valid_rows(parsed)), run, batch_id)
         finally:
             parsed.unpersist()
 
     return write
 
 
-def start_keyed_upsert(raw_stream: DataFrame, root: str, checkpoint: str,
-                       trigger: dict | None = None, run_id: str | None = None) -> StreamingQuery:
+def start_keyed_upsert(raw_stream: DataFrame, root: str, checkpoint: str, trigger: dict | None = None,
+                       run_id: str | None = None, buckets: int = BUCKETS) -> StreamingQuery:
     writer = (raw_stream.writeStream
-              .foreachBatch(keyed_batch_writer(root, run_id))
+              .foreachBatch(keyed_batch_writer(root, run_id, buckets))
               .option("checkpointLocation", checkpoint))
     return _trigger(writer, trigger).start()
 
 
-def _newest_version(spark: SparkSession, root: str) -> str | None:
-    """The newest version that was written whole."""
-    for n in range(largest_key(spark, f"{root}/versions", "v"), 0, -1):
-        if path_exists(spark, f"{root}/versions/v={n}/_SUCCESS"):
-            return f"{root}/versions/v={n}"
-    return None
-
+def current_rows(spark: SparkSession, root: str) -> DataFrame | None:
+    return keyed_store(spark, root).rows()
 
-def _written_batches(spark: SparkSession, root: str) -> list[str]:
-    return [batch for run in subfolders(spark, f"{root}/log") for batch in subfolders(spark, run)
-            if path_exists(spark, f"{batch}/_SUCCESS")]
 
+def latest_store(spark: SparkSession, root: str, buckets: int = BUCKETS) -> KeyedStore:
+    """The store of parsed messages by id."""
+    return KeyedStore(spark, root, "id", ev.DEDUP_ORDER, buckets)
 
-def _latest_of(spark: SparkSession, version: str | None, batches: list[str]) -> DataFrame:
-    return ev.keyed_latest(spark.read.parquet(*([version] if version else []), *batches))
 
+def start_dedup_latest(raw_stream: DataFrame, root: str, checkpoint: str, horizon: str = "1 hour",
+                       trigger: dict | None = None, buckets: int = BUCKETS) -> StreamingQuery:
+    """Latest valid message per id by (ingest time, partition, offset), kept in ``latest_store(root)``.
 
-def current_rows(spark: SparkSession, root: str) -> DataFrame | None:
-    root = root.rstrip("/")
-    version, batches = _newest_version(spark, root), _written_batches(spark, root)
-    return _latest_of(spark, version, batches) if version or batches else None
-
+    Messages later than ``horizon`` behind the newest one are left out, and state older than that is dropped.
+    """
+    valid = ev.valid_rows(ev.parse_arrivals(raw_stream)).withWatermark("kafka_ingest_time", horizon)
+    rest = [c for c in valid.columns if c != "id"]
+    best = F.max_by(F.struct(*rest), F.struct(*ev.DEDUP_ORDER))
+    found = valid.groupBy(F.window("kafka_ingest_time", horizon), "id").agg(best.alias("b")).select("id", "b.*")
 
-def compact(spark: SparkSession, root: str) -> str | None:
-    """Fold the log into a new version ``versions/v=N`` and remove what it folded.
+    def write(batch: DataFrame, batch_id: int) -> None:
+        latest_store(batch.sparkSession, root, buckets).apply(batch, query_id(batch), batch_id)
 
-    A crash before the removal leaves rows twice, and a replayed batch writes its folder
-    again; neither changes the latest row of a key.  The version before stays for readers.
-    """
-    root = root.rstrip("/")
-    version, batches = _newest_version(spark, root), _written_batches(spark, root)
-    if not batches:
-        return version
-    n = largest_key(spark, f"{root}/versions", "v") + 1
-    out = f"{root}/versions/v={n}"
-    _latest_of(spark, version, batches).write.mode("overwrite").parquet(out)
-    for old in [*batches, *(v for v in subfolders(spark, f"{root}/versions") if v not in (out, version))]:
-        delete_path(spark, old)
-    return out
+    writer = found.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
 
 
 def dedup_within(parsed_stream: DataFrame, horizon: str = "1 hour",
