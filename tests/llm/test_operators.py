@@ -148,6 +148,46 @@ def test_a_long_text_costs_the_sample_only_itself(spark):
     assert [(len(t), k) for t, k in got] == [(1000, 0), (1000, 1)]
 
 
+def test_ids_without_or_with_two_labels(spark):
+    docs, table = _labelled(spark, [f"text {i}" for i in range(30)], [i % 2 for i in range(30)])
+    both = table.unionByName(table.filter("doc_id = 3").withColumns({"toxic": F.lit(0), "quality": F.lit(0)}))
+    assert "text 3" in {t for t, _ in toxicity.bounded_sample(docs, table, "toxic", 100, 2000)} or zlib.crc32(b"3") % 3 == 1
+    assert "text 3" not in {t for t, _ in toxicity.bounded_sample(docs, both, "toxic", 100, 2000)}
+    odd = docs.unionByName(spark.createDataFrame([(None, "no id")], "doc_id long, text string")).withColumns(
+        {"score": F.lit("x"), "label": F.lit(1), "held_out": F.lit(2), "rid": F.lit(3), "_id": F.lit(4)})
+    for op in (toxicity.op2_compression_distance, quality_classifier.op10_ftrl_quality):
+        out = {r["doc_id"]: r for r in op(odd, both).collect()}
+        assert len(out) == 31 and out[None]["held_out"] is False and 0 <= out[None]["score"] <= 1
+
+
+def test_quality_weights_equal_plain_ftrl():
+    """The sparse steps against the update rule written out coordinate by coordinate."""
+    import math
+    rows = [(f"{'good plain words' if i % 3 else 'BUY !!! $$$ now'} number {i % 7} again", int(i % 3 > 0)) for i in range(40)]
+    weights, start = quality_classifier.fit(rows, bits=8, epochs=2)
+    number, at = quality_classifier.features(pa.array([t for t, _ in rows]), 8)
+    z, n = defaultdict(float), defaultdict(float)
+    q = quality_classifier
+
+    def weight(i):
+        if abs(z[i]) <= q.L1:
+            return 0.0
+        return -(z[i] - math.copysign(q.L1, z[i])) / ((q.BETA + math.sqrt(n[i])) / q.ALPHA + q.L2)
+
+    rng = np.random.default_rng(1)
+    for _ in range(2):
+        for k in rng.permutation(len(rows)):
+            counts = Counter(number[at[k]:at[k + 1]].tolist())
+            x = {i: q.SCALE * c / sum(counts.values()) for i, c in counts.items()} | {256: 1.0}
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * x[i] for i in x)))
+            for i in x:
+                g = (p - rows[k][1]) * x[i]
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / q.ALPHA * w[i]
+                n[i] += g * g
+    assert np.allclose(weights, [weight(i) for i in range(256)], atol=1e-9) and abs(start - weight(256)) < 1e-9
+
+
 # ---- 3 substring
 def brute_substring(rows, size=13):
     first = {}
@@ -212,6 +252,32 @@ def test_quality_rules_edge_cases(odd, empty):
     assert quality_rules.filter_documents(odd).columns == odd.columns
 
 
+def test_quality_limits_follow_the_group(spark):
+    """Equal documents are kept or not by what is usual in their group; small groups take their language's limits."""
+    plain = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu"
+    rows = []
+
+    def add(n, source, text, lang="en"):
+        rows.extend((len(rows), f"{text} x{len(rows)}", lang, source, 0, 0, "x") for _ in range(n))
+
+    add(190, "prose", plain)
+    add(10, "prose", plain + " $$$")        # unusual here ...
+    add(100, "code", plain + " $$$")        # ... usual here
+    add(99, "small", plain + " $$$")        # below MIN_GROUP: judged by the language
+    add(1, "small", plain + " $$$ $$$ $$$ $$$ $$$ $$$ $$$ $$$")
+    docs = spark.createDataFrame(rows[:-1] + rows[-1:], SCHEMA)
+    out = {r["doc_id"]: r["kept"] for r in quality_rules.op5_adaptive_quality_rules(docs).collect()}
+    assert all(out[i] for i in range(190)) and all(out[i] for i in range(200, 300))
+    assert not any(out[i] for i in range(190, 200))
+    exact = [r for r in rows if r[3] == "small"]
+    for n, kept in ((100, True), (99, False)):  # a group of its own, or one that its language decides
+        few = spark.createDataFrame([r for r in rows if r[3] == "prose" and r[0] < 190] * 20 + exact[:n], SCHEMA)
+        got = [r["kept"] for r in quality_rules.op5_adaptive_quality_rules(few).filter("doc_id >= 300").collect()]
+        assert sum(got) == (99 if kept else 0)  # the last one of 100 is unusual even in its group
+    twice = spark.createDataFrame([(1, plain, "en", "a", 0, 0, "x"), (1, "short", "en", "a", 0, 0, "x")], SCHEMA)
+    assert [r["text"] for r in quality_rules.filter_documents(twice).collect()] == [plain]
+
+
 # ---- 6 packing
 def check_packing(pieces):
     fill = defaultdict(list)
@@ -342,22 +408,23 @@ def test_ann_takes_the_common_length(spark):
     assert len(want) == 60 and sorted(got) == sorted(want)
 
 
-def test_ann_recall_when_cells_are_left_out(spark):
+@pytest.mark.parametrize("n", [500, 6000])
+def test_ann_prunes_at_every_size(spark, n):
     rng = np.random.default_rng(13)
     centres = rng.normal(size=(40, 16))
-    m = centres[rng.integers(0, 40, 6000)] + 0.3 * rng.normal(size=(6000, 16))
+    m = centres[rng.integers(0, 40, n)] + 0.3 * rng.normal(size=(n, 16))
     frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, v array<double>")
-    _, share = ann.fit(frame, 16, ann.CENTROIDS, ann.SAMPLE_ROWS, ann.TOP, ann.RECALL)
-    assert 20 < share * len(m) < 0.7 * len(m)  # the floor of 20 does not decide, and the search prunes
+    _, share = ann.fit(frame, 16, ann.centroids_for(n), ann.SAMPLE_ROWS, ann.TOP, ann.RECALL)
+    assert ann.TOP < share * n < 0.7 * n  # the search leaves cells out
     found = defaultdict(list)
-    for r in ann.nearest(frame, frame.filter("vec_id % 20 = 0"), 16, visit_least=20).collect():
+    for r in ann.nearest(frame, frame.filter("vec_id % 20 = 0"), 16).collect():
         found[r["query_id"]].append(r["score"])
     hit = 0
     for q, near in found.items():
         score = m @ m[q]
         score[q] = -np.inf
         hit += sum(s >= np.sort(score)[-20] - 1e-9 for s in near)
-    assert len(found) == 300 and hit / (20 * 300) >= 0.9
+    assert len(found) == n // 20 and hit / (20 * len(found)) >= 0.9
 
 
 # ---- 9 mixing

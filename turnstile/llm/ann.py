@@ -4,6 +4,8 @@ Both halves of the vectors are quantised separately; a pair of centroids is a ce
 Codebooks are fitted on a bounded sample, every vector is indexed.  A query walks the
 cells in order of summed distance (minus the inner products of its halves with the
 centroids) with a heap, until the cells hold enough entries; these are reranked exactly.
+The number of centroids grows with the square root of the entries, so that cells stay small, and
+how many entries are enough is measured on the sample.
 
 Entries are dealt to blocks of about ``block_rows``: neighbouring cells share a block and a large
 cell spans several, so no task holds more than a block, however many equal vectors there
@@ -21,6 +23,7 @@ empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,18 +32,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
+from .links import whole_groups
 
 #: fitted on at most this many vectors
 SAMPLE_ROWS = 20_000
-CENTROIDS = 32
+#: entries that a cell of the index holds on average, and the most centroids of a half
+CELL_ROWS = 8
+MOST_CENTROIDS = 256
 ITERATIONS = 12
 BLOCK_ROWS = 4096
 TOP = 20
 #: recall aimed at on the sample when the share of entries to visit is set, and queries for it
 RECALL = 0.95
 PROBE_QUERIES = 200
-#: a query's cells hold at least this many entries
-VISIT_LEAST = 2000
 
 
 def usable(vectors: DataFrame, vec: str, dim: int | None = None) -> DataFrame:
@@ -59,6 +63,11 @@ def common_length(vectors: DataFrame, vec: str) -> int:
     return lengths.agg(F.max(F.struct("n", "dim"))["dim"]).first()[0] or 0
 
 
+def centroids_for(n: int) -> int:
+    """Centroids of each half: their pairs hold about ``CELL_ROWS`` entries each."""
+    return max(2, min(MOST_CENTROIDS, round(math.sqrt(n / CELL_ROWS))))
+
+
 def fit_codebook(points: np.ndarray, k: int, iterations: int, seed: int) -> np.ndarray:
     """Lloyd's k-means; empty clusters take the points farthest from their centroids."""
     rng = np.random.default_rng(seed)
@@ -223,59 +232,56 @@ def best(score: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
 
 
 def _search(dim: int, top: int):
-    """Rerank the entries of each block for the queries that visit it."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batches = [b for b in batches if b.num_rows]
-        if not batches:
+    """Rerank the entries of each block for the queries that visit it; rows are sorted by (block, kind)."""
+    def reranked(rows: pa.Table, n: int) -> Iterator[pa.RecordBatch]:
+        entries, queries = rows.slice(0, n).combine_chunks(), rows.slice(n).combine_chunks()
+        if not n or not queries.num_rows:
             return
-        rows = pa.Table.from_batches(batches).sort_by([("block", "ascending"), ("kind", "ascending")]).combine_chunks()
-        block, kind = rows.column("block").to_numpy(), rows.column("kind").to_numpy()
-        cuts = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]))
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            n = int((kind[lo:hi] == 0).sum())
-            entries, queries = rows.slice(lo, n), rows.slice(lo + n, hi - lo - n)
-            if not n or not queries.num_rows:
-                continue
-            ids, cell = entries.column("id").to_numpy(), entries.column("cell").to_numpy()
-            m = _matrix(entries.column("v").combine_chunks(), dim)
-            qs, visits = queries.column("id").to_pylist(), queries.column("cells").to_pylist()
-            out: list[tuple] = []
-            qm = _matrix(queries.column("v").combine_chunks(), dim)
-            for q0 in range(0, len(qs), 64):
-                scores = qm[q0:q0 + 64] @ m.T
-                for i, score in enumerate(scores):
-                    q = qs[q0 + i]
-                    score[~np.isin(cell, visits[q0 + i]) | (ids == q)] = -np.inf
-                    for p in best(score, ids, top):
-                        # the reported score does not depend on the block's shape
-                        out.append((q, int(ids[p]), float(np.dot(qm[q0 + i], m[p]))))
-            if out:
-                cols = zip(*out)
-                yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
-                                      names=["query_id", "vec_id", "score"])
+        ids, cell = entries.column("id").to_numpy(), entries.column("cell").to_numpy()
+        m, qm = (_matrix(side.column("v").combine_chunks(), dim) for side in (entries, queries))
+        qs, visits = queries.column("id").to_pylist(), queries.column("cells").to_pylist()
+        out: list[tuple] = []
+        for q0 in range(0, len(qs), 64):
+            scores = qm[q0:q0 + 64] @ m.T
+            for i, score in enumerate(scores):
+                q = qs[q0 + i]
+                score[~np.isin(cell, visits[q0 + i]) | (ids == q)] = -np.inf
+                # the reported score does not depend on the block's shape
+                out += [(q, int(ids[p]), float(np.dot(qm[q0 + i], m[p]))) for p in best(score, ids, top)]
+        if out:
+            cols = zip(*out)
+            yield pa.record_batch([pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.float64()))],
+                                  names=["query_id", "vec_id", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches, "block"):
+            block, kind = rows.column("block").to_numpy(), rows.column("kind").to_numpy()
+            cuts = np.concatenate(([0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]))
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                yield from reranked(rows.slice(lo, hi - lo), int((kind[lo:hi] == 0).sum()))
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, dim: int, top: int = TOP, centroids: int = CENTROIDS,
-            sample_rows: int = SAMPLE_ROWS, recall: float = RECALL, visit_least: int = VISIT_LEAST,
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, dim: int, top: int = TOP, centroids: int | None = None,
+            sample_rows: int = SAMPLE_ROWS, recall: float = RECALL, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score of each query's ``top`` nearest entries that the index finds.
 
     ``vectors`` and ``queries`` have vec_id and v (see ``usable``).
     """
     buckets = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    books, share = fit(vectors, dim, centroids, sample_rows, top, recall)
+    books, share = fit(vectors, dim, centroids or centroids_for(vectors.count()), sample_rows, top, recall)
     if not len(books[0]):
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     index = stored(assign_cells(vectors, books, dim), "multi-index")
     sizes = np.zeros(len(books[0]) * len(books[1]), np.int64)
     for row in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():  # at most centroids ** 2 rows
         sizes[row["cell"]] = row["n"]
-    enough = max(visit_least, int(np.ceil(share * sizes.sum())))
+    # the query itself is among the entries
+    enough = max(top + 1, int(np.ceil(share * sizes.sum())))
     first, count = block_layout(sizes, block_rows)
     entries = index.mapInArrow(_deal_entries(dim, first, count), _SIDE)
     asked = queries.mapInArrow(_deal_queries(dim, books, sizes, enough, first, count), _SIDE)
-    found = (entries.unionByName(asked).repartition(buckets, "block")
+    found = (entries.unionByName(asked).repartition(buckets, "block").sortWithinPartitions("block", "kind")
              .mapInArrow(_search(dim, top), "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)

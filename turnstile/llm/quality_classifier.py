@@ -10,8 +10,9 @@ Weights come from follow-the-regularised-leader (proximal) updates on the driver
 most ``fit_rows`` labelled documents per class and ``fit_bytes`` of text; scoring is a narrow map.
 
 Defined results: null and empty texts have the two indicators only; with no labels every
-score is one half; repeated rows score alike; an empty table gives no rows; labels,
-language and source are never inputs of a score.
+score is one half; repeated rows score alike; a null doc_id is not held out; ids labelled
+both 0 and 1 are not learnt from; an empty table gives no rows; other columns, labels, language
+and source are never inputs of a score.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .toxicity import bounded_sample
+from .toxicity import bounded_sample, held_out
 from .wordhash import MIX_A, SECOND_BASE, U, mixed, owners, slices, text_buffers, word_hashes
 
 BITS = 18
@@ -134,7 +135,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
                                       names=["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), "score",
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 

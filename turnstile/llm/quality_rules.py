@@ -4,13 +4,16 @@ Each document's measures (word count, word and symbol characters, repeated lines
 and words) come from string and array functions.  KLL quantile sketches of the
 adaptive measures are built per (language, source), with one more level per
 language and one for all; sketches merge, so map tasks send a sketch, not rows,
-however hot a source is.  Limits are fences around the quartiles of a document's
-own group; a group below ``min_group`` documents uses its language's limits, and
-that one, if small too, the corpus's.  A join with the limits then filters.
+however hot a source is.  Limits are tail quantiles of a document's own group: what
+lies beyond them is unlike the rest of its language and source, whatever is usual there.  A group
+below ``min_group`` documents uses its language's limits, and that one, if small too, the
+corpus's.  A join with the limits then filters.  ``RULES`` also names a least distance from the
+median, which decides only where a group's tail is as good as tied with its middle.
 
 Defined results: a null text has no words; documents without words fail the base
 rule; null language and source are groups of their own; repeated rows are judged
-alike; an empty table gives no rows; extra columns are kept by ``filter_documents``.
+alike, rows that share a doc_id by their own text; an empty table gives no rows; extra
+columns are kept by ``filter_documents``.
 """
 
 from __future__ import annotations
@@ -25,11 +28,11 @@ WINDOW = 5
 #: entries a sketch keeps per level; groups up to this size are exact
 SKETCH_K = 4096
 MIN_GROUP = 100
-#: measure -> (fence in quartile ranges, least distance from the quartile, lower fence too)
+#: measure -> (upper tail quantile, lower one or none, least distance of a limit from the median)
 RULES = {
-    "symbol_share": (3.0, 0.10, False),
-    "dup_line_share": (3.0, 0.30, False),
-    "mean_word": (6.0, 3.0, True),
+    "symbol_share": (0.95, None, 0.02),
+    "dup_line_share": (0.99, None, 0.05),
+    "mean_word": (0.98, 0.005, 0.5),
 }
 
 
@@ -77,7 +80,8 @@ def repeated_words(tokens: Column, window: int = WINDOW) -> Column:
 
 def measures(docs: DataFrame) -> DataFrame:
     """doc_id, lang, source and the measures of every document."""
-    body = docs.select("doc_id", "lang", "source", F.coalesce(F.col("text"), F.lit("")).alias("body"))
+    body = docs.select("doc_id", "lang", "source", F.xxhash64("text").alias("text_hash"),
+                       F.coalesce(F.col("text"), F.lit("")).alias("body"))
     lines = F.filter(F.split("body", "\n"), lambda x: F.length(F.trim(F.translate(x, SPACES[1:], " " * 5))) > 0)
     out = body.withColumn("w", words(F.col("body"))).withColumn("lines", lines)
     out = (out.withColumn("n_words", F.size("w").cast("long"))
@@ -108,10 +112,13 @@ def limits(measured: DataFrame, k: int = SKETCH_K) -> DataFrame:
                                            "source": F.lit(None).cast("string"), "level": F.lit(2)})]
     sketches = levels[0].unionByName(levels[1]).unionByName(levels[2])
     out = ["level", "lang", "source", "n"]
-    for m, (reach, least, _) in RULES.items():
-        q1, q3 = (F.kll_sketch_get_quantile_double(m, F.lit(q)) for q in (0.25, 0.75))
-        step = F.greatest((q3 - q1) * reach, F.lit(least))
-        out += [(q3 + step).alias(f"{m}_max"), (q1 - step).alias(f"{m}_min")]
+    for m, (upper, lower, least) in RULES.items():
+        middle = F.kll_sketch_get_quantile_double(m, F.lit(0.5))
+        high = F.kll_sketch_get_quantile_double(m, F.lit(upper))
+        out += [F.greatest(high, middle + least).alias(f"{m}_max"), (high < middle + least).alias(f"{m}_guarded")]
+        if lower is not None:
+            low = F.kll_sketch_get_quantile_double(m, F.lit(lower))
+            out += [F.least(low, middle - least).alias(f"{m}_min")]
     return sketches.select(*out)
 
 
@@ -119,7 +126,7 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The measures with ``base_failed`` and ``kept``."""
     measured = stored(measures(docs), "quality-measures")  # a few numbers per row; read by both passes
     table = stored(limits(measured), "quality-limits")
-    bounds = [c for m in RULES for c in (f"{m}_max", f"{m}_min")]
+    bounds = [c for m, (_, lower, _) in RULES.items() for c in (f"{m}_max", *([f"{m}_min"] if lower is not None else []))]
 
     def level(k: int, keys: list[str]) -> DataFrame:
         names = [F.col(c).alias(f"{c}_{k}") for c in ("n", *bounds)]
@@ -138,9 +145,9 @@ def judge(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     joined = measured.join(resolved, F.col("lang").eqNullSafe(F.col("_lang"))
                            & F.col("source").eqNullSafe(F.col("_source")), "left")
     fine = F.lit(True)
-    for m, (_, _, lower) in RULES.items():
+    for m, (_, lower, _) in RULES.items():
         fine = fine & (F.col(m) <= F.col(f"{m}_max"))
-        if lower:
+        if lower is not None:
             fine = fine & (F.col(m) >= F.col(f"{m}_min"))
     return joined.withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(fine, F.lit(True))))
 
@@ -153,22 +160,27 @@ def op5_adaptive_quality_rules(docs: DataFrame) -> DataFrame:
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that are kept, with their own columns."""
     columns = docs.columns
-    keep = judge(docs).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").select(*columns)
+    keep = judge(docs).filter("kept").select(F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_text")).distinct()
+    mine = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.xxhash64("text") == F.col("_text"))
+    return docs.join(keep, mine, "left_semi").select(*columns)
 
 
 def oracle_sql() -> str:
     """Exact quantiles instead of sketches (equal while a group is within a sketch's exact size)."""
-    word, q = r"'[^\x20\x09-\x0D]+'", {"q1": 0.25, "q3": 0.75}
-    picks = ", ".join(f"(list_sort(list({m})))[CAST(greatest(1, ceil({p} * count(*))) AS INTEGER)] AS {m}_{name}"
-                      for m in RULES for name, p in q.items())
-    bounds = ", ".join(
-        f"{m}_q3 + greatest({reach} * ({m}_q3 - {m}_q1), {least}) AS {m}_max, "
-        f"{m}_q1 - greatest({reach} * ({m}_q3 - {m}_q1), {least}) AS {m}_min" for m, (reach, least, _) in RULES.items())
+    word = r"'[^\x20\x09-\x0D]+'"
+
+    def pick(m, p):  # the ranks that sketches use
+        return f"(list_sort(list({m})))[CAST(greatest(1, ceil(round({p} * count(*), 6))) AS INTEGER)]"
+
+    picks = ", ".join(f"{pick(m, p)} AS {m}_{e}" for m, (upper, lower, _) in RULES.items()
+                      for e, p in (("high", upper), ("mid", 0.5), ("low", lower)) if p is not None)
+    ends = [(m, e) for m, (_, lower, _) in RULES.items() for e in ("max", "min") if e == "max" or lower is not None]
+    least = {m: rule[2] for m, rule in RULES.items()}
+    bounds = ", ".join(f"greatest({m}_high, {m}_mid + {least[m]}) AS {m}_max" if e == "max"
+                       else f"least({m}_low, {m}_mid - {least[m]}) AS {m}_min" for m, e in ends)
     chosen = {f"{m}_{e}": f"CASE WHEN g.n >= {MIN_GROUP} THEN g.{m}_{e} WHEN l.n >= {MIN_GROUP} THEN l.{m}_{e} ELSE a.{m}_{e} END"
-              for m in RULES for e in ("max", "min")}
-    verdict = " AND ".join([f"m.{m} <= {chosen[f'{m}_max']}" for m in RULES]
-                           + [f"m.{m} >= {chosen[f'{m}_min']}" for m, (_, _, lower) in RULES.items() if lower])
+              for m, e in ends}
+    verdict = " AND ".join(f"m.{m} {'<=' if e == 'max' else '>='} {chosen[f'{m}_{e}']}" for m, e in ends)
     symbols = " + ".join(f"(length(body) - length(replace(body, '{c}', '')))" for c in SYMBOLS)
     return f"""
 WITH docs AS (

@@ -18,7 +18,8 @@ scoring runs over whole texts, and a worker compresses each distinct window once
 
 Defined results: null and empty texts have no windows and get the curve's value for no
 evidence; with labels of one class only, every score is that class's share; repeated rows score
-alike; an empty table gives no rows; labels, language and source are never inputs of a score.
+alike; a null doc_id is not held out; ids labelled both 0 and 1 are not learnt from; an empty table gives
+no rows; other columns, labels, language and source are never inputs of a score.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -193,18 +194,25 @@ def fit(rows: list[tuple[str | None, int]], width: int = WINDOW_WORDS) -> Model:
     return Model(*dictionaries(sets[1], sets[0]), weights, _logistic(x, y))
 
 
+def held_out(doc_id: Column) -> Column:
+    """Whether a document's label is never learnt from (a row without doc_id: no, it has no label)."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
+
+
 def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, text_bytes: int
                    ) -> list[tuple[str | None, int]]:
     """(text, label) of at most ``per_class`` rows of each label and ``text_bytes`` in all.
 
     Only rows whose crc32(doc_id as text) mod 3 is not 1 are learnt from; those whose ids hash lowest
-    are taken.  The ids are chosen from the labels alone, so at most twice ``per_class`` ids are broadcast to
+    are taken; ids labelled both ways are left out.  The ids are chosen from the labels alone, so at most twice ``per_class`` ids are broadcast to
     find their texts and no text is shuffled but theirs.  A text that does not fit into what is left of its
     class's half is skipped; only the texts that are taken reach the driver.  Where no text with characters
     fits, the first one's start is taken, so that no class goes without.
     """
     rows = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).dropna()
-            .filter((F.crc32(F.col("_id").cast("string")) % 3 != 1) & F.col("label").isin(0, 1)))
+            .filter(~held_out(F.col("_id")) & F.col("label").isin(0, 1))
+            .groupBy("_id").agg(F.min("label").alias("label"), F.max("label").alias("_most"))
+            .filter("label = _most").drop("_most"))
     lowest = [rows.filter(F.col("label") == k).orderBy(F.xxhash64("_id"), "_id").limit(per_class) for k in (0, 1)]
     chosen = F.broadcast(lowest[0].unionByName(lowest[1]).dropDuplicates(["_id"]))
     found = stored(docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"))
@@ -239,7 +247,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS
             yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 3 == 1).alias("held_out"), "score",
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
                          F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
