@@ -264,7 +264,7 @@ def test_quality_limits_follow_the_group(spark):
     add(10, "prose", plain + " $$$")        # unusual here ...
     add(100, "code", plain + " $$$")        # ... usual here
     add(99, "small", plain + " $$$")        # below MIN_GROUP: judged by the language
-    add(1, "small", plain + " $$$ $$$ $$$ $$$ $$$ $$$ $$$ $$$")
+    add(1, "small", plain + " $$$ #### %%%% &&& ***** ||||| <<<< >>>>")
     docs = spark.createDataFrame(rows[:-1] + rows[-1:], SCHEMA)
     out = {r["doc_id"]: r["kept"] for r in quality_rules.op5_adaptive_quality_rules(docs).collect()}
     assert all(out[i] for i in range(190)) and all(out[i] for i in range(200, 300))
