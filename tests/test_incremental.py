@@ -267,3 +267,29 @@ def test_old_versions_are_folded(spark, tmp_root):
     assert not files.path_exists(spark, f"{tmp_root}/manifests/v=3.json")
     # readers of the version before still find their files
     assert store.partial("base", store.manifests.read(4)).agg(F.sum("total_passengers")).first()[0] == 6
+
+
+def test_signed_corrections_equal_a_recomputation(spark, tmp_root):
+    star = small_star(spark)
+    fact = "entry_exit_id bigint, station_id int, date_id int, total_entry_exit bigint"
+    store = inc.MartStore(spark, tmp_root)
+    with pytest.raises(ValueError):
+        store.correct(star.with_fact(star.fact.withColumn("sign", F.lit(1))))
+    store.load(star)
+    # 1 corrected, 3 withdrawn, 5 measured at last, 8 (undated) moved to a date, 9 new; 10 belongs to a year to come
+    rows = [(1, 1, 100, 10, -1), (1, 1, 100, 15, 1), (3, 2, 100, 5, -1), (5, 4, 200, None, -1), (5, 4, 200, 6, 1),
+            (8, 1, 999, 1, -1), (8, 1, 101, 1, 1), (9, 2, 200, 50, 1), (10, 1, 300, 99, 1)]
+    dates = star.dates.unionByName(spark.createDataFrame([(300, 2022, 1)], "date_id int, year int, quarter int"))
+    store.correct(replace(star, fact=spark.createDataFrame(rows, fact + ", sign int"), dates=dates))
+    now = [(1, 1, 100, 15), (2, 1, 200, 20), (4, 3, 101, 7), (5, 4, 200, 6), (6, 4, 101, 3), (7, 9, 100, 100), (8, 1, 101, 1),
+           (9, 2, 200, 50)]
+    corrected = star.with_fact(spark.createDataFrame(now, fact))
+    assert store_marts(store) == recompute(corrected)
+    # a station leaves a line and joins another: all facts count by the new bridge
+    bridge = spark.createDataFrame([(1, 11), (2, 11), (2, 12), (3, 11), (4, 10)], "station_id int, line_id int")
+    store.rebridge(replace(star, bridge=bridge))
+    assert as_set(store.mart("passengers_by_line")) == as_set(marts.mart(replace(corrected, bridge=bridge), "passengers_by_line"))
+    assert as_set(store.mart("busiest_stations")) == as_set(marts.mart(corrected, "busiest_stations"))
+    # a year loaded again replaces its partials and their corrections
+    store.load(star, reload=True)
+    assert {r["year"]: r["total_passengers"] for r in store.mart("passengers_by_year").collect()} == {2020: 125, 2021: 20}

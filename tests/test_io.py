@@ -124,3 +124,35 @@ def test_json_messages_roundtrip(spark):
     df = spark.createDataFrame([("a", 1, None)], "id string, n int, z string")
     out = messages.as_json_messages(df, key="id").collect()[0]
     assert bytes(out["value"]).decode() == '{"id":"a","n":1}' and bytes(out["key"]).decode() == "a"
+
+
+def test_types_are_inferred_with_the_null_token(spark, tmp_root):
+    """Each dialect's sample rows infer to their declared types, a nullable integer included."""
+    import datetime as dt
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField(n, t) for n, t in (
+        ("id", T.IntegerType()), ("big", T.LongType()), ("quarter", T.IntegerType()), ("code", T.DoubleType()),
+        ("flag", T.BooleanType()), ("day", T.DateType()), ("at", T.TimestampType()), ("name", T.StringType()),
+        ("mixed", T.StringType()), ("empty", T.StringType()))])
+    rows = [(1, 5_000_000_000, None, 1.5, True, dt.date(2020, 1, 2), dt.datetime(2020, 1, 2, 3, 4, 5), "a, b", "12", None),
+            (-7, 3, 4, 500.0, None, None, None, "2020", "x", None), (None, None, 2, None, False, dt.date(2021, 5, 6), None, None, None, None)]
+    df = spark.createDataFrame(rows, schema)
+    for dialect in ("extract", "sample"):
+        path = f"{tmp_root}/{dialect}"
+        delimited.write_delimited(df, path, dialect)
+        assert delimited.infer_schema(spark, path, schema.names, dialect) == schema
+        read = delimited.read_inferred(spark, path, schema.names, dialect)
+        assert sorted(map(tuple, read.collect()), key=str) == sorted(rows, key=str)
+
+
+def test_rejects_name_column_and_reason(spark, tmp_root):
+    lines = ["1,Angel,2,true", "x,Bank,2,true", "3,Oval,null,null", "4,Bow,two,perhaps", "5,Short", "6,Long,1,false,extra", "null,null,null,null"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(tmp_root)
+    schema = spark.createDataFrame([], "station_id int, station_name string, network_id int, flag boolean").schema
+    good, rejects = delimited.read_with_rejects(spark, tmp_root, schema)
+    assert good.schema == schema and sorted(map(tuple, good.collect()), key=str) == sorted(
+        [(1, "Angel", 2, True), (3, "Oval", None, None), (None, None, None, None)], key=str)
+    assert {tuple(r) for r in rejects.collect()} == {
+        ("x,Bank,2,true", "station_id", "x", "not of type int"), ("4,Bow,two,perhaps", "network_id", "two", "not of type int"),
+        ("4,Bow,two,perhaps", "flag", "perhaps", "not of type boolean"),
+        ("5,Short", None, None, "wrong number of fields"), ("6,Long,1,false,extra", None, None, "wrong number of fields")}

@@ -71,7 +71,7 @@ class Manifests:
         """
         for _ in range(attempts):
             version, held = self.newest()
-            content = change(held)
+            content = change(held)  # a Conflict of its own ends the commit
             if content is None:
                 return version, held
             try:

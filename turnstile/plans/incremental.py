@@ -11,8 +11,9 @@ Store layout under ``root`` (Parquet; every folder is written once):
   bridge/load=L/                          the station-line bridge in force for the load
   dates/load=L/                           the dates of a running load
 
-Facts without a year are in the null year's folder of their load.  A manifest names, per table, the load that
-holds each year and each batch of facts without a year, the ledger's folders, and the newest interchange mart.
+Facts without a year are in the null year's folder of their load.  A manifest names, per table, the loads that
+hold each year (the load itself, then corrections of it) and each batch of facts without a year, the ledger's
+folders, and the newest interchange mart.
 
 How a load runs (the fact is scanned once):
 
@@ -34,6 +35,10 @@ loads afresh.  If another loader published first, years and batches that it proc
 reloaded) and the interchange mart is merged anew, so no fact counts twice.  ``replace`` publishes a full
 load in place of everything, in the same single step.
 
+Corrections (``correct``, ``rebridge``) are signed deltas: withdrawn rows count -1, new ones +1.  They go through the
+same aggregates and joins and are appended beside the year's partials, so a corrected year is not read or loaded
+again.  A change of facts meets the bridge in force; a change of the bridge meets the stored totals of all facts.
+
 A mart is read by summing its partials over all years (sum, counts and the measured count are additive, so the
 average stays exact).  The last two manifests stay readable; what only older ones name is removed.
 """
@@ -52,7 +57,7 @@ from ..schemas import LEDGER
 from ..sources.files import delete_path, subfolders
 from ..star import Star
 from . import periods
-from .commits import Manifests, new_id
+from .commits import Conflict, Manifests, new_id
 
 SOURCE = "fact_passenger_entry_exit"
 LOAD_KEY = "load_year"
@@ -111,7 +116,7 @@ def _folders(content: dict):
     for load, year in content.get("ledger", []):
         yield f"ledger/load={load}/processed_year={year}"
     for table, years in content.get("years", {}).items():
-        yield from (f"partials/{table}/load={load}/{LOAD_KEY}={year}" for year, load in years.items())
+        yield from (f"partials/{table}/load={load}/{LOAD_KEY}={year}" for year, loads in years.items() for load in loads)
     for table, batches in content.get("undated", {}).items():
         yield from (f"partials/{table}/load={load}/{LOAD_KEY}={NO_YEAR}" for load in batches.values())
     for table in ("interchange", "bridge"):
@@ -186,14 +191,15 @@ class MartStore:
         """A full load: the store holds this star and nothing else, from one commit to the next."""
         return self._load(star, True)
 
-    def _base(self, star: Star, load: str, held: dict, reload: bool, max_broadcast_rows: int) -> DataFrame:
-        """Both partials of the gated facts, written and read back."""
-        dated = self.gated_facts(star, load, reload, max_broadcast_rows, held)
+    def _base(self, dated: DataFrame, load: str) -> DataFrame:
+        """Both partials of gated facts, written and read back; ``sign`` says how often a fact counts."""
+        dated = dated if "sign" in dated.columns else dated.withColumn("sign", F.lit(1))
+        sign = F.col("sign").cast("long")
         base = (dated.groupingSets([[LOAD_KEY, "station_id"], [LOAD_KEY, "quarter", "_dated"]],
                                    LOAD_KEY, "station_id", "quarter", "_dated")
-                .agg(F.sum(marts.MEASURE).alias("total_passengers"),
-                     F.count("entry_exit_id").alias("num_records"),
-                     F.count(marts.MEASURE).alias("num_measured"),
+                .agg(F.sum(F.col(marts.MEASURE) * sign).cast("long").alias("total_passengers"),
+                     F.coalesce(F.sum(F.when(F.col("entry_exit_id").isNotNull(), sign)), F.lit(0)).alias("num_records"),
+                     F.coalesce(F.sum(F.when(F.col(marts.MEASURE).isNotNull(), sign)), F.lit(0)).alias("num_measured"),
                      # order-free hash of the undated facts; decimal, as sums of it pass a long
                      F.sum(F.when(F.col(LOAD_KEY).isNull(), F.xxhash64("entry_exit_id", "station_id", marts.MEASURE)
                                   .cast("decimal(20,0)"))).alias("fact_hash"),
@@ -212,7 +218,7 @@ class MartStore:
               batch: str | None = None) -> LoadResult:
         load = new_id()
         seen = {} if whole else self.manifests.newest()[1]
-        this = self._base(star, load, seen, reload, max_broadcast_rows)
+        this = self._base(self.gated_facts(star, load, reload, max_broadcast_rows, seen), load)
         totals = this.filter(F.col(LOAD_KEY).isNull()).agg(
             F.sum(F.when(F.col("grain") == "station", F.col("num_records"))).alias("n"),
             F.sum(F.pmod(F.xxhash64("grain", "station_id", "quarter", "total_passengers", "num_records", "num_measured",
@@ -232,13 +238,7 @@ class MartStore:
         bridge_path = self.path("bridge", f"load={load}")
         self._write(star.bridge.select("station_id", "line_id"), bridge_path)
         bridge = self.spark.read.parquet(bridge_path)
-        by = (LOAD_KEY,)
-        st = this.filter(F.col("grain") == "station").select(*by, "station_id", "total_passengers", "num_records", "num_measured")
-        station_marts = {
-            "busiest_stations": marts.busiest_stations(st, star.stations, by),
-            "passengers_by_line": marts.passengers_by_line(st, bridge, star.lines, by),
-            "passengers_by_network": marts.passengers_by_network(st, star.stations, star.networks, by),
-            "night_tube_analysis": marts.flag_partials(st, star.stations, flag, by)}
+        station_marts = self._station_marts(this, star, bridge, flag)
         years = this.filter(F.col(LOAD_KEY).isNotNull()).select(F.col(LOAD_KEY).cast("int").alias("year")).distinct()
         degrees = marts.interchange_stations(bridge, star.stations)
         jobs = [lambda df=df, name=name: self._write(df, self.path("partials", name, f"load={load}"), LOAD_KEY)
@@ -257,6 +257,80 @@ class MartStore:
         taken = n_undated if content["undated"].get("base", {}).get(key) == load else 0
         return LoadResult(years.filter(F.col("year").isin(mine)), version, taken)
 
+    @staticmethod
+    def _station_marts(base: DataFrame, star: Star, bridge: DataFrame, flag: str) -> dict[str, DataFrame]:
+        """The station-derived marts of base partials, per year."""
+        by = (LOAD_KEY,)
+        st = base.filter(F.col("grain") == "station").select(*by, "station_id", "total_passengers", "num_records", "num_measured")
+        return {"busiest_stations": marts.busiest_stations(st, star.stations, by),
+                "passengers_by_line": marts.passengers_by_line(st, bridge, star.lines, by),
+                "passengers_by_network": marts.passengers_by_network(st, star.stations, star.networks, by),
+                "night_tube_analysis": marts.flag_partials(st, star.stations, flag, by)}
+
+    # -- corrections -------------------------------------------------------------
+    def correct(self, star: Star, flag: str = "has_night_tube") -> int:
+        """Apply the signed facts of ``star`` (column sign: -1 withdrawn, 1 added) to processed years.
+
+        A corrected fact is its old row with -1 and its new row with 1.  Facts of years that the store has not
+        processed are left out, as the load to come will bring them.  Lines count by the bridge in force.
+        """
+        load = new_id()
+        _, seen = self.manifests.newest()
+        if not seen.get("bridge"):
+            raise ValueError(f"{self.root} holds no load to correct")
+        done = self.processed_years(seen).select(F.col("year").alias(LOAD_KEY))
+        dates = star.dates.filter("date_id IS NOT NULL").groupBy("date_id").agg(
+            F.min(F.struct(F.col("year").cast("int").alias(LOAD_KEY), F.col("quarter").cast("int").alias("quarter"))).alias("d"))
+        known = dates.select("date_id", "d.*", F.lit(True).alias("_dated"))
+        dated = joins.join_bounded(star.fact, known, "date_id", "left")
+        dated = dated.join(done.withColumn("_in", F.lit(True)), LOAD_KEY, "left").filter(
+            F.col(LOAD_KEY).isNull() | F.col("_in")).drop("_in")
+        base = self._base(dated, load)
+        bridge = self.spark.read.parquet(self.path("bridge", f"load={seen['bridge']}"))
+        for name, df in self._station_marts(base, star, bridge, flag).items():
+            self._write(df, self.path("partials", name, f"load={load}"), LOAD_KEY)
+        return self._append(load, seen, self.TABLES)
+
+    def rebridge(self, star: Star) -> int:
+        """Make ``star.bridge`` the bridge in force: its signed change from the old one meets the totals of all facts."""
+        load = new_id()
+        _, seen = self.manifests.newest()
+        base = self.partial("base", seen)
+        if base is None:
+            raise ValueError(f"{self.root} holds no load to correct")
+        path = self.path("bridge", f"load={load}")
+        self._write(star.bridge.select("station_id", "line_id"), path)
+        old = self.spark.read.parquet(self.path("bridge", f"load={seen['bridge']}"))
+        change = (self.spark.read.parquet(path).withColumn("sign", F.lit(1)).unionByName(old.withColumn("sign", F.lit(-1)))
+                  .groupBy("station_id", "line_id").agg(F.sum("sign").alias("sign")).filter("sign <> 0"))
+        totals = base.filter(F.col("grain") == "station").groupBy(LOAD_KEY, "station_id").agg(
+            F.sum("total_passengers").alias("total_passengers"))
+        delta = (totals.join(change, "station_id").groupBy(LOAD_KEY, "line_id")
+                 .agg(F.sum(F.col("total_passengers") * F.col("sign")).alias("total_passengers"))
+                 .join(star.lines.select("line_id", "line_name"), "line_id").groupBy(LOAD_KEY, "line_name")
+                 .agg(F.sum("total_passengers").alias("total_passengers")))
+        self._write(delta, self.path("partials", "passengers_by_line", f"load={load}"), LOAD_KEY)
+        return self._append(load, seen, ["passengers_by_line"], load)
+
+    def _append(self, load: str, seen: dict, tables, bridge: str | None = None) -> int:
+        """Publish signed partials beside those they correct."""
+        written = {t: self._years_of("partials", t, load) for t in tables}
+
+        def change(held: dict) -> dict:
+            if held != seen:
+                raise Conflict(f"{self.root} was loaded meanwhile; correct it again")
+            out = {**held, "years": {t: {y: list(loads) for y, loads in v.items()} for t, v in held["years"].items()},
+                   "undated": {t: dict(v) for t, v in held["undated"].items()}, "bridge": bridge or held["bridge"]}
+            for table, found in written.items():
+                for year in found:
+                    if year == NO_YEAR:
+                        out["undated"].setdefault(table, {})[f"correction-{load}"] = load
+                    else:
+                        out["years"].setdefault(table, {}).setdefault(year, []).append(load)
+            return out
+
+        return self.manifests.commit(change)[0]
+
     def _years_of(self, *parts: str) -> list[str]:
         """The partitions that a load wrote of a table, by name."""
         *table, load = parts
@@ -266,7 +340,7 @@ class MartStore:
                  clear_years, key: str, replaces: bool) -> dict:
         """The manifest after this load, on top of ``held`` (``seen``: what the load was computed against)."""
         held = {} if whole else held
-        out = {"years": {t: dict(v) for t, v in held.get("years", {}).items()},
+        out = {"years": {t: {y: list(loads) for y, loads in v.items()} for t, v in held.get("years", {}).items()},
                "undated": {t: dict(v) for t, v in held.get("undated", {}).items()},
                "ledger": list(held.get("ledger", [])), "bridge": load}
         for years in out["years"].values():
@@ -282,7 +356,7 @@ class MartStore:
             for year in mine:
                 out["years"].setdefault(table, {}).pop(year, None)
                 if year in found:
-                    out["years"][table][year] = load
+                    out["years"][table][year] = [load]
             if undated:
                 out["undated"].setdefault(table, {}).pop(key, None)
                 if NO_YEAR in found:

@@ -371,6 +371,42 @@ def semi_join_reduced(spark, sf_dir):
     return joins.join_bounded(facts, orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi", max_rows=0)
 
 
+_CORRECTED = f"""
+corrected AS (
+  SELECT entry_exit_id, station_id, date_id, total_entry_exit + CASE WHEN entry_exit_id % 7 = 0 THEN 5 ELSE 0 END AS total_entry_exit
+  FROM fact WHERE entry_exit_id % 11 <> 0)"""
+
+
+@register("incr_corrected_facts", f"""WITH {oracle.star_cte()},{_CORRECTED},
+inc_bridge AS (
+  SELECT l_suppkey AS station_id, {oracle.LINE} AS line_id FROM lineitem JOIN part ON l_partkey = p_partkey
+  WHERE l_shipdate >= TIMESTAMP '{adapters.INCREMENT_YEAR}-01-01 00:00:00'
+  GROUP BY ALL HAVING count(*) >= {adapters.BRIDGE_SERVICES})
+SELECT 'busiest_stations' AS gold_table, station_name AS label, CAST(sum(total_entry_exit) AS BIGINT) AS total_passengers
+FROM corrected JOIN stations USING (station_id) GROUP BY ALL
+UNION ALL SELECT 'passengers_by_year', CAST(year AS VARCHAR), CAST(sum(total_entry_exit) AS BIGINT)
+FROM corrected JOIN dates USING (date_id) GROUP BY ALL
+UNION ALL SELECT 'passengers_by_line', line_name, CAST(sum(total_entry_exit) AS BIGINT)
+FROM corrected JOIN inc_bridge USING (station_id) JOIN lines USING (line_id) GROUP BY ALL""")
+def incr_corrected_facts(spark, sf_dir):
+    """Facts corrected and withdrawn after their years were loaded, and a new bridge for all of them, as signed
+    deltas: the marts of a recomputation, without a year loaded again (I5, A7)."""
+    star = adapters.test_star(spark, sf_dir)
+    store = inc.MartStore(spark, scratch_dir(spark, "corrected"))
+    store.load(star)
+    gone = F.col("entry_exit_id") % 11 == 0
+    changed = (F.col("entry_exit_id") % 7 == 0) & ~gone
+    old = star.fact.filter(gone | changed).withColumn("sign", F.lit(-1))
+    new = star.fact.filter(changed).withColumns({"total_entry_exit": F.col("total_entry_exit") + 5, "sign": F.lit(1)})
+    store.correct(star.with_fact(old.unionByName(new)))
+    later = adapters.increment_star(spark, sf_dir)
+    store.rebridge(later)
+    keys = {"busiest_stations": "station_name", "passengers_by_year": "year", "passengers_by_line": "line_name"}
+    parts = [store.mart(m).select(F.lit(m).alias("gold_table"), F.col(k).cast("string").alias("label"), "total_passengers")
+             for m, k in keys.items()]
+    return reduce(DataFrame.unionByName, parts).filter("NOT (gold_table = 'passengers_by_line' AND total_passengers = 0)")
+
+
 @register("full_reload_replaces", oracle.mart_sql("busiest_stations", **oracle.FULL))
 def full_reload_replaces(spark, sf_dir):
     """A full load over a store that held more years leaves only its own rows (K1)."""
@@ -467,6 +503,61 @@ def csv_null_token_roundtrip(spark, sf_dir):
     return read
 
 
+def _inferred_sql() -> str:
+    columns = {"fact": {"entry_exit_id": "number", "station_id": "number", "date_id": "number", "total_entry_exit": "number"},
+               "dates": {"date_id": "number", "year": "number", "quarter": "number"},
+               "stations": {"station_id": "number", "station_name": "string", "network_id": "number", "has_night_tube": "boolean"},
+               "networks": {"network_id": "number", "network_name": "string", "network_type": "string"},
+               "lines": {"line_id": "string", "line_name": "string"}, "bridge": {"station_id": "number", "line_id": "string"}}
+    # a period's last month has no quarter yet
+    number = "CASE WHEN max({c}) > 2147483647 THEN 'bigint' ELSE 'int' END"
+    parts = [f"SELECT '{t}' AS table_name, '{c}' AS column_name, {number.format(c=c) if k == 'number' else repr(k)} AS type, "
+             f"count(*) - count({c}) AS nulls FROM {t if t != 'dates' else 'open_dates'}"
+             for t, cs in columns.items() for c, k in cs.items()]
+    return (f"WITH {oracle.star_cte()},\nopen_dates AS (SELECT date_id, year, "
+            "CASE WHEN date_id // 100 % 100 < 12 THEN quarter END AS quarter FROM dates)\n" + "\nUNION ALL\n".join(parts))
+
+
+@register("infer_star_types", _inferred_sql())
+def infer_star_types(spark, sf_dir):
+    """The star written as header-less text with the null token, read back with inferred types: each column's type
+    and nulls, a nullable integer (quarter) included (S1, P8)."""
+    star = adapters.test_star(spark, sf_dir)
+    root, out = scratch_dir(spark, "inferred"), []
+    months = F.floor(F.col("date_id") / 100) % 100
+    tables = {"fact": star.fact, "stations": star.stations, "networks": star.networks, "lines": star.lines,
+              "bridge": star.bridge, "dates": star.dates.select("date_id", "year", F.when(months < 12, F.col("quarter")).alias("quarter"))}
+    for name, df in tables.items():
+        delimited.write_delimited(df, f"{root}/{name}", "extract")
+        read = delimited.read_inferred(spark, f"{root}/{name}", df.columns)
+        nulls = read.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+        out.append(nulls.select(F.explode(F.array(*[F.struct(
+            F.lit(name).alias("table_name"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("type"),
+            F.col(f.name).alias("nulls")) for f in read.schema.fields])).alias("r")).select("r.*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("csv_rejects", """
+WITH s AS (SELECT CAST(s_suppkey AS VARCHAR) AS id, s_suppkey % 10 AS k, s_name, CAST(s_nationkey AS VARCHAR) AS net,
+                  CASE WHEN s_acctbal > 0 THEN 'true' ELSE 'false' END AS flag FROM supplier)
+SELECT id || ',' || s_name || ',n/a,' || flag AS row_text, 'network_id' AS column_name, 'n/a' AS value,
+       'not of type int' AS reason FROM s WHERE k = 3
+UNION ALL SELECT id || ',' || s_name || ',' || net || ',maybe', 'has_night_tube', 'maybe', 'not of type boolean' FROM s WHERE k = 7
+UNION ALL SELECT id || ',' || s_name || ',' || net || ',' || flag || ',x', NULL, NULL, 'wrong number of fields' FROM s WHERE k = 9""")
+def csv_rejects(spark, sf_dir):
+    """Text in which some lines do not fit: every bad cell with its column and reason; the good rows load."""
+    st = adapters.stations_from_supplier(adapters.table(spark, sf_dir, "supplier"))
+    k, path = F.col("station_id") % 10, scratch_dir(spark, "rejects")
+    cells = [F.col("station_id").cast("string"), F.col("station_name"),
+             F.when(k == 3, F.lit("n/a")).otherwise(F.col("network_id").cast("string")),
+             F.when(k == 7, F.lit("maybe")).otherwise(F.col("has_night_tube").cast("string")), F.when(k == 9, F.lit("x"))]
+    st.select(F.concat_ws(",", *cells)).write.text(path)
+    schema = "station_id int, station_name string, network_id int, has_night_tube boolean"
+    good, rejects = delimited.read_with_rejects(spark, path, spark.createDataFrame([], schema).schema)
+    good.write.parquet(f"{path}-good")
+    return rejects
+
+
 @register("partitioned_events_pruned", oracle.messages_sql(
     "SELECT lineName, arrival_date, COUNT(*) AS record_count FROM dedup GROUP BY lineName, arrival_date"))
 def partitioned_events_pruned(spark, sf_dir):
