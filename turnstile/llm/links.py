@@ -44,7 +44,7 @@ BROADCAST_KEYS = 1 << 20
 #: tokens that the hosts of one cell hold
 CELL_TOKENS = 1 << 21
 #: pairs that a task compares at a time
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 
 _CELLS = ["cell", "rep", "n", "sketch", "radius", "group", "block", "lone", "place", "marks"]
 

@@ -33,7 +33,9 @@ from .wordhash import slices
 CAPACITY = 1024
 END_ID = 2
 #: distinct chunks whose ids a worker remembers (about 60 bytes each); beyond it, it starts afresh
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 400_000
+#: text bytes that are encoded at a time, which bounds the arrays a task holds
+SLICE_BYTES = 2 << 20
 #: chunks that are strung together
 STRING = 2000
 #: numbers that one range cell of a length covers when pieces look up their bin
@@ -169,7 +171,7 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_
         encoder = encoder_of(path)
         end = np.array([END_ID], "<u4")
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE_BYTES):
                 ids, at = encoder.encoded(part.column("text"))
                 # the end token after every text
                 ids = np.insert(ids, at[1:], end)
@@ -184,6 +186,7 @@ def tokenised_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, keep_
                 types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(cols, types)], names=names)
+            pa.default_memory_pool().release_unused()
 
     schema = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary"
     return rows.mapInArrow(cut, schema).withColumn("rid", F.monotonically_increasing_id())
