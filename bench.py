@@ -4,8 +4,8 @@
 
 Each query's result is fully computed with the ``noop`` sink (no driver
 collect).  Queries that load a store or stream a topic include that work;
-their per-process caches are cleared before every run.  The ``keyed_store_*`` queries read
-a stored log, which is built before their time starts; ``with_building`` gives their time with it.
+their per-process caches are cleared before every run.  The queries of the arrival feed read a
+topic, which is written before their time starts; ``with_building`` gives their time with it.
 Every query runs ``BENCH_RUNS`` times (default 2) after a warm-up, and the best time counts.
 """
 
@@ -23,12 +23,12 @@ from turnstile.session import build_session  # noqa: E402
 
 
 def run(spark, sf_dir: str, name: str) -> tuple[float, float]:
-    """Seconds of the query, and with the building of the stored log that it reads."""
+    """Seconds of the query, and with the writing of the topic that it reads."""
     for cache in (registry._STORES, registry._MSG_FILES, registry._UNDATED, registry._KEYED):
         cache.clear()
     start = t0 = time.perf_counter()
-    if name.startswith("keyed_store_"):
-        registry._keyed_store(spark, sf_dir)
+    if name in registry.FEED:
+        registry._message_files(spark, sf_dir)
         t0 = time.perf_counter()
     registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     end = time.perf_counter()
@@ -52,7 +52,7 @@ def main() -> None:
     for name in names:
         taken = [run(spark, sf_dir, name) for _ in range(max(1, runs))]
         timings[name] = round(min(t for t, _ in taken), 3)
-        if name.startswith("keyed_store_"):
+        if name in registry.FEED:
             building[name] = round(min(t for _, t in taken), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({

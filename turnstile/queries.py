@@ -93,9 +93,13 @@ def mart_row_counts(spark, sf_dir):
 # ---------------------------------------------------------------- arrival feed
 
 
+def _topic(spark, sf_dir):
+    """The topic's messages."""
+    return messages.envelope_files(spark, _message_files(spark, sf_dir))
+
+
 def _parsed(spark, sf_dir):
-    """The topic's messages, parsed."""
-    return ev.parse_arrivals(messages.envelope_files(spark, _message_files(spark, sf_dir)))
+    return ev.parse_arrivals(_topic(spark, sf_dir))
 
 
 def _valid(spark, sf_dir):
@@ -564,7 +568,7 @@ def partitioned_events_pruned(spark, sf_dir):
     """Backlog load written by (lineName, arrival_date), exposed as a partitioned external
     table after partition discovery, counted per partition (K2, C5, V2)."""
     root = scratch_dir(spark, "backlog")
-    backlog.load_backlog(adapters.arrival_messages(spark, sf_dir), f"{root}/arrivals",
+    backlog.load_backlog(_topic(spark, sf_dir), f"{root}/arrivals",
                          quarantine_out=f"{root}/quarantine")
     db = _db_name("feed")
     catalog.create_database(spark, db, use=False)
@@ -585,7 +589,7 @@ SELECT COUNT(*) AS raw_records, COUNT(*) FILTER (WHERE NOT bad) AS valid_records
 def backlog_reconciliation(spark, sf_dir):
     """The backlog load's own counts beside the rows of its table and of its quarantine (V1, K2)."""
     root = scratch_dir(spark, "backlog")
-    n = backlog.load_backlog(adapters.arrival_messages(spark, sf_dir), f"{root}/arrivals", f"{root}/quarantine")
+    n = backlog.load_backlog(_topic(spark, sf_dir), f"{root}/arrivals", f"{root}/quarantine")
     counted = {"raw_records": n.raw, "valid_records": n.valid, "quarantined_records": n.quarantined,
                "deduplicated_records": n.deduplicated}
     table = spark.read.parquet(f"{root}/arrivals").agg(F.count(F.lit(1)).alias("table_rows"))
@@ -751,7 +755,7 @@ def stream_keyed_restart(spark, sf_dir):
     """One store fed by two queries: the first half of the topic, then the other half by a query whose
     checkpoint (same path) was lost.  No key of the first is lost (K6, T7)."""
     root = scratch_dir(spark, "stream-restart")
-    sent = messages.envelope_files(spark, _message_files(spark, sf_dir))
+    sent = _topic(spark, sf_dir)
     for name, part in (("first", sent.filter("partition < 2")), ("second", sent.filter("partition >= 2"))):
         part.write.partitionBy("partition").parquet(f"{root}/{name}")
         _upsert(spark, f"{root}/{name}", root)
@@ -763,7 +767,7 @@ def stream_keyed_restart(spark, sf_dir):
 @register("topic_message_count", "SELECT COUNT(*) AS total_records FROM events")
 def topic_message_count(spark, sf_dir):
     """Messages on the topic (V5): a count over the bounded envelope scan."""
-    return adapters.arrival_messages(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_records"))
+    return _topic(spark, sf_dir).agg(F.count(F.lit(1)).alias("total_records"))
 
 
 @register("keyed_store_count", oracle.messages_sql(f"""
@@ -842,3 +846,8 @@ def increment_job_from_text(spark, sf_dir):
     jobs.run_full(spark, f"{root}/full", f"{root}/store", schemas=schemas)
     jobs.run_increment(spark, f"{root}/inc", f"{root}/full", f"{root}/store", schemas=schemas)
     return inc.MartStore(spark, f"{root}/store").mart("busiest_stations")
+
+
+#: queries that read the topic, which is written once before them
+FEED = {name for name, sql in ORACLE.items() if oracle.MESSAGES_CTE in sql} | {
+    "stream_output_table_count", "stream_timed_run", "topic_message_count"}
