@@ -33,9 +33,9 @@ from .wordhash import slices
 CAPACITY = 1024
 END_ID = 2
 #: distinct chunks whose ids a worker remembers (about 60 bytes each); beyond it, it starts afresh
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 #: text bytes that are encoded at a time, which bounds the arrays a task holds
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 4 << 20
 #: chunks that are strung together
 STRING = 2000
 #: numbers that one range cell of a length covers when pieces look up their bin
