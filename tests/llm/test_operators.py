@@ -60,7 +60,7 @@ def test_word_hashes_follow_words():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     cur = con.execute(queries.ORACLE[name])
     columns = sorted(d[0] for d in cur.description)
