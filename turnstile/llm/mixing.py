@@ -5,15 +5,18 @@
 2. Targets: sources share the total by weight; a source is never used more than
    ``max_epochs`` times, and what it cannot take is shared among the others.
 3. The output is a row of slots, ``shard_slots`` to a shard.  Each slot draws its
-   source, so a shard's counts per source are multinomial.  Slots that overshoot
-   a source's quota are dealt to the sources that fell short, so the totals are exact.
+   source with the quotas as weights, so a shard's counts per source are multinomial, and
+   so are the totals: a source's words spread around its target by about the square root
+   of its slots.  Only slots beyond a source's last epoch are moved, to the sources that
+   drew fewest of their quota's slots in the order of their numbers.
 4. The i-th slot of a source takes block perm(i mod blocks) of epoch i div blocks.
    The permutation is a swap-or-not shuffle keyed by source and epoch: a bijection on
    any number of blocks, computed per slot without sorting the source.
 5. Slots and blocks meet in a join on (source, block).
 
-Everything is DataFrame functions.  Windows run over buckets, shards or sources,
-never over a whole source's documents.
+Everything is DataFrame functions.  Windows run over buckets, shards or groups of shards,
+never over a whole source's documents; those over the table of sources hold one row per
+source, so the sources must be few enough to sort in one task.
 
 Defined results: a null text has no words; a null source is a source of its own
 and sorts last; documents without words are taken 0 times; repeated rows are
@@ -28,15 +31,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_offsets, buckets_for, digest_number, order_bucket, stored, words
+from .common import bucket_offsets, buckets_for, digest_number, stored, words
 
 SEED = "mix-1"
 ROUNDS = 12
-BLOCK_WORDS = 64
-SHARD_SLOTS = 65536
-#: cells that the unit interval is cut into, so that a draw finds its source by an equi-join
+#: short blocks keep a source's words near its target: the spread falls with the root of the slots
+BLOCK_WORDS = 32
+SHARD_SLOTS = 4096
+#: shards whose starts are summed in one window
+GROUP_SHARDS = 4096
+#: cells that the row of quotas is cut into, so that a draw finds its source by an equi-join
 DRAW_CELLS = 4096
-UNIT = float(2 ** 52)
 
 
 @dataclass
@@ -82,51 +87,67 @@ def _running(column: str, order: str) -> Column:
     return F.coalesce(F.sum(column).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def draw_slots(sources: DataFrame, total_slots: int, shard_slots: int) -> DataFrame:
-    """slot, shard, sid, i: every slot with its source and its index within that source."""
-    spark = sources.sparkSession
-    share = sources.filter("quota > 0").select(
-        "sid", "quota", (_running("quota", "sid") / F.lit(float(total_slots))).alias("lo"),
-        ((_running("quota", "sid") + F.col("quota")) / F.lit(float(total_slots))).alias("hi"))
-    cells = share.withColumn("cell", F.explode(F.sequence(
-        F.floor(F.col("lo") * DRAW_CELLS), F.least(F.floor(F.col("hi") * DRAW_CELLS), F.lit(DRAW_CELLS)))))
-    draws = (spark.range(total_slots).withColumnRenamed("id", "slot")
-             .withColumn("u", digest_number(F.lit(SEED), F.lit("draw"), F.col("slot")) / F.lit(UNIT))
-             .withColumn("cell", F.floor(F.col("u") * DRAW_CELLS))
+def _shard_starts(counts: DataFrame) -> DataFrame:
+    """sid, shard, start: a source's slots in earlier shards, summed by groups of shards and inside them."""
+    grouped = counts.withColumn("group", F.floor(F.col("shard") / F.lit(GROUP_SHARDS)))
+    before = bucket_offsets(grouped.groupBy("sid", "group").agg(F.sum("n").alias("n")), ["sid"], "group", "n", "before")
+    inside = bucket_offsets(grouped, ["sid", "group"], "shard", "n", "inside")
+    return inside.join(before, ["sid", "group"]).select("sid", "shard", (F.col("before") + F.col("inside")).alias("start"))
+
+
+def draw_slots(sources: DataFrame, total_slots: int, shard_slots: int, max_epochs: int) -> DataFrame:
+    """slot, shard, sid, i: every slot with its source and its index within that source.
+
+    A draw is a place in the row of all quotas.  Slots past a source's cap are moved; sources
+    short of their quota have room for all of them, as draws and quotas have the same total.
+    """
+    width = max(1, -(-total_slots // DRAW_CELLS))
+    share = sources.filter("quota > 0").withColumn("lo", _running("quota", "sid")) \
+        .withColumn("hi", F.col("lo") + F.col("quota"))
+    cells = share.select("sid", "lo", "hi", F.explode(F.sequence(
+        F.floor(F.col("lo") / F.lit(width)), F.floor((F.col("hi") - 1) / F.lit(width)))).alias("cell"))
+    draws = (sources.sparkSession.range(total_slots).withColumnRenamed("id", "slot")
+             .withColumn("place", digest_number(F.lit(SEED), F.lit("draw"), F.col("slot")) % F.lit(max(1, total_slots)))
+             .withColumn("cell", F.floor(F.col("place") / F.lit(width)))
              .withColumn("shard", F.floor(F.col("slot") / F.lit(shard_slots))))
-    drawn = draws.join(cells, "cell").filter("u >= lo AND u < hi").select("slot", "shard", "sid", "quota")
+    drawn = draws.join(cells, "cell").filter("place >= lo AND place < hi").select("slot", "shard", "sid")
     # multinomial counts per shard and source, and where each shard's run of a source starts
-    counts = drawn.groupBy("sid", "shard").agg(F.count(F.lit(1)).alias("n"))
-    starts = bucket_offsets(counts, ["sid"], "shard", "n", "start")
+    starts = _shard_starts(drawn.groupBy("sid", "shard").agg(F.count(F.lit(1)).alias("n")))
     inside = Window.partitionBy("sid", "shard").orderBy("slot")
     placed = (drawn.join(starts, ["sid", "shard"])
               .withColumn("i", F.col("start") + F.row_number().over(inside) - 1).drop("start"))
     placed = stored(placed, "mix-slots")
-    # slots beyond a source's quota go to the sources that drew too few
     took = placed.groupBy("sid").agg(F.count(F.lit(1)).alias("drawn"))
-    balance = (sources.filter("quota > 0").select("sid", "quota").join(took, "sid", "left")
+    balance = (sources.filter("quota > 0").withColumn("cap", F.col("blocks") * max_epochs)
+               .select("sid", "quota", "cap").join(took, "sid", "left")
                .withColumn("drawn", F.coalesce("drawn", F.lit(0)))
-               .withColumn("over", F.greatest(F.col("drawn") - F.col("quota"), F.lit(0)))
+               .withColumn("over", F.greatest(F.col("drawn") - F.col("cap"), F.lit(0)))
                .withColumn("short", F.greatest(F.col("quota") - F.col("drawn"), F.lit(0))))
     balance = (balance.withColumn("over_at", _running("over", "sid"))
-               .withColumn("short_at", _running("short", "sid")))
-    moved = (placed.filter("i >= quota").join(balance.select("sid", "over_at"), "sid")
-             .select("slot", "shard", (F.col("over_at") + F.col("i") - F.col("quota")).alias("o")))
-    gaps = (balance.filter("short > 0")
-            .withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("short") - 1)))
+               .withColumn("short_at", _running("short", "sid"))
+               .withColumn("moves", F.sum("over").over(Window.partitionBy())))
+    known = placed.join(balance.select("sid", "cap", "over_at"), "sid")
+    moved = known.filter("i >= cap").select("slot", "shard", (F.col("over_at") + F.col("i") - F.col("cap")).alias("o"))
+    gaps = (balance.filter("short > 0 AND short_at < moves")
+            .withColumn("k", F.explode(F.sequence(
+                F.lit(0).cast("long"), F.least(F.col("short"), F.col("moves") - F.col("short_at")) - 1)))
             .select("sid", (F.col("short_at") + F.col("k")).alias("o"), (F.col("drawn") + F.col("k")).alias("i")))
-    kept = placed.filter("i < quota").select("slot", "shard", "sid", "i")
+    kept = known.filter("i < cap").select("slot", "shard", "sid", "i")
     return kept.unionByName(moved.join(gaps, "o").select("slot", "shard", "sid", "i"))
 
 
-def permuted(slots: DataFrame, sources: DataFrame) -> DataFrame:
+def permuted(slots: DataFrame, sources: DataFrame, max_epochs: int) -> DataFrame:
     """Add epoch and block: block = shuffle of (i mod blocks) keyed by source and epoch."""
+    keys = sources.filter("blocks > 0").select("sid", "blocks", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.lit(max_epochs - 1).cast("long"))).alias("epoch"))
+    keys = keys.select("sid", "epoch", F.array(*[
+        digest_number(F.lit(SEED), F.lit("key"), F.col("sid"), F.col("epoch"), F.lit(r)) % F.col("blocks")
+        for r in range(ROUNDS)]).alias("keys"))
     out = slots.join(sources.select("sid", "blocks"), "sid")
     out = (out.withColumn("epoch", F.floor(F.col("i") / F.col("blocks")))
-           .withColumn("block", F.col("i") % F.col("blocks")))
+           .withColumn("block", F.col("i") % F.col("blocks"))).join(keys, ["sid", "epoch"])
     for r in range(ROUNDS):
-        key = digest_number(F.lit(SEED), F.lit("key"), F.col("sid"), F.col("epoch"), F.lit(r)) % F.col("blocks")
-        out = out.withColumn("_other", (key + F.col("blocks") - F.col("block")) % F.col("blocks"))
+        out = out.withColumn("_other", (F.col("keys")[r] + F.col("blocks") - F.col("block")) % F.col("blocks"))
         bit = F.substring(F.md5(F.concat_ws(":", F.lit(SEED), F.lit("bit"), F.col("sid"), F.col("epoch"), F.lit(r),
                                             F.greatest("block", "_other"))), 1, 1) >= "8"
         out = out.withColumn("block", F.when(bit, F.col("_other")).otherwise(F.col("block"))).drop("_other")
@@ -137,11 +158,12 @@ def word_pieces(rows: DataFrame, block_words: int) -> DataFrame:
     """sid, block, rid, piece_start, piece_words: streams cut into blocks.
 
     A document's place in its source's stream comes from its bucket's start and a running
-    sum inside the bucket.
+    sum inside the bucket.  Buckets follow doc_id and size, so rows without an id spread too.
     """
     n = rows.count()
     cut = rows.select("rid", "doc_id", "sid", "size").filter("size > 0") \
-        .withColumn("bucket", order_bucket(F.col("doc_id"), buckets_for(n)))
+        .withColumn("bucket", digest_number(F.lit("bucket"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                                            F.col("size")) % F.lit(buckets_for(n)))
     starts = bucket_offsets(cut.groupBy("sid", "bucket").agg(F.sum("size").alias("n")), ["sid"], "bucket", "n", "start")
     inside = Window.partitionBy("sid", "bucket").orderBy("doc_id", "size", "rid") \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -167,7 +189,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_epochs: int
     ids = sources.select(F.col("source").alias("_source"), "sid")
     rows = sized.join(ids, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     total = sources.agg(F.sum("quota")).first()[0] or 0
-    slots = stored(permuted(draw_slots(sources, int(total), shard_slots), sources), "mix-drawn")
+    slots = stored(permuted(draw_slots(sources, int(total), shard_slots, max_epochs), sources, max_epochs), "mix-drawn")
     return Mix(rows, sources, word_pieces(rows, block_words), slots)
 
 
@@ -205,7 +227,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """The totals do not depend on which slot draws which index, so the SQL permutes the indices directly."""
+    """The same draw, moves and permutation; a source's slots are numbered in one window here."""
     steps, last = [], "start_round"
     for r in range(ROUNDS):
         steps.append(f"""
@@ -238,14 +260,31 @@ sources AS (
 quotas AS (
   SELECT *, CASE WHEN source_size > 0 THEN least(CAST(round(target / source_size * blocks) AS BIGINT), 3 * blocks)
             ELSE 0 END AS quota FROM sources),
-indices AS (SELECT sid, blocks, unnest(range(quota)) AS i FROM quotas WHERE quota > 0),
+places AS (
+  SELECT *, CAST(coalesce(sum(quota) OVER (ORDER BY sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS lo
+  FROM quotas WHERE quota > 0),
+slots AS (SELECT unnest(range(CAST((SELECT coalesce(sum(quota), 0) FROM quotas) AS BIGINT))) AS slot),
+draws AS (
+  SELECT slot, ('0x' || substr(md5('{SEED}:draw:' || slot), 1, 13))::BIGINT
+               % CAST((SELECT sum(quota) FROM quotas) AS BIGINT) AS place FROM slots),
+drawn AS (
+  SELECT p.sid, p.blocks, row_number() OVER (PARTITION BY p.sid ORDER BY d.slot) - 1 AS i
+  FROM draws d JOIN places p ON d.place >= p.lo AND d.place < p.lo + p.quota),
+balance AS (
+  SELECT p.sid, p.blocks, count(d.i) AS drawn, greatest(count(d.i) - 3 * p.blocks, 0) AS over,
+         greatest(p.quota - count(d.i), 0) AS short
+  FROM places p LEFT JOIN drawn d ON d.sid = p.sid GROUP BY p.sid, p.blocks, p.quota),
+gaps AS (SELECT sid, blocks, drawn + unnest(range(short)) AS i FROM balance),
+moved AS (
+  SELECT sid, blocks, i FROM gaps QUALIFY row_number() OVER (ORDER BY sid, i) <= (SELECT sum(over) FROM balance)),
+indices AS (SELECT sid, blocks, i FROM drawn WHERE i < 3 * blocks UNION ALL SELECT sid, blocks, i FROM moved),
 start_round AS (SELECT sid, blocks, i // blocks AS epoch, i % blocks AS block FROM indices),{''.join(steps)}
 times AS (SELECT sid, block, count(*) AS times FROM {last} GROUP BY sid, block),
 placed AS (
   SELECT s.rid, s.doc_id, s.size, q.sid, q.source_size, q.target,
          coalesce(sum(s.size) OVER (PARTITION BY q.sid ORDER BY
-             coalesce(('0x' || substr(md5('bucket:' || s.doc_id), 1, 13))::BIGINT
-               % CAST(greatest(1, ceil((SELECT count(*) FROM documents) / 4096.0)) AS BIGINT), 0),
+             ('0x' || substr(md5('bucket:' || coalesce(s.doc_id::VARCHAR, '') || ':' || s.size), 1, 13))::BIGINT
+               % CAST(greatest(1, ceil((SELECT count(*) FROM documents) / 4096.0)) AS BIGINT),
              s.doc_id, s.size, s.rid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
   FROM sizes s JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source),
 pieces AS (
