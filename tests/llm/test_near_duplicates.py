@@ -101,6 +101,41 @@ def test_real_documents(spark):
         assert got == {d: c for d, c, _ in brute(rows, width, lower)}
 
 
+def _cell(sets, radius=0.0):
+    """One cell of these sets of tokens, each a group of its own."""
+    token = np.concatenate([np.sort(np.array(x, np.uint64)) for x in sets])
+    sketch = links.bin_sketches(token, np.repeat(np.arange(len(sets)), [len(x) for x in sets]), len(sets))
+    k = len(sets)
+    return pa.table({"cell": [1] * k, "rep": range(k), "n": [len(x) for x in sets],
+                     "sketch": pa.array([row.tobytes() for row in sketch], pa.binary()), "radius": [radius] * k,
+                     "group": range(k), "block": [0] * k, "lone": [True] * k, "place": [0] * k,
+                     "marks": pa.array([[]] * k, pa.list_(pa.int64()))})
+
+
+def _kept(sets, threshold):
+    return {(a, b) for i, j in links._near_pairs(_cell(sets), threshold, None) for a, b in zip(i.tolist(), j.tolist())}
+
+
+def test_no_pair_of_a_cell_that_meets_the_threshold_is_left_out():
+    # 200 of 250 tokens in common, in few bins; the others fill bins of their own
+    common = [(b << 56) + i for b in range(4) for i in range(50)]
+    own = [[(b << 56) + 99 for b in range(lo, lo + 25)] for lo in (10, 100)]
+    assert _kept([common + own[0], common + own[1]], 0.8) == {(0, 1)}
+    # bins that hold more tokens than a count says
+    common = [(b << 56) + i for b in range(4) for i in range(300)]
+    own = [[(b << 56) + 2 * i + k for b in range(20, 30) for i in range(15)] for k in (0, 1)]
+    assert _kept([common + own[0], common + own[1]], 0.8) == {(0, 1)}
+    rng = np.random.default_rng(7)
+    for n in (3, 40, 300, 3000):
+        base = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2)
+        sets = [set(rng.permutation(base)[:n - rng.integers(0, n // 8 + 1)].tolist()) for _ in range(40)]
+        sets += [set((rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2)).tolist()) for _ in range(10)]
+        want = {(i, j) for j in range(50) for i in range(j) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+        kept = _kept([sorted(x) for x in sets], 0.8)
+        assert want <= kept and len(want) > 100
+        assert not any(j >= 40 for _, j in kept)  # unlike sets are ruled out
+
+
 def test_five_thousand_near_copies(spark):
     """One bucket of thousands of different near copies: one group, and comparisons in proportion to it."""
     rng = np.random.default_rng(9)
