@@ -136,6 +136,16 @@ def test_no_pair_of_a_cell_that_meets_the_threshold_is_left_out():
         assert not any(j >= 40 for _, j in kept)  # unlike sets are ruled out
 
 
+def test_pivots_are_met_once_however_many_buckets_share_them(spark):
+    rows = spark.createDataFrame([(r, b) for b in range(6) for r in range(64)] + [(r, 9) for r in (70, 71)] + [(80, 10)],
+                                 "rep long, bucket long")
+    found = links.pivots_of(rows)
+    want = {(r, p) for r in range(64) for p in (0, 1, 2) if r != p} | {(71, 70)}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(pivots") < plan.index("Join")  # above the join, which gives a row per entry
+
+
 def test_five_thousand_near_copies(spark):
     """One bucket of thousands of different near copies: one group, and comparisons in proportion to it."""
     rng = np.random.default_rng(9)
