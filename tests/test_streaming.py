@@ -165,3 +165,36 @@ def test_stream_reports_counts_per_batch(spark, tmp_root):
     assert len(counts) == 2
     assert sum(c["raw"] for c in counts) == messages.envelope_files(spark, topic).count()
     assert all(c["raw"] == c["valid"] + c["quarantined"] for c in counts)
+
+
+def test_the_batches_of_a_topic_do_not_grow_in_number_with_it(spark, tmp_root):
+    from turnstile import queries
+
+    raw = spark.range(60_000).selectExpr("to_json(struct(uuid() AS id, uuid() AS vehicleId, id AS timeToStation)) AS v", "id")
+    rows = raw.selectExpr("CAST(v AS binary) AS value", "CAST(id % 4 AS int) AS partition", "id AS offset",
+                          "timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS timestamp")
+    rows.repartition(32).write.parquet(f"{tmp_root}/topic")
+    size = sum(p.stat().st_size for p in pathlib.Path(tmp_root, "topic").glob("part-*"))
+    assert size > 12 * queries.TOPIC_BYTES  # so many batches of the least size
+    queries._upsert(spark, f"{tmp_root}/topic", tmp_root)
+    store = stream.keyed_store(spark, f"{tmp_root}/store")
+    held = store.manifests.newest()[1]
+    batches = max(held["runs"].values()) + 1
+    assert 2 <= batches <= 2 * queries.TOPIC_BATCHES
+    assert store.rows().count() == 60_000
+
+
+def test_a_task_merges_one_bucket(spark, tmp_root, monkeypatch):
+    store, seen = stream.keyed_store(spark, tmp_root, buckets=16), []
+    write = keyed.latest_by
+
+    def watched(rows, keys, order):
+        from pyspark.sql import functions as F
+        if "bucket" in keys:
+            seen.append(rows.groupBy(F.spark_partition_id()).agg(F.countDistinct("bucket").alias("n")).agg(F.max("n")).first()[0])
+        return write(rows, keys, order)
+
+    monkeypatch.setattr(keyed, "latest_by", watched)
+    store.apply(_writes(spark, [(f"k{i}", 1, 10) for i in range(400)]), "r", 0)
+    store.apply(_writes(spark, [(f"k{i}", 2, 11) for i in range(400)]), "r", 1)
+    assert seen == [1, 1] and {r["v"] for r in store.rows().collect()} == {2}

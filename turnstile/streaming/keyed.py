@@ -58,8 +58,8 @@ class KeyedStore:
         n = held.get("n_buckets", self.buckets)
         staged = f"{self.root}/staged/commit={new_id()}"
         latest = latest_by(batch, [self.key], self.order).withColumn("bucket", self._bucket(n))
-        # tasks hold few buckets each: the rows of a bucket meet before they are written
-        latest.repartition("bucket").write.partitionBy("bucket").parquet(staged)
+        # a task per bucket: its rows meet before they are written
+        latest.repartitionById(n, "bucket").write.partitionBy("bucket").parquet(staged)
         touched = [f.rsplit("=", 1)[1] for f in subfolders(self.spark, staged)]
         new = self.spark.read.schema(latest.schema).parquet(staged) if touched else None
         while True:
@@ -70,7 +70,7 @@ class KeyedStore:
             content["runs"] = {**content["runs"], run: batch_id}
             content["buckets"] = {**content["buckets"], **dict.fromkeys(touched, commit)}
             if touched:
-                self._merge(new, self._read(held, set(touched)), commit)
+                self._merge(new, self._read(held, set(touched)), commit, n)
             try:
                 self.manifests.publish(version + 1, content)
             except Conflict:
@@ -80,10 +80,10 @@ class KeyedStore:
             delete_path(self.spark, staged)
             return len(touched)
 
-    def _merge(self, new: DataFrame, old: DataFrame | None, commit: str) -> None:
+    def _merge(self, new: DataFrame, old: DataFrame | None, commit: str, n: int) -> None:
         rows = new if old is None else old.select(*new.columns).unionByName(new)
         # one exchange, by bucket; the aggregate and the sort stay within it
-        merged = latest_by(rows.repartition("bucket"), ["bucket", self.key], self.order)
+        merged = latest_by(rows.repartitionById(n, "bucket"), ["bucket", self.key], self.order)
         (merged.sortWithinPartitions("bucket", self.key).write.partitionBy("bucket")
          .parquet(f"{self.root}/data/commit={commit}"))
 
