@@ -35,3 +35,21 @@ def test_feed_holds_every_case(spark):
     assert all(row)
     keyed = ev.enrich(valid)
     assert keyed.select("row_key").distinct().count() < 0.95 * keyed.count()  # last write wins has work to do
+
+
+def test_the_bridge_is_dealt_to_as_many_tasks_as_its_rows_ask_for(spark, monkeypatch):
+    whole = adapters.test_star(spark, SF).bridge
+    rows = sorted(map(tuple, whole.collect()))
+    assert whole.rdd.getNumPartitions() == 1 and rows
+    monkeypatch.setattr(adapters, "BRIDGE_ROWS", 250)
+    dealt = adapters.test_star(spark, SF).bridge
+    assert dealt.rdd.getNumPartitions() == adapters.table_rows(spark, SF, "lineitem") // 250 > 20
+    assert sorted(map(tuple, dealt.collect())) == rows
+
+
+def test_the_bridge_leaves_out_keys_without_a_part(spark):
+    li = spark.createDataFrame([(1, 1), (1, 1), (2, None), (2, None), (None, 1), (None, 1), (3, 1), (3, 9), (3, 9)],
+                               "l_suppkey long, l_partkey long")
+    part = spark.createDataFrame([(1, "B", 5), (None, "B", 6)], "p_partkey long, p_brand string, p_size int")
+    got = adapters.bridge_from_lineitem(li, part, 3)
+    assert set(map(tuple, got.collect())) == {(1, "B#5"), (None, "B#5")} and got.count() == 2
