@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bucket_offsets, buckets_for, digest_number, stored, words
+from .common import bucket_offsets, buckets_for, digest_number, let, stored, words
 
 SEED = "mix-1"
 ROUNDS = 12
@@ -218,9 +218,10 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     takes = (plan.slots.join(plan.pieces, ["sid", "block"])
              .groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("epoch", "piece_start", "piece_words"))).alias("takes")))
     merged = plan.rows.join(takes, "rid")
-    text = F.array_join(F.flatten(F.transform(
-        "takes", lambda t: F.slice(F.col("_words"), (t["piece_start"] + 1).cast("int"), t["piece_words"].cast("int")))), " ")
-    merged = merged.withColumn("_words", words(F.col("in_text"))).withColumn("_mixed", text)
+    # a column of words would be put into the lambda by the planner, which splits the text for every take
+    text = let(words(F.col("in_text")), lambda split: F.array_join(F.flatten(F.transform(
+        "takes", lambda t: F.slice(split, (t["piece_start"] + 1).cast("int"), t["piece_words"].cast("int")))), " "))
+    merged = merged.withColumn("_mixed", text)
     values = {"text": F.col("_mixed"), "n_chars": F.char_length("_mixed").cast("long"),
               "doc_id": F.col("doc_id"), "source": F.col("source")}
     return merged.select(*[values.get(c, F.col(f"in_{c}")).alias(c) for c in docs.columns])
