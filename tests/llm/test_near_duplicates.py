@@ -186,6 +186,71 @@ def test_pivots_that_are_broadcast_or_not_give_the_same_pairs(spark, monkeypatch
         assert ("ResolvedHint (strategy=broadcast)" in found._jdf.queryExecution().analyzed().toString()) == bool(most)
 
 
+def _stored_since(spark, before, name):
+    work = Path(checkpoint_root(spark).removeprefix("file:")) / "turnstile-work"
+    return [f for f in work.iterdir() if f.name.rsplit("-", 1)[0] == name and f not in before]
+
+
+def test_sets_that_share_many_tables_are_dealt_to_one_cell(spark):
+    """Pairs below the threshold share a dozen tables each, whose members are the same: their sketches move once."""
+    rng = np.random.default_rng(13)
+    rows = []
+    for g in range(40):
+        base = [f"g{g}x{i}" for i in range(100)]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, edited(rng, base, 10, 10 ** 7))]
+    work = Path(checkpoint_root(spark).removeprefix("file:")) / "turnstile-work"
+    before = set(work.iterdir()) if work.exists() else set()
+    found = {r["doc_id"]: r["component_id"] for r in tensored.op12_tensored_minhash(frame(spark, rows)).collect()}
+    assert found == {d: c for d, c, _ in brute(rows, 2, lower=True)} and len(set(found.values())) > 30
+    cells, = _stored_since(spark, before, "cells")
+    per_set = [r["count"] for r in spark.read.parquet(str(cells)).groupBy("rep").count().collect()]
+    assert len(per_set) > 60 and max(per_set) == 1
+
+
+def test_unlike_buckets_keep_the_first_of_equal_ones(spark):
+    # 1 to 3: the same own sets; 4: the same sets, one not its own; 5: other sets; 6: before 4, as there
+    entries = [(r, b, 10 - b, True) for b in (1, 2, 3) for r in (7, 8)] + [(7, 4, 1, True), (8, 4, 1, False)]
+    entries += [(7, 5, 0, True), (8, 5, 0, True), (9, 5, 0, True), (7, 6, 0, True), (8, 6, 0, False)]
+    found = links.unlike_buckets(spark.createDataFrame(entries, "rep long, bucket long, place long, own boolean"), 2)
+    assert sorted(map(tuple, found.select("rep", "bucket", "place").collect())) == [(7, 3, 7), (7, 5, 0), (7, 6, 0), (8, 3, 7), (8, 5, 0), (8, 6, 0), (9, 5, 0)]
+
+
+@pytest.mark.parametrize("most", [links.BROADCAST_KEYS, 0])
+def test_tables_of_shared_left_keys_hold_all_that_meet(spark, monkeypatch, most):
+    monkeypatch.setattr(links, "BROADCAST_KEYS", most)
+    rng, m = np.random.default_rng(14), 3
+    rows = [(int(rng.integers(0, 30)), bool(rng.integers(0, 2)), [int(i * 100 + x) for i, x in enumerate(rng.integers(1, 40, 2 * m))])
+            for _ in range(60)]
+    held = spark.createDataFrame(rows, "rep long, own boolean, marks array<long>")
+    got = tensored.shared_tables(m)(held, 2).collect()
+    left, tables = defaultdict(set), defaultdict(set)
+    for rep, _, marks in rows:
+        for i in range(m):
+            left[marks[i]].add(rep)
+            for j in range(m):
+                tables[marks[i], marks[m + j]].add(rep)
+    want = Counter((rep, own, i * m + j + 1) for rep, own, marks in rows for i in range(m) for j in range(m) if len(left[marks[i]]) > 1)
+    assert Counter((r["rep"], r["own"], r["place"]) for r in got) == want and sum(want.values()) < 60 * m * m
+    met = defaultdict(set)
+    for r in got:
+        met[r["bucket"]].add(r["rep"])
+    mixed = [sorted(v) for v in tables.values() if len(v) > 1]
+    assert sorted(sorted(v) for v in met.values() if len(v) > 1) == sorted(mixed) and mixed
+
+
+@pytest.mark.parametrize("most", [links.BROADCAST_KEYS, 0])
+def test_exact_similarities_of_popular_sets(spark, monkeypatch, most):
+    monkeypatch.setattr(links, "BROADCAST_KEYS", most)
+    rng = np.random.default_rng(15)
+    sets = [sorted({int(x) for x in rng.integers(0, 60, 40)}) for _ in range(40)]
+    tokens = spark.createDataFrame(list(enumerate(sets)), "rep long, tokens array<long>")
+    # one set with all others (as a and as b), and all pairs of a few
+    pairs = {(0, j) for j in range(1, 40)} | {(i, 39) for i in range(39)} | {(i, j) for i in range(5, 10) for j in range(5, 10) if i != j}
+    found = links.exact(spark.createDataFrame(sorted(pairs), "a long, b long"), lambda ids: tokens.join(ids, "rep"))
+    a_b = {(a, b): (set(sets[a]), set(sets[b])) for a, b in pairs}
+    assert sorted(map(tuple, found.collect())) == sorted((a, b, len(x & y), len(x | y)) for (a, b), (x, y) in a_b.items())
+
+
 def test_five_thousand_near_copies(spark):
     """One bucket of thousands of different near copies: one group, and comparisons in proportion to it."""
     rng = np.random.default_rng(9)

@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 from .components import connected_components
-from .links import SMALL, attach, bin_sketches, connect, set_ids, shingle_sets, starts_of, text_fetcher
+from .links import (SMALL, attach, bin_sketches, connect, set_ids, shared_entries, shingle_sets, starts_of,
+                    text_fetcher)
 from .wordhash import SECOND_BASE, U, hashed_texts, mixed, slices
 
 SHINGLE = 2
@@ -93,6 +94,16 @@ def first_table(m: int):
     return meeting
 
 
+def shared_tables(m: int):
+    """``buckets`` for ``connect``: the tables of the sets whose left small key another set has; others meet nobody there."""
+    def buckets(held: DataFrame, tasks: int) -> DataFrame:
+        keys = held.select("rep", "own", F.slice("marks", m + 1, m).alias("right"), F.posexplode(F.slice("marks", 1, m)).alias("i", "left"))
+        met = stored(shared_entries(keys, "left", "left-keys", tasks), "left-met", tasks)
+        return (met.select("rep", "own", "i", "left", F.posexplode("right").alias("j", "right"))
+                .select("rep", "own", F.xxhash64("left", "right").alias("bucket"), (F.col("i") * m + F.col("j") + 1).cast("long").alias("place")))
+    return buckets
+
+
 def near_duplicates(docs: DataFrame, recall: float = RECALL, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     k, m = banding(docs.count(), NUM / DEN, recall)
@@ -103,12 +114,10 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL, small: int = SMALL)
                      .select(F.col("set_a").alias("rep"), "c.*"), "classes")
     reps = classes.select("rep", "n", "sketch", "marks")
     left, right = F.slice("marks", 1, m), F.slice("marks", m + 1, m)
-    tables = F.flatten(F.transform(left, lambda x, i: F.transform(right, lambda y, j: F.struct(
-        F.xxhash64(x, y).alias("bucket"), (i * m + j + 1).cast("long").alias("place")))))
     some = F.zip_with(left, right, lambda x, y: F.xxhash64(x, y))
     fetch = text_fetcher(texts, classes, shingles)
     star, hung = attach(reps, some, fetch, NUM, DEN)
-    links = connect(reps, tables, star, hung, fetch, first_table(m), NUM, DEN, small)
+    links = connect(reps, shared_tables(m), star, hung, fetch, first_table(m), NUM, DEN, small)
     groups = connected_components(stored(links, "links"), "a", "b")
     members = (classes.select("rep", "doc_id").join(groups, F.col("rep") == F.col("node"), "left")
                .select("rep", "doc_id", F.coalesce("component", "rep").alias("group")))
