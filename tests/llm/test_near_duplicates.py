@@ -207,6 +207,13 @@ def test_sets_that_share_many_tables_are_dealt_to_one_cell(spark):
     assert len(per_set) > 60 and max(per_set) == 1
 
 
+def test_first_buckets_do_not_carry_all_paths_of_their_sets(spark):
+    classes = spark.createDataFrame([(r, [[256 + r % 2, 512 * r + 1], [3, 4, 5]]) for r in range(1, 5)], "rep long, paths array<array<long>>")
+    found = jaccard._first_paths(classes, 2)
+    assert set(found.columns) == {"path", "run", "rep"}
+    assert sorted(map(tuple, found.select("path", "run", "rep").collect())) == [(256, 0, 2), (256, 0, 4), (257, 1, 1), (257, 1, 3)]
+
+
 def test_unlike_buckets_keep_the_first_of_equal_ones(spark):
     # 1 to 3: the same own sets; 4: the same sets, one not its own; 5: other sets; 6: before 4, as there
     entries = [(r, b, 10 - b, True) for b in (1, 2, 3) for r in (7, 8)] + [(7, 4, 1, True), (8, 4, 1, False)]
